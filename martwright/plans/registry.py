@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.plans import questions as q
+from martwright.plans import reports as r
 from martwright.plans.warehouse import warehouse_for
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -85,7 +86,20 @@ OPERATORS: dict[str, QueryFn] = {
 }
 
 
+REPORTS: dict[str, QueryFn] = {
+    "constraint_report": lambda s, d: r.constraint_report(warehouse_for(s, d)),
+    "unresolved_keys": lambda s, d: r.unresolved_keys(warehouse_for(s, d)),
+    "duplicate_keys": lambda s, d: r.duplicate_keys(warehouse_for(s, d)),
+    "overlap_check": lambda s, d: r.overlap_check(warehouse_for(s, d)),
+    "overlap_check_unexpired": lambda s, d: r.overlap_check_unexpired(warehouse_for(s, d)),
+    "dq_report": lambda s, d: r.dq_report(warehouse_for(s, d)),
+    "row_counts": lambda s, d: r.row_counts(warehouse_for(s, d)),
+    "table_profile": lambda s, d: r.table_profile(warehouse_for(s, d), exact=True),
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out = dict(QUESTIONS)
     out.update(OPERATORS)
+    out.update(REPORTS)
     return out

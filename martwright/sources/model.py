@@ -41,6 +41,7 @@ class Sources:
     invoice_lines_wide: DataFrame
     # the same before rows failing the invoice-after-order rule were dropped
     invoice_lines_raw_wide: DataFrame | None = None
+    invoices_raw: DataFrame | None = None
     # names of the fact columns identifying one line / one invoice (the
     # invoice date appears in the facts as its date key)
     order_line_id_cols: tuple[str, ...] = ("order_line_id",)
@@ -53,6 +54,7 @@ class Sources:
             "order_lines_wide",
             "invoice_lines_wide",
             "invoice_lines_raw_wide",
+            "invoices_raw",
             "order_line_id_cols",
             "invoice_line_id_cols",
             "invoice_id_cols",

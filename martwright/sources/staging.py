@@ -211,9 +211,10 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str) -> Sources:
     invoice_lines_wide = invoice_lines_raw_wide.where(
         F.col("invoice_date") >= F.col("order_date")
     )
-    invoices = invoice_lines_wide.select(
-        "order_id", "invoice_date", "customer_id", "salesperson_person_id"
-    ).dropDuplicates(["order_id", "invoice_date"])
+    invoices = invoice_lines_wide.select("order_id", "invoice_date", "customer_id").distinct()
+    invoices_raw = invoice_lines_raw_wide.select(
+        "order_id", "invoice_date", "customer_id"
+    ).distinct()
     order_lines = order_lines_wide.select(
         "order_id",
         "line_number",
@@ -256,6 +257,7 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str) -> Sources:
         order_lines_wide=order_lines_wide,
         invoice_lines_wide=invoice_lines_wide,
         invoice_lines_raw_wide=invoice_lines_raw_wide,
+        invoices_raw=invoices_raw,
         order_line_id_cols=("order_id", "line_number"),
         invoice_line_id_cols=("order_id", "line_number"),
         invoice_id_cols=("order_id", "date_key"),
