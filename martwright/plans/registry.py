@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martwright.plans import questions as q
 from martwright.plans import reports as r
 from martwright.plans.warehouse import warehouse_for
+from martwright.session import scratch_path
+from martwright.sources.extracts import MANIFEST, read_extract, typed_table, write_extract
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +89,26 @@ OPERATORS: dict[str, QueryFn] = {
 }
 
 
+def _csv_round_trip(spark, d):
+    """People written in the extract format (``;``, ``NULL``, 0/1 flags, an
+    extra column holding the separator) and ingested back by header name."""
+    people = warehouse_for(spark, d).sources.people
+    path = scratch_path(spark, "extract-people")
+    write_extract(
+        people.select(
+            F.concat(F.lit("note; "), F.col("full_name")).alias("Comments"),
+            F.col("person_id").alias("PersonID"),
+            F.col("full_name").alias("FullName"),
+            F.col("is_salesperson").cast("int").alias("IsSalesperson"),
+        ),
+        path,
+    )
+    spec = next(s for s in MANIFEST if s.table == "people")
+    return typed_table(read_extract(spark, path), spec)
+
+
 REPORTS: dict[str, QueryFn] = {
+    "csv_round_trip": _csv_round_trip,
     "constraint_report": lambda s, d: r.constraint_report(warehouse_for(s, d)),
     "unresolved_keys": lambda s, d: r.unresolved_keys(warehouse_for(s, d)),
     "duplicate_keys": lambda s, d: r.duplicate_keys(warehouse_for(s, d)),
