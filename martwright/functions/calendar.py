@@ -15,7 +15,8 @@ FISCAL_YEAR_START_MONTH = 11
 
 
 def date_key(d: Column) -> Column:
-    return F.date_format(d, "yyyyMMdd").cast("int")
+    # yyyyMMdd by integer arithmetic (no string formatting per row)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def month_name(d: Column) -> Column:

@@ -30,12 +30,14 @@ def _unique(cols) -> list[str]:
 
 
 def _key_dims(fact: DataFrame, date_col: str, dim_customer: DataFrame, dim_employee: DataFrame, dim_product: DataFrame) -> DataFrame:
-    f = asof_join(fact, dim_customer, "customer_id", date_col, "customer_id", "customer_key")
-    f = f.join(
+    # Product first: line frames built by a join on the item key are already
+    # partitioned by it, so this join adds no exchange on the fact side.
+    f = fact.join(dim_product.select("stock_item_id", "product_key"), "stock_item_id")
+    f = asof_join(f, dim_customer, "customer_id", date_col, "customer_id", "customer_key")
+    return f.join(
         dim_employee.select(F.col("person_id").alias("salesperson_person_id"), "employee_key"),
         "salesperson_person_id",
     )
-    return f.join(dim_product.select("stock_item_id", "product_key"), "stock_item_id")
 
 
 def fact_order(

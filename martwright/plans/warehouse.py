@@ -73,7 +73,13 @@ class Warehouse:
 
 
 def changed_snapshot(src: Sources, change: CategoryChange) -> DataFrame:
+    """The selected customers with their category key remapped by a CASE
+    expression, resolved through the same lookups as the first snapshot."""
     selected = src.customers.where(change.selected())
+    remapped = F.when(
+        change.selected(),
+        F.lit(change.new_category_id).cast(src.customers.schema["customer_category_id"].dataType),
+    ).otherwise(F.col("customer_category_id"))
     return customer_snapshot(
         selected,
         src.customer_categories,
@@ -81,9 +87,7 @@ def changed_snapshot(src: Sources, change: CategoryChange) -> DataFrame:
         src.cities,
         src.state_provinces,
         src.countries,
-        category_id=F.lit(change.new_category_id).cast(
-            src.customers.schema["customer_category_id"].dataType
-        ),
+        category_id=remapped,
     )
 
 
@@ -99,7 +103,10 @@ def build_warehouse(src: Sources, change: CategoryChange | None = DEFAULT_CHANGE
     initial = dim_customer_initial(snapshot)
     if change is not None:
         changes = changed_snapshot(src, change)
-        customers = apply_scd2(initial, changes, change.change_date)
+        # the finished dimension is written once to the shared checkpoint
+        # folder; both facts and every question read it instead of
+        # recomputing the history rewrite
+        customers = apply_scd2(initial, changes, change.change_date).checkpoint(eager=True)
     else:
         changes = snapshot.limit(0)
         customers = initial
