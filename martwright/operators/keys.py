@@ -4,6 +4,9 @@
 partition. ``dense_key`` gives the same numbers (1..n in key order, or
 ``start``..) with all work spread over the cluster:
 
+Inputs proven small by a count (at most ``SMALL_ROWS``) are numbered with a
+plain window instead; everything else:
+
 1. range-partition by the order columns and sort inside each partition
    (the sampled range bounds split any hot key value range over partitions);
 2. checkpoint that result to the shared checkpoint folder, so partition
@@ -30,15 +33,27 @@ def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Inputs with at most this many rows (checked by a count) are numbered by
+# a plain window in one task; bigger inputs take the distributed path.
+SMALL_ROWS = 1_000_000
+
+
 def dense_key(
     df: DataFrame,
     order_cols: list[str | Column],
     key_col: str,
     start: int = 1,
     num_partitions: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add ``key_col`` (BIGINT) numbering rows densely from ``start`` in
-    ``order_cols`` order (ascending, nulls first as in Spark's default)."""
+    ``order_cols`` order (ascending, nulls first as in Spark's default).
+
+    The order columns must identify a row (a natural key); then the numbers
+    do not depend on how rows are partitioned."""
+    if small_rows and df.count() <= small_rows:
+        w = Window.orderBy(*order_cols)
+        return df.withColumn(key_col, (F.row_number().over(w) + (start - 1)).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
     n = _partition_count(df, num_partitions)
     ranged = (

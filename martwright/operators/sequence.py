@@ -11,6 +11,9 @@ operators split each key over the range partitions instead:
 3. fix the piece boundaries with a small table holding one row per
    (partition, key) piece: a key spans at most the number of partitions, so
    the boundary window per key is bounded by the partition count.
+
+Inputs proven small by a count (at most ``SMALL_ROWS`` rows in total) use
+the plain window directly: no task can receive more than that.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.keys import SMALL_ROWS
 from martwright.session import ensure_checkpoint_dir
 
 _PID = "_sq_pid"
@@ -45,9 +49,13 @@ def next_in_key(
     value_col: str,
     out_col: str,
     num_partitions: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add ``out_col`` = ``value_col`` of the next row of the same key in
     ``order_cols`` order (SQL ``LEAD(value) OVER (PARTITION BY key ORDER BY ...)``)."""
+    if small_rows and df.count() <= small_rows:
+        w = Window.partitionBy(key_col).orderBy(*order_cols)
+        return df.withColumn(out_col, F.lead(value_col).over(w))
     tagged = _pieces(df, key_col, order_cols, num_partitions)
     piece = Window.partitionBy(_PID, key_col).orderBy(_POS)
     inner = tagged.withColumn("_sq_next", F.lead(value_col).over(piece)).withColumn(
@@ -72,9 +80,13 @@ def prior_max_in_key(
     value_col: str,
     out_col: str,
     num_partitions: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add ``out_col`` = max of ``value_col`` over all earlier rows of the same
     key in ``order_cols`` order (null for the first row of a key)."""
+    if small_rows and df.count() <= small_rows:
+        w = Window.partitionBy(key_col).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out_col, F.max(value_col).over(w))
     tagged = _pieces(df, key_col, order_cols, num_partitions)
     piece = Window.partitionBy(_PID, key_col).orderBy(_POS)
     inner = tagged.withColumn(

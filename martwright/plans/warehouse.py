@@ -24,7 +24,8 @@ from martwright.operators.dimensions import (
 )
 from martwright.operators.facts import fact_order, fact_sale
 from martwright.operators.scd2 import apply_scd2
-from martwright.sources.model import Sources
+from martwright.session import scratch_path
+from martwright.sources.model import DERIVED_SOURCES, Sources, parquet_materializer, store_sources
 from martwright.sources.staging import stage_driver_tables
 
 
@@ -147,10 +148,15 @@ _CACHE: dict[tuple[str, str], Warehouse] = {}
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Stage, store the source snapshot, build and store the warehouse once
+    per session and input folder (under the shared checkpoint folder)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     wh = _CACHE.get(key)
     if wh is None:
-        wh = build_warehouse(stage_driver_tables(spark, sf_dir))
+        run = scratch_path(spark, "run")
+        src = stage_driver_tables(spark, sf_dir, parquet_materializer(f"{run}/staging"))
+        src = store_sources(src, f"{run}/oltp", DERIVED_SOURCES)
+        wh = store_warehouse(build_warehouse(src), f"{run}/olap")
         _CACHE[key] = wh
     return wh
 
@@ -163,8 +169,14 @@ def store_warehouse(wh: Warehouse, path: str) -> Warehouse:
     for name, df in wh.tables().items():
         target = f"{path.rstrip('/')}/{name}"
         if name.startswith("fact_"):
+            # Range-partition by date before the partitioned write: each task
+            # holds a contiguous date range, so a month is written by a few
+            # balanced tasks (a busy month is split, not one huge task) and
+            # the files are few and sorted by date.
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
             (
                 df.withColumn("year_month", (F.col("date_key") / 100).cast("int"))
+                .repartitionByRange(n, "date_key", "customer_key")
                 .write.mode("overwrite")
                 .partitionBy("year_month")
                 .parquet(target)

@@ -9,7 +9,7 @@ already has them side by side.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,3 +83,34 @@ def widen_invoice_lines(invoice_lines: DataFrame, invoices: DataFrame, orders: D
     order_dates = orders.select(F.col("order_id").alias("_oid"), "order_date")
     lines = invoice_lines.join(header, "invoice_id")
     return lines.join(order_dates, lines["order_id"] == order_dates["_oid"], "left").drop("_oid")
+
+
+def store_sources(src: Sources, path: str, names: tuple[str, ...] | None = None) -> Sources:
+    """Write source frames (all, or only ``names``) as parquet under ``path``
+    and return the same model reading them back: those frames are computed
+    once, and every later build, report and check scans files instead of
+    recomputing their joins and aggregations."""
+    stored = {}
+    for f in fields(src):
+        value = getattr(src, f.name)
+        if isinstance(value, DataFrame) and (names is None or f.name in names):
+            target = f"{path.rstrip('/')}/{f.name}"
+            value.write.mode("overwrite").parquet(target)
+            stored[f.name] = value.sparkSession.read.parquet(target).select(*value.columns)
+    return replace(src, **stored)
+
+
+def parquet_materializer(path: str):
+    """``materialize`` hook writing a frame under ``path`` and reading it back."""
+
+    def materialize(name: str, df: DataFrame) -> DataFrame:
+        target = f"{path.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(target)
+        return df.sparkSession.read.parquet(target).select(*df.columns)
+
+    return materialize
+
+
+# Staged frames that aggregate or join the line items; everything else is a
+# projection of a driver table or of the stored line join.
+DERIVED_SOURCES = ("stock_item_stock_groups", "order_backorders", "invoices", "invoices_raw")

@@ -24,6 +24,8 @@ price. Both wide line frames come from that single join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,16 @@ BUYING_GROUP_MODULUS = 3
 BUYING_GROUP_NAME_PREFIX = "Buying Group "
 
 
-def stage_driver_tables(spark: SparkSession, sf_dir: str) -> Sources:
+def stage_driver_tables(
+    spark: SparkSession,
+    sf_dir: str,
+    materialize: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> Sources:
+    """Lazy source model over the driver tables.
+
+    ``materialize(name, df)`` may store an intermediate frame and return it
+    read back; it is applied to the joined line frame, from which both wide
+    frames and four source tables are projected."""
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     customer = read_table(
@@ -180,6 +191,8 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str) -> Sources:
         F.col("l_shipdate").cast("date").alias("ship_date"),
         shipped.alias("_shipped"),
     )
+    if materialize is not None:
+        lines = materialize("lines", lines)
     order_lines_wide = lines.drop("extended_price", "ship_date", "_shipped")
 
     tax_amount = F.round(F.col("extended_price") * F.col("tax_rate"), 2).cast("decimal(18,2)")
