@@ -36,14 +36,14 @@ CUSTOMER_ATTRIBUTES = [
 def dim_date(orders: DataFrame, invoices: DataFrame) -> DataFrame:
     """One row per day from the earliest to the latest order or invoice date.
 
-    Both bounds come from one-row aggregates (partial aggregation on every
-    partition); the spine holds one row per calendar day.
+    least(min, min) / greatest(max, max) of the two date columns equal the
+    min / max over their union: one aggregate (partial on every partition);
+    the spine holds one row per calendar day.
     """
-    o = orders.agg(F.min("order_date").alias("o_lo"), F.max("order_date").alias("o_hi"))
-    i = invoices.agg(F.min("invoice_date").alias("i_lo"), F.max("invoice_date").alias("i_hi"))
-    bounds = o.crossJoin(i).select(
-        F.least("o_lo", "i_lo").alias("lo"), F.greatest("o_hi", "i_hi").alias("hi")
+    dates = orders.select(F.col("order_date").alias("d")).unionByName(
+        invoices.select(F.col("invoice_date").alias("d"))
     )
+    bounds = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
     days = bounds.select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date")
     )

@@ -48,20 +48,16 @@ def _gate(rule: str, violations: DataFrame) -> DataFrame:
 
 def _sum_of(*counts: DataFrame) -> DataFrame:
     """Sum one-row counts (column 'n') into a one-row 'violations'."""
-    total = None
-    out = None
-    for i, c in enumerate(counts):
-        c = c.select(F.col("n").alias(f"_n{i}"))
-        out = c if out is None else out.crossJoin(c)
-        term = F.col(f"_n{i}")
-        total = term if total is None else total + term
-    return out.select(total.alias("violations"))
+    rows = counts[0].select("n")
+    for c in counts[1:]:
+        rows = rows.unionByName(c.select("n"))
+    return rows.agg(F.sum("n").cast("bigint").alias("violations"))
 
 
 def count_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    return _count(a, "_a").crossJoin(_count(b, "_b")).select(
-        F.abs(F.col("_a") - F.col("_b")).alias("violations")
-    )
+    """|rows(a) - rows(b)| as one aggregate over signed counts."""
+    signed = _count(a).unionByName(_count(b).select((-F.col("n")).alias("n")))
+    return signed.agg(F.abs(F.sum("n")).cast("bigint").alias("violations"))
 
 
 def duplicate_groups(df: DataFrame, cols) -> DataFrame:
