@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.functions.money import money_sum, qty_sum, ratio_percent
+from martwright.operators.joins import join_checked
 
 # Labels written by the reference.
 TOP_BY_SALES = "Top by sales"
@@ -201,7 +202,9 @@ def q09_version_history(dim_customer: DataFrame) -> DataFrame:
 
 def q10_asof_sales(fact_sale: DataFrame, dim_customer: DataFrame, customer_id: int = 1) -> DataFrame:
     versions = dim_customer.where(F.col("customer_id") == customer_id)
-    by_version = fact_sale.join(versions.select("customer_key"), "customer_key", "left_semi")
+    # one customer's versions: broadcast (after a count) so the fact table is
+    # filtered where it lies instead of being shuffled to meet them
+    by_version = join_checked(fact_sale, versions.select("customer_key"), "customer_key", "left_semi")
     totals = by_version.groupBy("customer_key").agg(
         F.sum("sales").alias("_sales"), F.sum("profit").alias("_profit")
     )

@@ -64,13 +64,22 @@ def _null_safe_match(cols) -> F.Column:
 def load_batch(spark: SparkSession, cfg: IncrementalLoad, batch: DataFrame, batch_id: int) -> None:
     rows = cfg.transform(batch) if cfg.transform else batch
     rows = rows.dropDuplicates(list(cfg.key_cols))
+    if cfg.partition_col:
+        rows = rows.withColumn(cfg.partition_col, F.expr(cfg.partition_expr))
     old = _existing(spark, cfg.target)
     if old is not None:
+        keys = list(cfg.key_cols)
+        if cfg.partition_col:
+            # Only the partitions this batch touches can hold its keys: list
+            # them (one value per partition, e.g. a few months) and prune the
+            # target scan to those folders.
+            touched = [r[0] for r in rows.select(cfg.partition_col).distinct().collect()]
+            old = old.where(F.col(cfg.partition_col).isin(touched))
+            keys.append(cfg.partition_col)
         rows = rows.alias("_new").join(
-            old.select(*cfg.key_cols).alias("_old"), _null_safe_match(cfg.key_cols), "left_anti"
+            old.select(*keys).alias("_old"), _null_safe_match(keys), "left_anti"
         )
     if cfg.partition_col:
-        rows = rows.withColumn(cfg.partition_col, F.expr(cfg.partition_expr))
         rows.write.mode("append").partitionBy(cfg.partition_col).parquet(cfg.target)
     else:
         rows.write.mode("append").parquet(cfg.target)
