@@ -4,9 +4,9 @@ Equality on the natural key plus ``fact_date BETWEEN start AND end`` (both
 ends inclusive). Spark plans it as a hash / sort-merge join on the key with
 the range as residual condition; the dimension side is pruned to the four
 columns it contributes before the exchange. A key has few versions, so the
-residual check costs little; a hot key on the fact side is split by AQE's
-skew-join handling (the dimension side of that key is replicated, not the
-facts).
+residual check costs little. A key holding very many fact rows is split
+explicitly (``hot``: salted fact rows, repeated versions); AQE's skew-join
+handling remains on for whatever is left.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martwright.operators.joins import salted_join
+
 
 def asof_join(
     fact: DataFrame,
@@ -24,14 +26,17 @@ def asof_join(
     surrogate: str,
     start_col: str = "effective_start_date",
     end_col: str = "effective_end_date",
+    hot: DataFrame | None = None,
+    salt_cols: list[str] | None = None,
 ) -> DataFrame:
+    """``hot`` (from ``joins.hot_keys``) lists fact keys to split over
+    several tasks; their versions are repeated once per piece."""
     versions = dim.select(
         F.col(dim_key).alias("_v_id"),
         F.col(start_col).alias("_v_start"),
         F.col(end_col).alias("_v_end"),
         F.col(surrogate),
     )
-    cond = (F.col(fact_key) == F.col("_v_id")) & F.col(fact_date).between(
-        F.col("_v_start"), F.col("_v_end")
-    )
-    return fact.join(versions, cond).drop("_v_id", "_v_start", "_v_end")
+    in_range = F.col(fact_date).between(F.col("_v_start"), F.col("_v_end"))
+    joined = salted_join(fact, versions, fact_key, "_v_id", hot, salt_cols or [fact_key], in_range)
+    return joined.drop("_v_id", "_v_start", "_v_end")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from martwright.functions.calendar import date_key
 from martwright.functions.money import money
 from martwright.operators.asof import asof_join
+from martwright.operators.joins import SPLIT_ROWS, hot_keys, salted_join
 
 
 def _unique(cols) -> list[str]:
@@ -29,15 +30,30 @@ def _unique(cols) -> list[str]:
     return out
 
 
-def _key_dims(fact: DataFrame, date_col: str, dim_customer: DataFrame, dim_employee: DataFrame, dim_product: DataFrame) -> DataFrame:
+def _key_dims(
+    fact: DataFrame,
+    date_col: str,
+    dim_customer: DataFrame,
+    dim_employee: DataFrame,
+    dim_product: DataFrame,
+    salt_cols: list[str],
+    split_rows: int,
+) -> DataFrame:
+    # Hot natural keys (a customer, product or salesperson with more than
+    # ``split_rows`` lines) are found in one pass and split over tasks.
+    hot = hot_keys(fact, ["stock_item_id", "customer_id", "salesperson_person_id"], split_rows)
     # Product first: line frames built by a join on the item key are already
     # partitioned by it, so this join adds no exchange on the fact side.
-    f = fact.join(dim_product.select("stock_item_id", "product_key"), "stock_item_id")
-    f = asof_join(f, dim_customer, "customer_id", date_col, "customer_id", "customer_key")
-    return f.join(
-        dim_employee.select(F.col("person_id").alias("salesperson_person_id"), "employee_key"),
-        "salesperson_person_id",
+    products = dim_product.select(F.col("stock_item_id").alias("_p_item"), "product_key")
+    f = salted_join(fact, products, "stock_item_id", "_p_item", hot["stock_item_id"], salt_cols).drop("_p_item")
+    f = asof_join(
+        f, dim_customer, "customer_id", date_col, "customer_id", "customer_key",
+        hot=hot["customer_id"], salt_cols=salt_cols,
     )
+    employees = dim_employee.select(F.col("person_id").alias("_e_person"), "employee_key")
+    return salted_join(
+        f, employees, "salesperson_person_id", "_e_person", hot["salesperson_person_id"], salt_cols
+    ).drop("_e_person")
 
 
 def fact_order(
@@ -47,9 +63,13 @@ def fact_order(
     dim_employee: DataFrame,
     dim_product: DataFrame,
     line_id_cols: tuple[str, ...] = ("order_line_id",),
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     ids = _unique([*line_id_cols, "order_id"])
-    f = _key_dims(order_lines_wide, "order_date", dim_customer, dim_employee, dim_product)
+    f = _key_dims(
+        order_lines_wide, "order_date", dim_customer, dim_employee, dim_product,
+        salt_cols=[*ids, "stock_item_id"], split_rows=split_rows,
+    )
     link = order_backorders.select("order_id", F.col("backorder_order_id").alias("_backorder"))
     f = f.join(link, "order_id", "left")
     return f.select(
@@ -72,9 +92,13 @@ def fact_sale(
     dim_product: DataFrame,
     line_id_cols: tuple[str, ...] = ("invoice_line_id",),
     invoice_id_cols: tuple[str, ...] = ("invoice_id",),
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     ids = _unique([c for c in (*line_id_cols, *invoice_id_cols, "order_id") if c != "date_key"])
-    f = _key_dims(invoice_lines_wide, "invoice_date", dim_customer, dim_employee, dim_product)
+    f = _key_dims(
+        invoice_lines_wide, "invoice_date", dim_customer, dim_employee, dim_product,
+        salt_cols=[*ids, "stock_item_id"], split_rows=split_rows,
+    )
     days = F.when(
         F.col("order_date").isNotNull(), F.datediff(F.col("invoice_date"), F.col("order_date"))
     ).cast("int")

@@ -18,3 +18,71 @@ def join_checked(
     if small.count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+# A key with more fact rows than this is split over several tasks.
+SPLIT_ROWS = 4_000_000
+_SALT = "_hk_salt"
+_N = "_hk_n"
+
+
+def hot_keys(fact: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> dict[str, DataFrame]:
+    """For each key column, the values holding more than ``split_rows`` fact
+    rows and the number of pieces to split each into.
+
+    One pass over the fact (GROUPING SETS, partial aggregation per task). At
+    most rows / ``split_rows`` values can qualify per key, so each result is
+    small by construction (and is counted again before any broadcast)."""
+    sets = fact.groupingSets([[k] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("_hk_rows"), F.grouping_id().alias("_hk_gid")
+    )
+    # one pass over the fact; the (small) result is checkpointed so the
+    # per-key look-ups below do not rescan the fact
+    sets = sets.where(F.col("_hk_rows") > split_rows).checkpoint(eager=True)
+    out = {}
+    n = len(keys)
+    for i, k in enumerate(keys):
+        gid = (1 << n) - 1 - (1 << (n - 1 - i))  # all bits set except this key's
+        out[k] = sets.where(F.col("_hk_gid") == gid).select(
+            F.col(k).alias("_hk_id"), F.ceil(F.col("_hk_rows") / F.lit(split_rows)).cast("int").alias(_N)
+        )
+    return out
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    hot: DataFrame | None,
+    salt_cols: list[str],
+    extra_condition=None,
+) -> DataFrame:
+    """Inner join ``fact`` to ``dim`` on ``fact_key == dim_key`` (plus
+    ``extra_condition``), splitting hot keys: their fact rows get a salt
+    ``hash(salt_cols) mod n`` and their dimension rows are repeated once per
+    salt, so a key holding a third of the fact is spread over n tasks. With no
+    hot keys this is the plain join."""
+    if hot is None or hot.count() == 0:
+        cond = F.col(fact_key) == F.col(dim_key)
+        if extra_condition is not None:
+            cond = cond & extra_condition
+        return fact.join(dim, cond)
+    # bounded by rows / split_rows, and counted just above
+    hot_b = F.broadcast(hot)
+    f = fact.join(hot_b, F.col(fact_key) == F.col("_hk_id"), "left").withColumn(
+        _SALT,
+        F.when(F.col(_N).isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col(_N)).cast("int")
+        ),
+    ).drop("_hk_id", _N)
+    d = dim.join(hot_b, F.col(dim_key) == F.col("_hk_id"), "left").withColumn(
+        "_hk_salt_d",
+        F.explode(
+            F.when(F.col(_N).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(_N) - 1))
+        ),
+    ).drop("_hk_id", _N)
+    cond = (F.col(fact_key) == F.col(dim_key)) & (F.col(_SALT) == F.col("_hk_salt_d"))
+    if extra_condition is not None:
+        cond = cond & extra_condition
+    return f.join(d, cond).drop(_SALT, "_hk_salt_d")

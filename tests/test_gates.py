@@ -148,3 +148,42 @@ def test_cross_question_invariants(spark):
     assert q1[1] == q6["quantity_invoiced"]
     q9 = qs["q09_version_history"](spark, SF_MID)
     assert q9.count() == qs["dim_customer_scd2"](spark, SF_MID).count() - qs["dim_customer_initial"](spark, SF_MID).count()
+
+
+def test_hot_key_split_equals_plain_join(spark):
+    from martwright.operators.joins import hot_keys, salted_join
+
+    # key 7 holds a third of the rows
+    fact = spark.range(3000).select(
+        F.col("id").alias("line"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
+    )
+    dim = spark.range(50).select(F.col("id").alias("dk"), (F.col("id") * 10).alias("surrogate"))
+    hot = hot_keys(fact, ["k"], split_rows=100)["k"]
+    assert {r["_hk_id"]: r["_hk_n"] for r in hot.collect()} == {7: 11}  # 1040 rows / 100
+    split = salted_join(fact, dim, "k", "dk", hot, ["line"])
+    plain = fact.join(dim, F.col("k") == F.col("dk"))
+    assert sorted(map(tuple, split.select("line", "surrogate").collect())) == sorted(
+        map(tuple, plain.select("line", "surrogate").collect())
+    )
+
+
+def test_facts_with_forced_splitting_match(spark):
+    from martwright.operators.facts import fact_order, fact_sale
+    from martwright.plans.registry import all_queries
+    from martwright.plans.warehouse import warehouse_for
+    from conftest import SF_SMALL
+
+    wh = warehouse_for(spark, SF_SMALL)
+    src = wh.sources
+    split_o = fact_order(
+        src.order_lines_wide, src.order_backorders, wh.dim_customer, wh.dim_employee, wh.dim_product,
+        line_id_cols=src.order_line_id_cols, split_rows=20,
+    )
+    split_s = fact_sale(
+        src.invoice_lines_wide, wh.dim_customer, wh.dim_employee, wh.dim_product,
+        line_id_cols=src.invoice_line_id_cols, invoice_id_cols=src.invoice_id_cols, split_rows=5,
+    )
+    for got, name in ((split_o, "fact_order"), (split_s, "fact_sale")):
+        want = all_queries()[name](spark, SF_SMALL)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
