@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martwright.operators.joins import join_checked
 from martwright.operators.sequence import prior_max_in_key
 
 # Gate labels written by the reference (the last two are
@@ -65,13 +66,26 @@ def duplicate_groups(df: DataFrame, cols) -> DataFrame:
 
 
 def unresolved_rows(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows with at least one key missing from its dimension:
-    total minus the rows surviving a chain of semi joins (no fan-out)."""
+    """Fact rows with at least one key missing from its dimension (a null key
+    counts as missing).
+
+    First the *values* of each key that have no dimension row (distinct keys,
+    partial aggregation, anti join) -- normally none, at most a few. Only
+    then are fact rows flagged, through size-checked joins with those small
+    sets."""
     keys = [k for k, _ in DIM_KEYS]
-    resolved = fact.select(*keys)
+    flagged = fact.select(*keys)
+    unresolved = F.lit(False)
     for key, dim_name in DIM_KEYS:
-        resolved = resolved.join(dims[dim_name].select(key), key, "left_semi")
-    return count_difference(fact.select(*keys), resolved).select(F.col("violations").alias("n"))
+        missing = (
+            fact.select(key).distinct()
+            .join(dims[dim_name].select(key), key, "left_anti")
+            .where(F.col(key).isNotNull())
+            .select(F.col(key).alias(f"_m_{key}"))
+        )
+        flagged = join_checked(flagged, missing, F.col(key) == F.col(f"_m_{key}"), "left")
+        unresolved = unresolved | F.col(f"_m_{key}").isNotNull() | F.col(key).isNull()
+    return flagged.agg(F.count_if(unresolved).cast("bigint").alias("n"))
 
 
 def overlapping_versions(dim_customer: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ schema becomes a *validation job* that reports its violations as rows
   aggregate pass over that table;
 * primary keys / unique sets are a ``groupBy(key).count() > 1`` (partial
   aggregation, so a hot key value collapses map-side);
-* foreign keys are ``left_anti`` joins of the non-null child keys.
+* foreign keys are ``left_anti`` joins of the distinct non-null child keys
+  (with their row counts), so a hot key value is one row in the shuffle.
 
 Everything is unioned into one DataFrame, so the whole report is one action.
 The same rule objects render the oracle SQL, so the two engines check the same
@@ -110,11 +111,16 @@ def check_table(tables: dict[str, DataFrame], r: TableRules) -> list[DataFrame]:
         child = df.select(*fk.cols)
         for c in fk.cols:
             child = child.where(F.col(c).isNotNull())
+        # rows per key value first: a hot value collapses in the map-side
+        # partial aggregate, and only distinct values meet the parent
+        child = child.groupBy(*fk.cols).agg(F.count(F.lit(1)).alias("_rows"))
         cond = None
         for i, c in enumerate(fk.cols):
             term = F.col(c) == F.col(f"_p{i}")
             cond = term if cond is None else cond & term
-        orphans = child.join(parent, cond, "left_anti").agg(F.count(F.lit(1)).alias("violations"))
+        orphans = child.join(parent, cond, "left_anti").agg(
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations")
+        )
         name = f"foreign_key:{r.table}({_cols(fk.cols)})->{fk.parent}({_cols(fk.parent_cols)})"
         parts.append(_report_row(orphans, name, r.table))
     return parts
