@@ -70,8 +70,12 @@ def fact_order(
         order_lines_wide, "order_date", dim_customer, dim_employee, dim_product,
         salt_cols=[*ids, "stock_item_id"], split_rows=split_rows,
     )
-    link = order_backorders.select("order_id", F.col("backorder_order_id").alias("_backorder"))
-    f = f.join(link, "order_id", "left")
+    if "backorder_order_id" in order_lines_wide.columns:
+        # the lines already carry their order's link (joined at order grain)
+        f = f.withColumnRenamed("backorder_order_id", "_backorder")
+    else:
+        link = order_backorders.select("order_id", F.col("backorder_order_id").alias("_backorder"))
+        f = f.join(link, "order_id", "left")
     return f.select(
         *ids,
         date_key(F.col("order_date")).alias("date_key"),

@@ -170,7 +170,7 @@ def sources_from_tables(t: dict[str, DataFrame]) -> Sources:
         order_lines=t["order_lines"],
         invoices=t["invoices"],
         invoice_lines=t["invoice_lines"],
-        order_lines_wide=widen_order_lines(t["order_lines"], t["orders"]),
+        order_lines_wide=widen_order_lines(t["order_lines"], t["orders"], t["order_backorders"]),
         invoice_lines_wide=widen_invoice_lines(t["invoice_lines"], t["invoices"], t["orders"]),
         order_line_id_cols=("order_line_id",),
         invoice_line_id_cols=("invoice_line_id",),

@@ -35,7 +35,8 @@ class Sources:
     invoice_lines: DataFrame
     # order line + order header: order_id, line id column(s), stock_item_id,
     # salesperson_person_id, customer_id, order_date, quantity,
-    # picked_quantity, unit_price
+    # picked_quantity, unit_price (+ backorder_order_id when the header
+    # carries the backorder link)
     order_lines_wide: DataFrame
     # invoice line + invoice header + order date (null without an order)
     invoice_lines_wide: DataFrame
@@ -69,9 +70,14 @@ class Sources:
         return out
 
 
-def widen_order_lines(order_lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order lines with their order's customer, salesperson and date."""
+def widen_order_lines(
+    order_lines: DataFrame, orders: DataFrame, order_backorders: DataFrame | None = None
+) -> DataFrame:
+    """Order lines with their order's customer, salesperson, date and (when
+    given) backorder link -- joined to the header at order grain first."""
     header = orders.select("order_id", "customer_id", "salesperson_person_id", "order_date")
+    if order_backorders is not None:
+        header = header.join(order_backorders.select("order_id", "backorder_order_id"), "order_id", "left")
     return order_lines.join(header, "order_id")
 
 
