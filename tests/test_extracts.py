@@ -166,3 +166,16 @@ def test_pipeline_refuses_to_publish_broken_extracts(spark, tmp_out):
     with pytest.raises(ValueError, match="foreign_key:orders"):
         run_pipeline(spark, root, out)
     assert not os.path.exists(os.path.join(out, "oltp"))
+
+
+def test_command_line_pipeline(spark, tmp_out):
+    import argparse
+
+    from martwright.__main__ import run
+
+    root = write_fixture(os.path.join(tmp_out, "in"))
+    out = os.path.join(tmp_out, "out")
+    res = run(spark, argparse.Namespace(command="pipeline", extracts=root, out=out))
+    assert res["counts"]["dim_customer"] == 4
+    q10 = spark.read.option("header", True).csv(os.path.join(out, "results", "business_q10")).collect()
+    assert [r["customer_category"] for r in q10] == ["Novelty Shop", "Wholesaler"]
