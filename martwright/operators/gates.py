@@ -82,6 +82,9 @@ def unresolved_rows(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
             .join(dims[dim_name].select(key), key, "left_anti")
             .where(F.col(key).isNotNull())
             .select(F.col(key).alias(f"_m_{key}"))
+            # one pass over the fact column; the (normally empty) result is
+            # kept so the size check and the join do not both recompute it
+            .checkpoint(eager=True)
         )
         flagged = join_checked(flagged, missing, F.col(key) == F.col(f"_m_{key}"), "left")
         unresolved = unresolved | F.col(f"_m_{key}").isNotNull() | F.col(key).isNull()
