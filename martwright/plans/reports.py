@@ -129,8 +129,9 @@ def row_counts(wh: Warehouse) -> DataFrame:
     return _union(parts)
 
 
-def profile(df: DataFrame, table_name: str, exact: bool = False) -> DataFrame:
-    """One pass per table: rows, nulls and distinct values of every column.
+def profile(df: DataFrame, table_name: str, exact: bool = False, full: bool = False) -> DataFrame:
+    """One pass per table: rows, nulls and distinct values of every column
+    (``full=True`` adds the column type and its min / max as text).
 
     ``exact=False`` uses HyperLogLog++ (``approx_count_distinct``), which keeps
     the pass a plain aggregate at any scale; ``exact=True`` counts distinct
@@ -140,24 +141,33 @@ def profile(df: DataFrame, table_name: str, exact: bool = False) -> DataFrame:
         aggs.append(F.count(F.col(c)).cast("bigint").alias(f"_nn{i}"))
         distinct = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
         aggs.append(distinct.cast("bigint").alias(f"_d{i}"))
+        if full:
+            aggs.append(F.min(F.col(c)).cast("string").alias(f"_lo{i}"))
+            aggs.append(F.max(F.col(c)).cast("string").alias(f"_hi{i}"))
     row = df.agg(*aggs)
-    entries = [
-        F.struct(
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    entries = []
+    for i, c in enumerate(df.columns):
+        fields = [
             F.lit(c).alias("column_name"),
             (F.col("_rows") - F.col(f"_nn{i}")).alias("nulls"),
             F.col(f"_d{i}").alias("distinct_values"),
-        )
-        for i, c in enumerate(df.columns)
-    ]
+        ]
+        if full:
+            fields += [
+                F.lit(types[c]).alias("data_type"),
+                F.col(f"_lo{i}").alias("min_value"),
+                F.col(f"_hi{i}").alias("max_value"),
+            ]
+        entries.append(F.struct(*fields))
+    out_cols = ["_e.column_name", "row_count", "_e.nulls", "_e.distinct_values"]
+    if full:
+        out_cols += ["_e.data_type", "_e.min_value", "_e.max_value"]
     return row.select(F.col("_rows").alias("row_count"), F.explode(F.array(*entries)).alias("_e")).select(
-        F.lit(table_name).alias("table_name"),
-        "_e.column_name",
-        "row_count",
-        "_e.nulls",
-        "_e.distinct_values",
+        F.lit(table_name).alias("table_name"), *out_cols
     )
 
 
-def table_profile(wh: Warehouse, exact: bool = True) -> DataFrame:
+def table_profile(wh: Warehouse, exact: bool = True, full: bool = False) -> DataFrame:
     tables = wh.sources.tables()
-    return _union([profile(tables[n], n, exact=exact) for n in SOURCE_ORDER if n in tables])
+    return _union([profile(tables[n], n, exact=exact, full=full) for n in SOURCE_ORDER if n in tables])

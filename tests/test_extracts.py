@@ -179,3 +179,13 @@ def test_command_line_pipeline(spark, tmp_out):
     assert res["counts"]["dim_customer"] == 4
     q10 = spark.read.option("header", True).csv(os.path.join(out, "results", "business_q10")).collect()
     assert [r["customer_category"] for r in q10] == ["Novelty Shop", "Wholesaler"]
+
+
+def test_full_profile(spark, tmp_out):
+    from martwright.plans.reports import profile
+
+    t = ingest(spark, write_fixture(tmp_out))
+    rows = {r["column_name"]: r for r in profile(t["stock_items"], "stock_items", full=True).collect()}
+    assert rows["unit_price"]["data_type"] == "decimal(18,2)"
+    assert (rows["unit_price"]["min_value"], rows["unit_price"]["max_value"]) == ("5.50", "20.00")
+    assert rows["color_id"]["nulls"] == 2 and rows["brand"]["distinct_values"] == 1
