@@ -45,22 +45,6 @@ def _cols(cols) -> str:
     return ",".join(cols)
 
 
-def rule_names(r: TableRules) -> list[tuple[str, str]]:
-    """(rule name, kind) in report order."""
-    out = []
-    nn = list(dict.fromkeys([*r.primary_key, *r.not_null]))
-    out += [(f"not_null:{r.table}({c})", "not_null") for c in nn]
-    out += [(f"non_negative:{r.table}({c})", "non_negative") for c in r.non_negative]
-    if r.primary_key:
-        out.append((f"primary_key:{r.table}({_cols(r.primary_key)})", "primary_key"))
-    out += [(f"unique:{r.table}({_cols(u)})", "unique") for u in r.unique]
-    out += [
-        (f"foreign_key:{r.table}({_cols(fk.cols)})->{fk.parent}({_cols(fk.parent_cols)})", "fk")
-        for fk in r.foreign_keys
-    ]
-    return out
-
-
 def _report_row(df: DataFrame, rule: str, table: str) -> DataFrame:
     return df.select(
         F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), F.col("violations").cast("bigint")
