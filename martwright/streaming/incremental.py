@@ -91,7 +91,8 @@ def load_batch(spark: SparkSession, cfg: IncrementalLoad, batch: DataFrame, batc
             # latest event time of every batch recorded so far (one row each)
             horizon = seen.agg(F.max("max_event_time")).first()[0]
         event_type = batch.schema[cfg.event_col].dataType.simpleString()
-        cutoff = F.lit(horizon - cfg.allowed_delay if horizon is not None else None).cast(event_type)
+        # the cutoff travels as text, so no time zone is involved
+        cutoff = F.lit(str(horizon - cfg.allowed_delay) if horizon is not None else None).cast(event_type)
         stats = batch.agg(
             F.count(F.lit(1)).cast("bigint").alias("rows_in_batch"),
             F.count_if(F.col(cfg.event_col) < cutoff).cast("bigint").alias("late_rows"),
