@@ -132,7 +132,19 @@ def _incremental_line_load(spark, d):
     return spark.read.parquet(cfg.target).select(*schema.names)
 
 
+def _result_sink_round_trip(spark, d):
+    """The backorder question (one row per link: grows with the orders)
+    written by the result sink as header CSV and read back with its schema."""
+    from martwright.plans.pipeline import write_result
+
+    df = _q08(spark, d)
+    path = scratch_path(spark, "result-q08")
+    write_result(df, path)
+    return spark.read.schema(df.schema).option("header", "true").csv(path)
+
+
 REPORTS: dict[str, QueryFn] = {
+    "result_sink_round_trip": _result_sink_round_trip,
     "incremental_line_load": _incremental_line_load,
     "csv_round_trip": _csv_round_trip,
     "constraint_report": lambda s, d: r.constraint_report(warehouse_for(s, d)),
