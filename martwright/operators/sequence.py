@@ -42,6 +42,16 @@ def _pieces(df: DataFrame, key_col: str, order_cols: list[str | Column], num_par
     )
 
 
+def _attach(inner: DataFrame, carry: DataFrame, key_col: str) -> DataFrame:
+    """Left-join the per-piece carry values; null keys match null-safely, as
+    rows with a null key form one window partition."""
+    c = carry.select(
+        F.col(_PID).alias("_sq_cpid"), F.col(key_col).alias("_sq_ckey"), "_sq_carry"
+    )
+    cond = (F.col(_PID) == F.col("_sq_cpid")) & F.col(key_col).eqNullSafe(F.col("_sq_ckey"))
+    return inner.join(c, cond, "left").drop("_sq_cpid", "_sq_ckey")
+
+
 def next_in_key(
     df: DataFrame,
     key_col: str,
@@ -67,7 +77,7 @@ def next_in_key(
         key_col,
         F.lead("_sq_first").over(Window.partitionBy(key_col).orderBy(_PID)).alias("_sq_carry"),
     )
-    out = inner.join(carry, [_PID, key_col], "left").withColumn(
+    out = _attach(inner, carry, key_col).withColumn(
         out_col, F.when(F.col("_sq_last"), F.col("_sq_carry")).otherwise(F.col("_sq_next"))
     )
     return out.drop(_PID, _POS, "_sq_next", "_sq_last", "_sq_carry")
@@ -100,7 +110,7 @@ def prior_max_in_key(
         .over(Window.partitionBy(key_col).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))
         .alias("_sq_carry"),
     )
-    out = inner.join(carry, [_PID, key_col], "left").withColumn(
+    out = _attach(inner, carry, key_col).withColumn(
         out_col, F.greatest(F.col("_sq_inner"), F.col("_sq_carry"))
     )
     return out.drop(_PID, _POS, "_sq_inner", "_sq_carry")

@@ -74,3 +74,18 @@ def test_small_path_equals_distributed_path(spark):
     a = dense_key(df, ["k", "t", "v"], "key", small_rows=0).select("v", "key")
     b = dense_key(df, ["k", "t", "v"], "key").select("v", "key")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_keyed_scans_with_null_keys(spark):
+    df = _hot(spark, 1200).withColumn("k", F.when(F.col("k") == 7, F.lit(None)).otherwise(F.col("k")))
+    w = Window.partitionBy("k").orderBy("t", "v")
+    got = next_in_key(df, "k", ["t", "v"], "v", "nxt", num_partitions=5, small_rows=0)
+    want = df.withColumn("nxt", F.lead("v").over(w))
+    assert sorted(map(tuple, got.select("v", "nxt").collect())) == sorted(
+        map(tuple, want.select("v", "nxt").collect())
+    )
+    got = prior_max_in_key(df, "k", ["t", "v"], "v", "pm", num_partitions=5, small_rows=0)
+    want = df.withColumn("pm", F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    assert sorted(map(tuple, got.select("v", "pm").collect())) == sorted(
+        map(tuple, want.select("v", "pm").collect())
+    )
