@@ -26,7 +26,7 @@ _SALT = "_hk_salt"
 _N = "_hk_n"
 
 
-def hot_keys(fact: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> dict[str, DataFrame]:
+def hot_keys(fact: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> dict[str, DataFrame | None]:
     """For each key column, the values holding more than ``split_rows`` fact
     rows and the number of pieces to split each into.
 
@@ -39,7 +39,9 @@ def hot_keys(fact: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) ->
     # one pass over the fact; the (small) result is checkpointed so the
     # per-key look-ups below do not rescan the fact
     sets = sets.where(F.col("_hk_rows") > split_rows).checkpoint(eager=True)
-    out = {}
+    if sets.count() == 0:  # the normal case: no key needs splitting
+        return {k: None for k in keys}
+    out: dict[str, DataFrame | None] = {}
     n = len(keys)
     for i, k in enumerate(keys):
         gid = (1 << n) - 1 - (1 << (n - 1 - i))  # all bits set except this key's

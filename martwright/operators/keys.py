@@ -51,13 +51,17 @@ def dense_key(
 
     The order columns must identify a row (a natural key); then the numbers
     do not depend on how rows are partitioned."""
-    if small_rows and df.count() <= small_rows:
-        w = Window.orderBy(*order_cols)
-        return df.withColumn(key_col, (F.row_number().over(w) + (start - 1)).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
+    # The input (typically a join of source tables) is computed once and
+    # kept in the shared checkpoint folder: the size check, the numbering
+    # and every later reader of the dimension start from these files.
+    base = df.checkpoint(eager=True)
+    if small_rows and base.count() <= small_rows:
+        w = Window.orderBy(*order_cols)
+        return base.withColumn(key_col, (F.row_number().over(w) + (start - 1)).cast("bigint"))
     n = _partition_count(df, num_partitions)
     ranged = (
-        df.repartitionByRange(n, *order_cols)
+        base.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .checkpoint(eager=True)
     )
