@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from martwright.operators.gates import enforce, quality_gates
 from martwright.operators.quality import EXTRACT_RULES, check_constraints
 from martwright.plans import questions as q
+from martwright.plans.reports import row_counts
 from martwright.plans.warehouse import CategoryChange, Warehouse, build_warehouse, store_warehouse
 from martwright.sources.extracts import ingest, publish_snapshot, read_published, sources_from_tables
 
@@ -92,9 +93,17 @@ def run_pipeline(
     for name, df in question_frames(wh).items():
         write_result(df, f"{results_dir}/{name}")
 
-    counts = {n: t.count() for n, t in wh.tables().items()}
+    # source and warehouse row counts: one union of one-row counts, one action
+    counted = {r["table_name"]: r["row_count"] for r in row_counts(wh).collect()}
+    counts = {n: counted[n] for n in wh.tables()}
     gates = enforce(warehouse_gates(wh))
-    log = [f"{n}: {c:,}" for n, c in counts.items()] + [f"PASS: {rule}" for rule, _ in gates]
+    log = (
+        ["Source row counts:"]
+        + [f"  {n}: {c:,}" for n, c in counted.items() if n not in counts]
+        + ["Warehouse row counts:"]
+        + [f"  {n}: {c:,}" for n, c in counts.items()]
+        + [f"PASS: {rule}" for rule, _ in gates]
+    )
     spark.createDataFrame([(line,) for line in log], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(f"{results_dir}/pipeline_log")
