@@ -29,6 +29,11 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 
+# A batch touching at most this many target partitions lists them to prune
+# the target scan; beyond it the pruning is done by a semi join.
+MAX_LISTED_PARTITIONS = 10_000
+
+
 @dataclass(frozen=True)
 class IncrementalLoad:
     source_glob: str  # e.g. /landing/lineitem*.parquet
@@ -73,8 +78,12 @@ def load_batch(spark: SparkSession, cfg: IncrementalLoad, batch: DataFrame, batc
             # Only the partitions this batch touches can hold its keys: list
             # them (one value per partition, e.g. a few months) and prune the
             # target scan to those folders.
-            touched = [r[0] for r in rows.select(cfg.partition_col).distinct().collect()]
-            old = old.where(F.col(cfg.partition_col).isin(touched))
+            values = rows.select(cfg.partition_col).distinct()
+            touched = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+            if len(touched) <= MAX_LISTED_PARTITIONS:
+                old = old.where(F.col(cfg.partition_col).isin(touched))
+            else:  # too many to list: restrict by a semi join instead
+                old = old.join(values, cfg.partition_col, "left_semi")
             keys.append(cfg.partition_col)
         rows = rows.alias("_new").join(
             old.select(*keys).alias("_old"), _null_safe_match(keys), "left_anti"
