@@ -116,9 +116,11 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[TableRules]) ->
     for r in rules:
         if r.table in tables:
             parts.extend(check_table(tables, r))
+    # every part is (rule, table_name, violations) in this order: a positional
+    # union avoids re-resolving names on an ever larger plan
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.union(p)
     return out
 
 
