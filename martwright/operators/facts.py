@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from martwright.functions.calendar import date_key
 from martwright.functions.money import money
 from martwright.operators.asof import asof_join
-from martwright.operators.joins import SPLIT_ROWS, hot_keys, salted_join
+from martwright.operators.joins import SPLIT_ROWS, hot_keys, substitute_key
 
 
 def _unique(cols) -> list[str]:
@@ -42,18 +42,22 @@ def _key_dims(
     # Hot natural keys (a customer, product or salesperson with more than
     # ``split_rows`` lines) are found in one pass and split over tasks.
     hot = hot_keys(fact, ["stock_item_id", "customer_id", "salesperson_person_id"], split_rows)
-    # Product first: line frames built by a join on the item key are already
-    # partitioned by it, so this join adds no exchange on the fact side.
-    products = dim_product.select(F.col("stock_item_id").alias("_p_item"), "product_key")
-    f = salted_join(fact, products, "stock_item_id", "_p_item", hot["stock_item_id"], salt_cols).drop("_p_item")
+    # Product and salesperson keys: arithmetic when provably an offset of
+    # the natural key (no shuffle of the fact), else a join. Product first:
+    # line frames built by a join on the item key are already partitioned by
+    # it, so even the join adds no exchange on the fact side.
+    f = substitute_key(
+        fact, dim_product, "stock_item_id", "stock_item_id", "product_key",
+        hot=hot["stock_item_id"], salt_cols=salt_cols,
+    )
     f = asof_join(
         f, dim_customer, "customer_id", date_col, "customer_id", "customer_key",
         hot=hot["customer_id"], salt_cols=salt_cols,
     )
-    employees = dim_employee.select(F.col("person_id").alias("_e_person"), "employee_key")
-    return salted_join(
-        f, employees, "salesperson_person_id", "_e_person", hot["salesperson_person_id"], salt_cols
-    ).drop("_e_person")
+    return substitute_key(
+        f, dim_employee, "salesperson_person_id", "person_id", "employee_key",
+        hot=hot["salesperson_person_id"], salt_cols=salt_cols,
+    )
 
 
 def fact_order(

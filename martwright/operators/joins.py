@@ -88,3 +88,52 @@ def salted_join(
     if extra_condition is not None:
         cond = cond & extra_condition
     return f.join(d, cond).drop(_SALT, "_hk_salt_d")
+
+
+def arithmetic_key(dim: DataFrame, natural: str, surrogate: str) -> tuple[int, int] | None:
+    """``(natural_min, surrogate_min)`` when every dimension row satisfies
+    ``surrogate = natural - natural_min + surrogate_min`` (dense keys numbered
+    in natural-key order over contiguous natural keys), else None.
+
+    Two aggregates over the dimension; no fact data is touched."""
+    lo = dim.agg(F.min(natural).alias("lo"), F.min(surrogate).alias("s_lo")).first()
+    if lo is None or lo["lo"] is None:
+        return None
+    off = F.col(natural) - F.lit(lo["lo"]) + F.lit(lo["s_lo"])
+    bad = dim.agg(
+        F.count_if(F.col(natural).isNull() | F.col(surrogate).isNull() | (F.col(surrogate) != off)).alias("bad")
+    ).first()["bad"]
+    return (int(lo["lo"]), int(lo["s_lo"])) if bad == 0 else None
+
+
+def all_keys_present(fact: DataFrame, fact_key: str, dim: DataFrame, natural: str) -> bool:
+    """Every non-null fact key has a dimension row: distinct fact keys (map-side
+    partial aggregation) anti-joined with the dimension, stop at the first."""
+    keys = fact.select(F.col(fact_key).alias("_ap_k")).where(F.col("_ap_k").isNotNull()).distinct()
+    missing = keys.join(dim.select(F.col(natural).alias("_ap_k")), "_ap_k", "left_anti")
+    return missing.limit(1).count() == 0
+
+
+def substitute_key(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    natural: str,
+    surrogate: str,
+    hot: DataFrame | None = None,
+    salt_cols: list[str] | None = None,
+) -> DataFrame:
+    """``fact`` with ``surrogate`` looked up by ``fact_key = dim.natural``,
+    with inner-join semantics (rows without a match are dropped).
+
+    When the surrogate is provably an offset of the natural key and every fact
+    key exists in the dimension, the look-up is arithmetic: no join, so no
+    shuffle of the fact. Otherwise a (hot-key-splitting) join."""
+    offset = arithmetic_key(dim, natural, surrogate)
+    if offset is not None and all_keys_present(fact, fact_key, dim, natural):
+        lo, s_lo = offset
+        return fact.where(F.col(fact_key).isNotNull()).withColumn(
+            surrogate, (F.col(fact_key) - F.lit(lo) + F.lit(s_lo)).cast("bigint")
+        )
+    lookup = dim.select(F.col(natural).alias("_sk_nat"), F.col(surrogate))
+    return salted_join(fact, lookup, fact_key, "_sk_nat", hot, salt_cols or [fact_key]).drop("_sk_nat")

@@ -187,3 +187,29 @@ def test_facts_with_forced_splitting_match(spark):
     for got, name in ((split_o, "fact_order"), (split_s, "fact_sale")):
         want = all_queries()[name](spark, SF_SMALL)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+def test_substitute_key_paths(spark):
+    from martwright.operators.joins import arithmetic_key, substitute_key
+
+    fact = spark.createDataFrame(
+        [(1, 10), (2, 11), (3, 12), (4, None), (5, 10)], "line long, k long"
+    )
+    dense = spark.createDataFrame([(10, 1), (11, 2), (12, 3)], "nat long, sk long")
+    gappy = spark.createDataFrame([(10, 1), (12, 2), (13, 3), (11, 9)], "nat long, sk long")
+    short = spark.createDataFrame([(10, 1), (11, 2)], "nat long, sk long")
+    assert arithmetic_key(dense, "nat", "sk") == (10, 1)
+    assert arithmetic_key(gappy, "nat", "sk") is None
+
+    def rows(df):
+        return sorted((r["line"], r["sk"]) for r in df.select("line", "sk").collect())
+
+    def plain(dim):
+        return fact.join(dim, F.col("k") == F.col("nat"))
+
+    got = substitute_key(fact, dense, "k", "nat", "sk")
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()  # arithmetic path
+    assert rows(got) == rows(plain(dense)) == [(1, 1), (2, 2), (3, 3), (5, 1)]
+    assert rows(substitute_key(fact, gappy, "k", "nat", "sk")) == rows(plain(gappy))
+    # key 12 has no dimension row: the join path drops it, like an inner join
+    assert rows(substitute_key(fact, short, "k", "nat", "sk")) == rows(plain(short)) == [(1, 1), (2, 2), (5, 1)]
