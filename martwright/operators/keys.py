@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.session import ensure_checkpoint_dir
+from martwright.session import ensure_checkpoint_dir, stash
 
 
 def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
@@ -53,9 +53,11 @@ def dense_key(
     do not depend on how rows are partitioned."""
     ensure_checkpoint_dir(df.sparkSession)
     # The input (typically a join of source tables) is computed once and
-    # kept in the shared checkpoint folder: the size check, the numbering
-    # and every later reader of the dimension start from these files.
-    base = df.checkpoint(eager=True)
+    # kept as parquet in the shared checkpoint folder: the size check, the
+    # numbering and every later reader of the dimension start from these
+    # files, and the planner knows their size. (The range-partitioned copy
+    # below is an RDD checkpoint instead: its partition layout must survive.)
+    base = stash(df, "dense-key-input")
     if small_rows and base.count() <= small_rows:
         w = Window.orderBy(*order_cols)
         return base.withColumn(key_col, (F.row_number().over(w) + (start - 1)).cast("bigint"))

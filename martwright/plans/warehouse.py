@@ -24,7 +24,7 @@ from martwright.operators.dimensions import (
 )
 from martwright.operators.facts import fact_order, fact_sale
 from martwright.operators.scd2 import apply_scd2
-from martwright.session import scratch_path
+from martwright.session import scratch_path, stash
 from martwright.sources.model import DERIVED_SOURCES, Sources, parquet_materializer, store_sources
 from martwright.sources.staging import stage_driver_tables
 
@@ -107,8 +107,9 @@ def build_warehouse(src: Sources, change: CategoryChange | None = DEFAULT_CHANGE
         changes = changed_snapshot(src, change)
         # the finished dimension is written once to the shared checkpoint
         # folder; both facts and every question read it instead of
-        # recomputing the history rewrite
-        customers = apply_scd2(initial, changes, change.change_date).checkpoint(eager=True)
+        # recomputing the history rewrite (as parquet, so the planner sees
+        # its size)
+        customers = stash(apply_scd2(initial, changes, change.change_date), "dim_customer")
     else:
         changes = snapshot.limit(0)
         customers = initial

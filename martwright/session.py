@@ -78,3 +78,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stash(df, name: str):
+    """Write ``df`` as parquet in a fresh folder below the shared checkpoint
+    folder and return it read back: lineage is cut like ``checkpoint()``, and
+    the planner gets a size estimate from the files (a checkpointed RDD has
+    none, which can make the planner broadcast the *other*, bigger side)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
