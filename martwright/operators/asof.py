@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.operators.joins import salted_join
+from martwright.operators.joins import BROADCAST_ROWS, all_keys_present, arithmetic_key, salted_join
 
 
 def asof_join(
@@ -40,3 +40,62 @@ def asof_join(
     in_range = F.col(fact_date).between(F.col("_v_start"), F.col("_v_end"))
     joined = salted_join(fact, versions, fact_key, "_v_id", hot, salt_cols or [fact_key], in_range)
     return joined.drop("_v_id", "_v_start", "_v_end")
+
+
+def versioned_key(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    fact_date: str,
+    dim_key: str,
+    surrogate: str,
+    open_start,
+    open_end,
+    start_col: str = "effective_start_date",
+    end_col: str = "effective_end_date",
+    hot: DataFrame | None = None,
+    salt_cols: list[str] | None = None,
+    max_broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The version join, split by kind of history:
+
+    * ids whose history is one open version (``open_start``..``open_end``)
+      get the key by arithmetic when it is provably an offset of the id and
+      every fact id exists in the dimension -- no join, no shuffle;
+    * the other ids (a counted, broadcast set) take the version join against
+      their own versions only (broadcast when counted small).
+
+    Falls back to ``asof_join`` when a proof fails or the set is too big.
+    Same rows as the plain version join."""
+
+    def general():
+        return asof_join(fact, dim, fact_key, fact_date, dim_key, surrogate, start_col, end_col, hot, salt_cols)
+
+    per_id = dim.groupBy(F.col(dim_key).alias("_vk_id")).agg(
+        F.count(F.lit(1)).alias("_vk_n"),
+        F.min(start_col).alias("_vk_s"),
+        F.max(end_col).alias("_vk_e"),
+        F.min(surrogate).alias("_vk_k"),
+    )
+    single = (F.col("_vk_n") == 1) & (F.col("_vk_s") == F.lit(open_start)) & (F.col("_vk_e") == F.lit(open_end))
+    complex_ids = per_id.where(~single | F.col("_vk_id").isNull()).select("_vk_id")
+    if complex_ids.count() > max_broadcast_rows:
+        return general()
+    offset = arithmetic_key(per_id.where(single), "_vk_id", "_vk_k")
+    if offset is None or not all_keys_present(fact, fact_key, dim, dim_key):
+        return general()
+    lo, s_lo = offset
+    ids = F.broadcast(complex_ids)  # counted above
+    in_range = F.col(fact_date).between(F.lit(open_start), F.lit(open_end))
+    plain = (
+        fact.join(ids, F.col(fact_key) == F.col("_vk_id"), "left_anti")
+        .where(F.col(fact_key).isNotNull() & in_range)
+        .withColumn(surrogate, (F.col(fact_key) - F.lit(lo) + F.lit(s_lo)).cast("bigint"))
+    )
+    history = dim.join(ids, F.col(dim_key) == F.col("_vk_id"), "left_semi")
+    with_history = fact.join(ids, F.col(fact_key) == F.col("_vk_id"), "left_semi")
+    if history.count() <= max_broadcast_rows:
+        versioned = asof_join(with_history, F.broadcast(history), fact_key, fact_date, dim_key, surrogate, start_col, end_col)
+    else:
+        versioned = asof_join(with_history, history, fact_key, fact_date, dim_key, surrogate, start_col, end_col, hot, salt_cols)
+    return plain.unionByName(versioned)

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from martwright.functions.calendar import date_key
 from martwright.functions.money import money
-from martwright.operators.asof import asof_join
+from martwright.operators.asof import versioned_key
+from martwright.operators.dimensions import OPEN_END, OPEN_START
 from martwright.operators.joins import SPLIT_ROWS, hot_keys, substitute_key
 
 
@@ -50,9 +51,9 @@ def _key_dims(
         fact, dim_product, "stock_item_id", "stock_item_id", "product_key",
         hot=hot["stock_item_id"], salt_cols=salt_cols,
     )
-    f = asof_join(
+    f = versioned_key(
         f, dim_customer, "customer_id", date_col, "customer_id", "customer_key",
-        hot=hot["customer_id"], salt_cols=salt_cols,
+        OPEN_START, OPEN_END, hot=hot["customer_id"], salt_cols=salt_cols,
     )
     return substitute_key(
         f, dim_employee, "salesperson_person_id", "person_id", "employee_key",

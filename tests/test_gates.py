@@ -213,3 +213,27 @@ def test_substitute_key_paths(spark):
     assert rows(substitute_key(fact, gappy, "k", "nat", "sk")) == rows(plain(gappy))
     # key 12 has no dimension row: the join path drops it, like an inner join
     assert rows(substitute_key(fact, short, "k", "nat", "sk")) == rows(plain(short)) == [(1, 1), (2, 2), (5, 1)]
+
+
+def test_versioned_key_matches_version_join(spark):
+    from martwright.operators.asof import asof_join, versioned_key
+
+    dim = clean(spark)["dims"]["dim_customer"]  # id 10 has two versions, id 20 one open version
+    facts = spark.createDataFrame(
+        [
+            (1, 10, D(2014, 12, 31)), (2, 10, D(2015, 1, 1)), (3, 20, D(2000, 1, 1)),
+            (4, 20, None), (5, None, D(2000, 1, 1)), (6, 20, D(1850, 1, 1)),
+        ],
+        "line long, customer_id long, d date",
+    )
+    want = asof_join(facts, dim, "customer_id", "d", "customer_id", "customer_key")
+    args = (facts, dim, "customer_id", "d", "customer_id", "customer_key", D(1900, 1, 1), OPEN)
+
+    def rows(df):
+        return sorted((r["line"], r["customer_key"]) for r in df.collect())
+
+    assert rows(versioned_key(*args)) == rows(want) == [(1, 1), (2, 3), (3, 2)]
+    assert rows(versioned_key(*args, max_broadcast_rows=0)) == rows(want)  # general path
+    missing = facts.unionByName(spark.createDataFrame([(7, 30, D(2000, 1, 1))], facts.schema))
+    got = versioned_key(missing, *args[1:])  # id 30 unknown: proof fails, join drops it
+    assert rows(got) == rows(asof_join(missing, dim, "customer_id", "d", "customer_id", "customer_key"))
