@@ -14,7 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.operators.joins import BROADCAST_ROWS, all_keys_present, arithmetic_key, salted_join
+from martwright.operators.joins import (
+    BROADCAST_ROWS,
+    KeyProfile,
+    all_keys_present,
+    arithmetic_key,
+    salted_join,
+)
 
 
 def asof_join(
@@ -56,6 +62,7 @@ def versioned_key(
     hot: DataFrame | None = None,
     salt_cols: list[str] | None = None,
     max_broadcast_rows: int = BROADCAST_ROWS,
+    profile: KeyProfile | None = None,
 ) -> DataFrame:
     """The version join, split by kind of history:
 
@@ -82,7 +89,14 @@ def versioned_key(
     if complex_ids.count() > max_broadcast_rows:
         return general()
     offset = arithmetic_key(per_id.where(single), "_vk_id", "_vk_k")
-    if offset is None or not all_keys_present(fact, fact_key, dim, dim_key):
+    if offset is None:
+        return general()
+    present = (
+        profile.all_present(fact_key, dim, dim_key)
+        if profile is not None
+        else all_keys_present(fact, fact_key, dim, dim_key)
+    )
+    if not present:
         return general()
     lo, s_lo = offset
     ids = F.broadcast(complex_ids)  # counted above

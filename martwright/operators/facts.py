@@ -20,7 +20,7 @@ from martwright.functions.calendar import date_key
 from martwright.functions.money import money
 from martwright.operators.asof import versioned_key
 from martwright.operators.dimensions import OPEN_END, OPEN_START
-from martwright.operators.joins import SPLIT_ROWS, hot_keys, substitute_key
+from martwright.operators.joins import SPLIT_ROWS, KeyProfile, substitute_key
 
 
 def _unique(cols) -> list[str]:
@@ -40,24 +40,27 @@ def _key_dims(
     salt_cols: list[str],
     split_rows: int,
 ) -> DataFrame:
-    # Hot natural keys (a customer, product or salesperson with more than
-    # ``split_rows`` lines) are found in one pass and split over tasks.
-    hot = hot_keys(fact, ["stock_item_id", "customer_id", "salesperson_person_id"], split_rows)
+    # One pass over the fact profiles its three natural keys (distinct values
+    # with row counts): hot values (more than ``split_rows`` lines) are split
+    # over tasks, and the existence proofs below read the profile, not the
+    # fact.
+    profile = KeyProfile(fact, ["stock_item_id", "customer_id", "salesperson_person_id"])
+    hot = profile.hot_all(split_rows)
     # Product and salesperson keys: arithmetic when provably an offset of
     # the natural key (no shuffle of the fact), else a join. Product first:
     # line frames built by a join on the item key are already partitioned by
     # it, so even the join adds no exchange on the fact side.
     f = substitute_key(
         fact, dim_product, "stock_item_id", "stock_item_id", "product_key",
-        hot=hot["stock_item_id"], salt_cols=salt_cols,
+        hot=hot["stock_item_id"], salt_cols=salt_cols, profile=profile,
     )
     f = versioned_key(
         f, dim_customer, "customer_id", date_col, "customer_id", "customer_key",
-        OPEN_START, OPEN_END, hot=hot["customer_id"], salt_cols=salt_cols,
+        OPEN_START, OPEN_END, hot=hot["customer_id"], salt_cols=salt_cols, profile=profile,
     )
     return substitute_key(
         f, dim_employee, "salesperson_person_id", "person_id", "employee_key",
-        hot=hot["salesperson_person_id"], salt_cols=salt_cols,
+        hot=hot["salesperson_person_id"], salt_cols=salt_cols, profile=profile,
     )
 
 

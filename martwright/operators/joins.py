@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martwright.session import stash
+
 # A side with at most this many rows (counted) is broadcast to every task.
 BROADCAST_ROWS = 1_000_000
 
@@ -26,29 +28,70 @@ _SALT = "_hk_salt"
 _N = "_hk_n"
 
 
-def hot_keys(fact: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> dict[str, DataFrame | None]:
-    """For each key column, the values holding more than ``split_rows`` fact
-    rows and the number of pieces to split each into.
+class KeyProfile:
+    """Distinct values and row counts of several key columns of a fact, from
+    one pass (GROUPING SETS with partial aggregation per task), stored as
+    parquet in the shared checkpoint folder.
 
-    One pass over the fact (GROUPING SETS, partial aggregation per task). At
-    most rows / ``split_rows`` values can qualify per key, so each result is
-    small by construction (and is counted again before any broadcast)."""
-    sets = fact.groupingSets([[k] for k in keys], *keys).agg(
-        F.count(F.lit(1)).alias("_hk_rows"), F.grouping_id().alias("_hk_gid")
-    )
-    # one pass over the fact; the (small) result is checkpointed so the
-    # per-key look-ups below do not rescan the fact
-    sets = sets.where(F.col("_hk_rows") > split_rows).checkpoint(eager=True)
-    if sets.count() == 0:  # the normal case: no key needs splitting
-        return {k: None for k in keys}
-    out: dict[str, DataFrame | None] = {}
-    n = len(keys)
-    for i, k in enumerate(keys):
-        gid = (1 << n) - 1 - (1 << (n - 1 - i))  # all bits set except this key's
-        out[k] = sets.where(F.col("_hk_gid") == gid).select(
-            F.col(k).alias("_hk_id"), F.ceil(F.col("_hk_rows") / F.lit(split_rows)).cast("int").alias(_N)
+    The profile is dimension-sized (one row per distinct key value) and
+    answers, without touching the fact again, which values are hot and
+    whether every value exists in a dimension."""
+
+    def __init__(self, fact: DataFrame, keys: list[str]):
+        self.keys = list(keys)
+        sets = fact.groupingSets([[k] for k in keys], *keys).agg(
+            F.count(F.lit(1)).alias("_kp_rows"), F.grouping_id().alias("_kp_gid")
+        )
+        n = len(keys)
+        # one value column: the key of the set each row belongs to
+        value = None
+        for i, k in enumerate(keys):
+            gid = (1 << n) - 1 - (1 << (n - 1 - i))  # all bits set except this key's
+            term = F.when(F.col("_kp_gid") == gid, F.col(k))
+            value = term if value is None else value.when(F.col("_kp_gid") == gid, F.col(k))
+        which = None
+        for i, k in enumerate(keys):
+            gid = (1 << n) - 1 - (1 << (n - 1 - i))
+            which = F.when(F.col("_kp_gid") == gid, F.lit(k)) if which is None else which.when(
+                F.col("_kp_gid") == gid, F.lit(k)
+            )
+        self.table = stash(
+            sets.select(which.alias("_kp_key"), value.alias("_kp_value"), "_kp_rows"), "key-profile"
+        )
+
+    def values(self, key: str) -> DataFrame:
+        return self.table.where(F.col("_kp_key") == key).select(
+            F.col("_kp_value").alias("_kp_value"), "_kp_rows"
         )
-    return out
+
+    def hot(self, key: str, split_rows: int = SPLIT_ROWS) -> DataFrame | None:
+        """Values of ``key`` holding more than ``split_rows`` rows with their
+        piece counts, or None when there are none (at most rows / split_rows
+        values can qualify)."""
+        hot = self.values(key).where(F.col("_kp_rows") > split_rows).select(
+            F.col("_kp_value").alias("_hk_id"),
+            F.ceil(F.col("_kp_rows") / F.lit(split_rows)).cast("int").alias(_N),
+        )
+        return hot if hot.limit(1).count() > 0 else None
+
+    def hot_all(self, split_rows: int = SPLIT_ROWS) -> dict[str, DataFrame | None]:
+        """``hot`` for every key; one look at the profile answers the normal
+        case of no hot value at all."""
+        if self.table.where(F.col("_kp_rows") > split_rows).limit(1).count() == 0:
+            return {k: None for k in self.keys}
+        return {k: self.hot(k, split_rows) for k in self.keys}
+
+    def all_present(self, key: str, dim: DataFrame, natural: str) -> bool:
+        """Every non-null value of ``key`` has a dimension row."""
+        vals = self.values(key).where(F.col("_kp_value").isNotNull()).select("_kp_value")
+        missing = vals.join(dim.select(F.col(natural).alias("_kp_value")), "_kp_value", "left_anti")
+        return missing.limit(1).count() == 0
+
+
+def hot_keys(fact: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> dict[str, DataFrame | None]:
+    """For each key column, the values holding more than ``split_rows`` fact
+    rows and the number of pieces to split each into (None: no hot value)."""
+    return KeyProfile(fact, keys).hot_all(split_rows)
 
 
 def salted_join(
@@ -122,6 +165,7 @@ def substitute_key(
     surrogate: str,
     hot: DataFrame | None = None,
     salt_cols: list[str] | None = None,
+    profile: "KeyProfile | None" = None,
 ) -> DataFrame:
     """``fact`` with ``surrogate`` looked up by ``fact_key = dim.natural``,
     with inner-join semantics (rows without a match are dropped).
@@ -130,7 +174,12 @@ def substitute_key(
     key exists in the dimension, the look-up is arithmetic: no join, so no
     shuffle of the fact. Otherwise a (hot-key-splitting) join."""
     offset = arithmetic_key(dim, natural, surrogate)
-    if offset is not None and all_keys_present(fact, fact_key, dim, natural):
+    present = (
+        profile.all_present(fact_key, dim, natural)
+        if profile is not None
+        else offset is not None and all_keys_present(fact, fact_key, dim, natural)
+    )
+    if offset is not None and present:
         lo, s_lo = offset
         return fact.where(F.col(fact_key).isNotNull()).withColumn(
             surrogate, (F.col(fact_key) - F.lit(lo) + F.lit(s_lo)).cast("bigint")
