@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,7 +135,19 @@ def salted_join(
     return f.join(d, cond).drop(_SALT, "_hk_salt_d")
 
 
+# Per dimension DataFrame (immutable, so the answer cannot change): both
+# facts of a build ask the same question about the same dimension.
+_ARITHMETIC: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
 def arithmetic_key(dim: DataFrame, natural: str, surrogate: str) -> tuple[int, int] | None:
+    memo = _ARITHMETIC.setdefault(dim, {})
+    if (natural, surrogate) not in memo:
+        memo[(natural, surrogate)] = _arithmetic_key(dim, natural, surrogate)
+    return memo[(natural, surrogate)]
+
+
+def _arithmetic_key(dim: DataFrame, natural: str, surrogate: str) -> tuple[int, int] | None:
     """``(natural_min, surrogate_min)`` when every dimension row satisfies
     ``surrogate = natural - natural_min + surrogate_min`` (dense keys numbered
     in natural-key order over contiguous natural keys), else None.
