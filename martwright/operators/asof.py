@@ -63,6 +63,7 @@ def versioned_key(
     salt_cols: list[str] | None = None,
     max_broadcast_rows: int = BROADCAST_ROWS,
     profile: KeyProfile | None = None,
+    present: bool | None = None,
 ) -> DataFrame:
     """The version join, split by kind of history:
 
@@ -91,11 +92,12 @@ def versioned_key(
     offset = arithmetic_key(per_id.where(single), "_vk_id", "_vk_k")
     if offset is None:
         return general()
-    present = (
-        profile.all_present(fact_key, dim, dim_key)
-        if profile is not None
-        else all_keys_present(fact, fact_key, dim, dim_key)
-    )
+    if present is None:
+        present = (
+            profile.all_present(fact_key, dim, dim_key)
+            if profile is not None
+            else all_keys_present(fact, fact_key, dim, dim_key)
+        )
     if not present:
         return general()
     lo, s_lo = offset

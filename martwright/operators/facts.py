@@ -46,21 +46,30 @@ def _key_dims(
     # fact.
     profile = KeyProfile(fact, ["stock_item_id", "customer_id", "salesperson_person_id"])
     hot = profile.hot_all(split_rows)
+    present = profile.presence(
+        {
+            "stock_item_id": (dim_product, "stock_item_id"),
+            "customer_id": (dim_customer, "customer_id"),
+            "salesperson_person_id": (dim_employee, "person_id"),
+        }
+    )
     # Product and salesperson keys: arithmetic when provably an offset of
     # the natural key (no shuffle of the fact), else a join. Product first:
     # line frames built by a join on the item key are already partitioned by
     # it, so even the join adds no exchange on the fact side.
     f = substitute_key(
         fact, dim_product, "stock_item_id", "stock_item_id", "product_key",
-        hot=hot["stock_item_id"], salt_cols=salt_cols, profile=profile,
+        hot=hot["stock_item_id"], salt_cols=salt_cols, present=present["stock_item_id"],
     )
     f = versioned_key(
         f, dim_customer, "customer_id", date_col, "customer_id", "customer_key",
-        OPEN_START, OPEN_END, hot=hot["customer_id"], salt_cols=salt_cols, profile=profile,
+        OPEN_START, OPEN_END, hot=hot["customer_id"], salt_cols=salt_cols,
+        present=present["customer_id"],
     )
     return substitute_key(
         f, dim_employee, "salesperson_person_id", "person_id", "employee_key",
-        hot=hot["salesperson_person_id"], salt_cols=salt_cols, profile=profile,
+        hot=hot["salesperson_person_id"], salt_cols=salt_cols,
+        present=present["salesperson_person_id"],
     )
 
 

@@ -83,6 +83,20 @@ class KeyProfile:
             return {k: None for k in self.keys}
         return {k: self.hot(k, split_rows) for k in self.keys}
 
+    def presence(self, checks: dict[str, tuple[DataFrame, str]]) -> dict[str, bool]:
+        """``all_present`` for several keys in one action: per key at most one
+        missing value is looked for (a handful of rows reach the driver)."""
+        parts = []
+        for key, (dim, natural) in checks.items():
+            vals = self.values(key).where(F.col("_kp_value").isNotNull()).select("_kp_value")
+            missing = vals.join(dim.select(F.col(natural).alias("_kp_value")), "_kp_value", "left_anti")
+            parts.append(missing.limit(1).select(F.lit(key).alias("_kp_key")))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.union(p)
+        missing_keys = {r[0] for r in out.collect()}
+        return {key: key not in missing_keys for key in checks}
+
     def all_present(self, key: str, dim: DataFrame, natural: str) -> bool:
         """Every non-null value of ``key`` has a dimension row."""
         vals = self.values(key).where(F.col("_kp_value").isNotNull()).select("_kp_value")
@@ -180,6 +194,7 @@ def substitute_key(
     hot: DataFrame | None = None,
     salt_cols: list[str] | None = None,
     profile: "KeyProfile | None" = None,
+    present: bool | None = None,
 ) -> DataFrame:
     """``fact`` with ``surrogate`` looked up by ``fact_key = dim.natural``,
     with inner-join semantics (rows without a match are dropped).
@@ -188,11 +203,12 @@ def substitute_key(
     key exists in the dimension, the look-up is arithmetic: no join, so no
     shuffle of the fact. Otherwise a (hot-key-splitting) join."""
     offset = arithmetic_key(dim, natural, surrogate)
-    present = (
-        profile.all_present(fact_key, dim, natural)
-        if profile is not None
-        else offset is not None and all_keys_present(fact, fact_key, dim, natural)
-    )
+    if present is None and offset is not None:
+        present = (
+            profile.all_present(fact_key, dim, natural)
+            if profile is not None
+            else all_keys_present(fact, fact_key, dim, natural)
+        )
     if offset is not None and present:
         lo, s_lo = offset
         return fact.where(F.col(fact_key).isNotNull()).withColumn(

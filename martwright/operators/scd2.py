@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from martwright.operators.dimensions import CUSTOMER_ATTRIBUTES, OPEN_END
 from martwright.operators.keys import dense_key
+from martwright.session import stash
 
 
 def _differs(tracked: list[str]) -> F.Column:
@@ -57,6 +58,9 @@ def apply_scd2(
         .select(F.col(f"_cur.{key_col}").alias("_old_key"), F.col(f"_cur.{id_col}").alias(id_col))
         .join(already, id_col, "left_anti")
     )
+    # the (small) set of versions to expire feeds both the expiry and the
+    # append: computed once, with its snapshot joins, and kept
+    to_change = stash(to_change, "scd2-to-change")
 
     flagged = dim.join(
         to_change.select(F.col("_old_key").alias(key_col), F.lit(True).alias("_expire")),
