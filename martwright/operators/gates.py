@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.operators.joins import join_checked
+from martwright.operators.joins import KeyProfile, join_checked
 from martwright.operators.sequence import prior_max_in_key
 
 # Gate labels written by the reference (the last two are
@@ -69,25 +69,28 @@ def unresolved_rows(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows with at least one key missing from its dimension (a null key
     counts as missing).
 
-    First the *values* of each key that have no dimension row (distinct keys,
-    partial aggregation, anti join) -- normally none, at most a few. Only
-    then are fact rows flagged, through size-checked joins with those small
-    sets."""
+    One pass profiles the distinct values of the four keys; the profile (not
+    the fact) is anti-joined with each dimension. Normally nothing is
+    missing and the answer is a count of rows with a null key. Otherwise rows
+    are flagged through size-checked joins with the small missing sets."""
     keys = [k for k, _ in DIM_KEYS]
-    flagged = fact.select(*keys)
+    profile = KeyProfile(fact, keys)
+    present = profile.presence({k: (dims[d], k) for k, d in DIM_KEYS})
     unresolved = F.lit(False)
+    for key in keys:
+        unresolved = unresolved | F.col(key).isNull()
+    flagged = fact.select(*keys)
     for key, dim_name in DIM_KEYS:
+        if present[key]:
+            continue
         missing = (
-            fact.select(key).distinct()
-            .join(dims[dim_name].select(key), key, "left_anti")
-            .where(F.col(key).isNotNull())
-            .select(F.col(key).alias(f"_m_{key}"))
-            # one pass over the fact column; the (normally empty) result is
-            # kept so the size check and the join do not both recompute it
-            .checkpoint(eager=True)
+            profile.values(key)
+            .where(F.col("_kp_value").isNotNull())
+            .join(dims[dim_name].select(F.col(key).alias("_kp_value")), "_kp_value", "left_anti")
+            .select(F.col("_kp_value").alias(f"_m_{key}"))
         )
         flagged = join_checked(flagged, missing, F.col(key) == F.col(f"_m_{key}"), "left")
-        unresolved = unresolved | F.col(f"_m_{key}").isNotNull() | F.col(key).isNull()
+        unresolved = unresolved | F.col(f"_m_{key}").isNotNull()
     return flagged.agg(F.count_if(unresolved).cast("bigint").alias("n"))
 
 
