@@ -175,10 +175,10 @@ def store_warehouse(wh: Warehouse, path: str) -> Warehouse:
             # holds a contiguous date range, so a month is written by a few
             # balanced tasks (a busy month is split, not one huge task) and
             # the files are few and sorted by date.
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            # (no explicit count: AQE sizes the ranges from the data)
             (
                 df.withColumn("year_month", (F.col("date_key") / 100).cast("int"))
-                .repartitionByRange(n, "date_key", "customer_key")
+                .repartitionByRange("date_key", "customer_key")
                 .write.mode("overwrite")
                 .partitionBy("year_month")
                 .parquet(target)

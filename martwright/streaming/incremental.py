@@ -91,8 +91,7 @@ def load_batch(spark: SparkSession, cfg: IncrementalLoad, batch: DataFrame, batc
     if cfg.partition_col:
         # contiguous ranges of the partition value per task: a few files per
         # partition per batch, and a busy partition is still split over tasks
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartitionByRange(n, cfg.partition_col, cfg.key_cols[0])
+        rows = rows.repartitionByRange(cfg.partition_col, cfg.key_cols[0])  # AQE sizes the ranges
         rows.write.mode("append").partitionBy(cfg.partition_col).parquet(cfg.target)
     else:
         rows.write.mode("append").parquet(cfg.target)
