@@ -7,6 +7,8 @@ columns it contributes before the exchange. A key has few versions, so the
 residual check costs little. A key holding very many fact rows is split
 explicitly (``hot``: salted fact rows, repeated versions); AQE's skew-join
 handling remains on for whatever is left.
+
+``versioned_key`` avoids the join for ids without history (see there).
 """
 
 from __future__ import annotations

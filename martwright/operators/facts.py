@@ -1,14 +1,22 @@
 """Fact builders: one row per order line and one row per invoice line.
 
-Keys are substituted by joins to the dimensions: customer by version valid on
-the transaction date (as-of join), salesperson and product by natural key.
-The date key is a pure function of the date (``yyyyMMdd``), so no join to the
-date dimension is needed; the quality gate on unresolved keys still checks
+Surrogate keys with the semantics of inner joins to the dimensions: customer
+by the version valid on the transaction date, salesperson and product by
+natural key. The date key is a pure function of the date (``yyyyMMdd``), so
+no join to the date dimension is needed; the unresolved-key gate still checks
 that every date key exists in ``dim_date``.
 
-Dimension sides are pruned to (natural key, surrogate key) before joining.
-Spark decides broadcast versus shuffle from measured sizes (AQE); nothing
-here forces a broadcast of a table that grows with the data.
+How each key is found, cheapest proven way first:
+
+* one pass profiles the three natural keys of the lines (distinct values
+  with row counts) -- hot values and key existence are read from it;
+* product / salesperson: arithmetic when the surrogate is provably an offset
+  of the natural key and every key exists, else a join (hot keys salted);
+* customer: arithmetic for customers with one open version, a broadcast
+  version join for customers with history (counted), else the general
+  version join (hot keys salted).
+
+Nothing here broadcasts a table without counting it first.
 """
 
 from __future__ import annotations
