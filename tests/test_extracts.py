@@ -189,3 +189,17 @@ def test_full_profile(spark, tmp_out):
     assert rows["unit_price"]["data_type"] == "decimal(18,2)"
     assert (rows["unit_price"]["min_value"], rows["unit_price"]["max_value"]) == ("5.50", "20.00")
     assert rows["color_id"]["nulls"] == 2 and rows["brand"]["distinct_values"] == 1
+
+
+def test_command_line_tables(spark, tmp_out):
+    import argparse
+
+    from conftest import SF_SMALL
+    from martwright.__main__ import run
+
+    out = os.path.join(tmp_out, "tables-out")
+    res = run(spark, argparse.Namespace(command="tables", sf_dir=SF_SMALL, out=out))
+    gates = spark.read.option("header", True).csv(os.path.join(res["results"], "quality_gates"))
+    assert gates.count() == 11
+    q1 = spark.read.option("header", True).csv(os.path.join(res["results"], "business_q01"))
+    assert q1.count() > 0
