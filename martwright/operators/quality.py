@@ -8,8 +8,9 @@ schema becomes a *validation job* that reports its violations as rows
   aggregate pass over that table;
 * primary keys / unique sets are a ``groupBy(key).count() > 1`` (partial
   aggregation, so a hot key value collapses map-side);
-* foreign keys are ``left_anti`` joins of the distinct non-null child keys
-  (with their row counts), so a hot key value is one row in the shuffle.
+* foreign keys are checked per referenced parent key: the distinct non-null
+  child keys of all rules pointing at it (with per-rule row counts, so a hot
+  value is one row in the shuffle) meet the parent keys in one anti join.
 
 Everything is unioned into one DataFrame, so the whole report is one action.
 The same rule objects render the oracle SQL, so the two engines check the same
@@ -88,25 +89,64 @@ def check_table(tables: dict[str, DataFrame], r: TableRules) -> list[DataFrame]:
         )
     for u in r.unique:
         parts.append(_report_row(_duplicate_groups(df, u), f"unique:{r.table}({_cols(u)})", r.table))
-    for fk in r.foreign_keys:
-        parent = tables[fk.parent].select(
-            *[F.col(p).alias(f"_p{i}") for i, p in enumerate(fk.parent_cols)]
+    return parts
+
+
+def _fk_name(table: str, fk: ForeignKey) -> str:
+    return f"foreign_key:{table}({_cols(fk.cols)})->{fk.parent}({_cols(fk.parent_cols)})"
+
+
+def check_foreign_keys(tables: dict[str, DataFrame], rules: list[TableRules]) -> list[DataFrame]:
+    """All foreign keys, one pass per referenced parent key.
+
+    The non-null child keys of every rule pointing at the same parent key are
+    tagged with their rule and grouped by key value (per-rule counts as
+    conditional sums; partial aggregation collapses a hot value map-side).
+    One anti join with the parent keys -- reusing that key partitioning --
+    leaves the orphan values; one aggregate turns them into a row per rule."""
+    groups: dict[tuple[str, tuple[str, ...]], list[tuple[str, ForeignKey]]] = {}
+    for r in rules:
+        if r.table not in tables:
+            continue
+        for fk in r.foreign_keys:
+            groups.setdefault((fk.parent, fk.parent_cols), []).append((r.table, fk))
+    parts: list[DataFrame] = []
+    for (parent_name, parent_cols), members in groups.items():
+        parent = tables[parent_name]
+        types = [parent.schema[c].dataType for c in parent_cols]
+        kcols = [f"_k{i}" for i in range(len(parent_cols))]
+        tagged = None
+        for j, (table, fk) in enumerate(members):
+            child = tables[table].select(
+                *[F.col(c).cast(t).alias(k) for c, t, k in zip(fk.cols, types, kcols)],
+                F.lit(j).alias("_r"),
+            )
+            for k in kcols:
+                child = child.where(F.col(k).isNotNull())
+            tagged = child if tagged is None else tagged.union(child)
+        counts = tagged.groupBy(*kcols).agg(
+            *[F.count_if(F.col("_r") == j).alias(f"_n{j}") for j in range(len(members))]
         )
-        child = df.select(*fk.cols)
-        for c in fk.cols:
-            child = child.where(F.col(c).isNotNull())
-        # rows per key value first: a hot value collapses in the map-side
-        # partial aggregate, and only distinct values meet the parent
-        child = child.groupBy(*fk.cols).agg(F.count(F.lit(1)).alias("_rows"))
+        keys = parent.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(parent_cols)])
         cond = None
-        for i, c in enumerate(fk.cols):
-            term = F.col(c) == F.col(f"_p{i}")
+        for i, k in enumerate(kcols):
+            term = F.col(k) == F.col(f"_p{i}")
             cond = term if cond is None else cond & term
-        orphans = child.join(parent, cond, "left_anti").agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations")
+        orphans = counts.join(keys, cond, "left_anti")
+        totals = orphans.agg(
+            *[F.coalesce(F.sum(f"_n{j}"), F.lit(0)).cast("bigint").alias(f"_t{j}") for j in range(len(members))]
+        )
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(_fk_name(table, fk)).alias("rule"),
+                    F.lit(table).alias("table_name"),
+                    F.col(f"_t{j}").alias("violations"),
+                )
+                for j, (table, fk) in enumerate(members)
+            ]
         )
-        name = f"foreign_key:{r.table}({_cols(fk.cols)})->{fk.parent}({_cols(fk.parent_cols)})"
-        parts.append(_report_row(orphans, name, r.table))
+        parts.append(totals.select(F.explode(rows).alias("_x")).select("_x.rule", "_x.table_name", "_x.violations"))
     return parts
 
 
@@ -116,6 +156,7 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[TableRules]) ->
     for r in rules:
         if r.table in tables:
             parts.extend(check_table(tables, r))
+    parts.extend(check_foreign_keys(tables, rules))
     # every part is (rule, table_name, violations) in this order: a positional
     # union avoids re-resolving names on an ever larger plan
     out = parts[0]
