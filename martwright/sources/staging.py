@@ -42,6 +42,41 @@ BUYING_GROUP_MODULUS = 3
 BUYING_GROUP_NAME_PREFIX = "Buying Group "
 
 
+def line_frame(lineitem: DataFrame, header: DataFrame, stock_items: DataFrame) -> DataFrame:
+    """Line items with their order header (customer, date, backorder link)
+    and the item's unit price: the frame both wide line frames come from.
+    ``lineitem`` may be any subset (e.g. one micro-batch of new lines)."""
+    lines = lineitem.join(
+        header,
+        lineitem["l_orderkey"] == F.col("order_id"),
+    ).join(
+        stock_items.select("stock_item_id", "unit_price"),
+        lineitem["l_partkey"] == F.col("stock_item_id"),
+    )
+    quantity = F.col("l_quantity").cast("int")
+    shipped = F.col("l_linestatus") == SHIPPED_LINE_STATUS
+    return lines.select(
+        "order_id",
+        F.col("l_linenumber").alias("line_number"),
+        "stock_item_id",
+        F.col("l_suppkey").alias("salesperson_person_id"),
+        "customer_id",
+        "order_date",
+        "backorder_order_id",
+        quantity.alias("quantity"),
+        F.when(shipped, quantity).otherwise(F.lit(0)).alias("picked_quantity"),
+        "unit_price",
+        rate(F.col("l_tax")).alias("tax_rate"),
+        money(F.col("l_extendedprice")).alias("extended_price"),
+        F.col("l_shipdate").cast("date").alias("ship_date"),
+        shipped.alias("_shipped"),
+    )
+
+
+def order_lines_wide_of(lines: DataFrame) -> DataFrame:
+    return lines.drop("extended_price", "ship_date", "_shipped")
+
+
 def stage_driver_tables(
     spark: SparkSession,
     sf_dir: str,
@@ -173,34 +208,10 @@ def stage_driver_tables(
     header = orders.select("order_id", "customer_id", "order_date").join(
         order_backorders, "order_id", "left"
     )
-    lines = lineitem.join(
-        header,
-        lineitem["l_orderkey"] == F.col("order_id"),
-    ).join(
-        stock_items.select("stock_item_id", "unit_price"),
-        lineitem["l_partkey"] == F.col("stock_item_id"),
-    )
-    quantity = F.col("l_quantity").cast("int")
-    shipped = F.col("l_linestatus") == SHIPPED_LINE_STATUS
-    lines = lines.select(
-        "order_id",
-        F.col("l_linenumber").alias("line_number"),
-        "stock_item_id",
-        F.col("l_suppkey").alias("salesperson_person_id"),
-        "customer_id",
-        "order_date",
-        "backorder_order_id",
-        quantity.alias("quantity"),
-        F.when(shipped, quantity).otherwise(F.lit(0)).alias("picked_quantity"),
-        "unit_price",
-        rate(F.col("l_tax")).alias("tax_rate"),
-        money(F.col("l_extendedprice")).alias("extended_price"),
-        F.col("l_shipdate").cast("date").alias("ship_date"),
-        shipped.alias("_shipped"),
-    )
+    lines = line_frame(lineitem, header, stock_items)
     if materialize is not None:
         lines = materialize("lines", lines)
-    order_lines_wide = lines.drop("extended_price", "ship_date", "_shipped")
+    order_lines_wide = order_lines_wide_of(lines)
 
     tax_amount = F.round(F.col("extended_price") * F.col("tax_rate"), 2).cast("decimal(18,2)")
     sales = (F.col("extended_price") - F.col("tax_amount")).cast("decimal(18,2)")

@@ -129,3 +129,90 @@ def run_incremental(spark: SparkSession, cfg: IncrementalLoad) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.parquet(cfg.target)
+
+
+@dataclass(frozen=True)
+class FactIncrement:
+    """Incremental load at fact grain.
+
+    Per micro-batch N: the batch's raw rows that no *other* batch holds yet
+    (full-row key; only the touched ``partition_col`` partitions are read)
+    are written to ``deltas`` as partition (partition value, batch N); the
+    facts derived from exactly those rows are written to ``facts`` as
+    partition (fact partition value, batch N). Both writes overwrite their
+    batch's partitions (dynamic partition overwrite), so a replayed batch
+    rewrites the same data, and a replay after a lost checkpoint finds every
+    earlier row in the other batches: no row is lost or doubled."""
+
+    source_glob: str
+    source_base: str
+    schema: StructType
+    deltas: str
+    facts: str
+    checkpoint: str
+    partition_col: str
+    partition_expr: str  # SQL over the raw columns
+    fact_partition_col: str
+    fact_partition_expr: str  # SQL over the fact columns
+    to_facts: Callable[[DataFrame], DataFrame]
+    max_files_per_trigger: int = 1
+
+
+_BATCH = "_batch"
+
+
+def _overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
+    (
+        df.repartitionByRange(*cols)
+        .write.option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .partitionBy(*cols)
+        .parquet(path)
+    )
+
+
+def fact_batch(spark: SparkSession, cfg: FactIncrement, batch: DataFrame, batch_id: int) -> None:
+    raw_cols = list(cfg.schema.names)
+    rows = batch.select(*raw_cols).dropDuplicates(raw_cols).withColumn(
+        cfg.partition_col, F.expr(cfg.partition_expr)
+    )
+    old = _existing(spark, cfg.deltas)
+    if old is not None:
+        values = rows.select(cfg.partition_col).distinct()
+        touched = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+        others = old.where(F.col(_BATCH) != batch_id)
+        if len(touched) <= MAX_LISTED_PARTITIONS:
+            others = others.where(F.col(cfg.partition_col).isin(touched))
+        else:
+            others = others.join(values, cfg.partition_col, "left_semi")
+        keys = raw_cols + [cfg.partition_col]
+        rows = rows.alias("_new").join(others.select(*keys).alias("_old"), _null_safe_match(keys), "left_anti")
+    rows = rows.withColumn(_BATCH, F.lit(batch_id))
+    if rows.limit(1).count() == 0:  # nothing new in this batch
+        return
+    _overwrite_partitions(rows, cfg.deltas, cfg.partition_col, _BATCH)
+    # the facts of exactly the rows this batch added (read back: fixed data)
+    added = spark.read.parquet(cfg.deltas).where(F.col(_BATCH) == batch_id).select(*raw_cols)
+    facts = cfg.to_facts(added)
+    out = facts.withColumn(cfg.fact_partition_col, F.expr(cfg.fact_partition_expr)).withColumn(
+        _BATCH, F.lit(batch_id)
+    )
+    _overwrite_partitions(out, cfg.facts, cfg.fact_partition_col, _BATCH)
+
+
+def run_fact_increment(spark: SparkSession, cfg: FactIncrement) -> DataFrame:
+    """Run all available input through the load; return the fact table."""
+    stream = (
+        spark.readStream.schema(cfg.schema)
+        .option("basePath", cfg.source_base)
+        .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+        .parquet(cfg.source_glob)
+    )
+    query = (
+        stream.writeStream.foreachBatch(lambda df, bid: fact_batch(spark, cfg, df, bid))
+        .option("checkpointLocation", cfg.checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(cfg.facts)

@@ -35,3 +35,44 @@ def test_incremental_load_replay_and_late_rows(spark, tmp_out):
     assert late == {0: 0, 1: 2}
     again = run_incremental(spark, replace(cfg, checkpoint=os.path.join(out, "ckpt2")))
     assert again.count() == 5
+
+
+def test_fact_increment_two_batches_and_replay(spark, tmp_out):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from martwright.operators.facts import fact_order
+    from martwright.plans.warehouse import warehouse_for
+    from martwright.sources.staging import line_frame, order_lines_wide_of
+    from martwright.streaming.incremental import FactIncrement, run_fact_increment
+
+    wh = warehouse_for(spark, SF_SMALL)
+    src = wh.sources
+    lineitem = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    land = os.path.join(tmp_out, "landing")
+    # two arrivals; the second repeats some lines of the first
+    lineitem.where(F.col("l_orderkey") % 2 == 0).coalesce(1).write.parquet(os.path.join(land, "part-a"))
+    lineitem.where((F.col("l_orderkey") % 2 == 1) | (F.col("l_orderkey") % 10 == 0)).coalesce(1).write.parquet(
+        os.path.join(land, "part-b")
+    )
+    header = src.orders.select("order_id", "customer_id", "order_date").join(src.order_backorders, "order_id", "left")
+
+    def to_facts(raw):
+        lines = order_lines_wide_of(line_frame(raw, header, src.stock_items))
+        return fact_order(lines, src.order_backorders, wh.dim_customer, wh.dim_employee, wh.dim_product,
+                          line_id_cols=src.order_line_id_cols)
+
+    out = os.path.join(tmp_out, "out")
+    cfg = FactIncrement(
+        source_glob=os.path.join(land, "part-*", "*.parquet"), source_base=land, schema=lineitem.schema,
+        deltas=os.path.join(out, "deltas"), facts=os.path.join(out, "facts"), checkpoint=os.path.join(out, "c1"),
+        partition_col="ship_month", partition_expr="CAST(date_format(l_shipdate, 'yyyyMM') AS INT)",
+        fact_partition_col="year_month", fact_partition_expr="CAST(date_key / 100 AS INT)", to_facts=to_facts,
+        max_files_per_trigger=1,
+    )
+    want = sorted(map(tuple, wh.fact_order.collect()))
+    first = run_fact_increment(spark, cfg)
+    assert first.select("_batch").distinct().count() == 2  # one batch per arrival
+    assert sorted(map(tuple, first.select(*wh.fact_order.columns).collect())) == want
+    again = run_fact_increment(spark, replace(cfg, checkpoint=os.path.join(out, "c2")))
+    assert sorted(map(tuple, again.select(*wh.fact_order.columns).collect())) == want
