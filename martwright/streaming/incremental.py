@@ -97,20 +97,34 @@ def load_batch(spark: SparkSession, cfg: IncrementalLoad, batch: DataFrame, batc
         rows.write.mode("append").parquet(cfg.target)
 
     if cfg.event_col:
-        seen = _existing(spark, cfg.monitor)
-        horizon = None
-        if seen is not None:
-            # latest event time of every batch recorded so far (one row each)
-            horizon = seen.agg(F.max("max_event_time")).first()[0]
-        event_type = batch.schema[cfg.event_col].dataType.simpleString()
-        # the cutoff travels as text, so no time zone is involved
-        cutoff = F.lit(str(horizon - cfg.allowed_delay) if horizon is not None else None).cast(event_type)
-        stats = batch.agg(
-            F.count(F.lit(1)).cast("bigint").alias("rows_in_batch"),
-            F.count_if(F.col(cfg.event_col) < cutoff).cast("bigint").alias("late_rows"),
-            F.max(cfg.event_col).alias("max_event_time"),
-        ).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
-        stats.write.mode("append").parquet(cfg.monitor)
+        record_late_rows(spark, cfg.monitor, batch, batch_id, cfg.event_col, cfg.allowed_delay)
+
+
+def record_late_rows(
+    spark: SparkSession,
+    monitor: str,
+    batch: DataFrame,
+    batch_id: int,
+    event_col: str,
+    allowed_delay: dt.timedelta,
+) -> None:
+    """Append one monitor row for the batch: its rows, how many are older
+    than the latest event time of earlier batches minus ``allowed_delay``
+    (late), and its own latest event time."""
+    seen = _existing(spark, monitor)
+    horizon = None
+    if seen is not None:
+        # latest event time of every batch recorded so far (one row each)
+        horizon = seen.agg(F.max("max_event_time")).first()[0]
+    event_type = batch.schema[event_col].dataType.simpleString()
+    # the cutoff travels as text, so no time zone is involved
+    cutoff = F.lit(str(horizon - allowed_delay) if horizon is not None else None).cast(event_type)
+    stats = batch.agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_in_batch"),
+        F.count_if(F.col(event_col) < cutoff).cast("bigint").alias("late_rows"),
+        F.max(event_col).alias("max_event_time"),
+    ).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
+    stats.write.mode("append").parquet(monitor)
 
 
 def run_incremental(spark: SparkSession, cfg: IncrementalLoad) -> DataFrame:
@@ -156,6 +170,9 @@ class FactIncrement:
     fact_partition_expr: str  # SQL over the fact columns
     to_facts: Callable[[DataFrame], DataFrame]
     max_files_per_trigger: int = 1
+    monitor: str | None = None  # late-row monitor table (needs event_col)
+    event_col: str | None = None
+    allowed_delay: dt.timedelta = dt.timedelta(days=1)
 
 
 _BATCH = "_batch"
@@ -172,6 +189,8 @@ def _overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
 
 
 def fact_batch(spark: SparkSession, cfg: FactIncrement, batch: DataFrame, batch_id: int) -> None:
+    if cfg.monitor and cfg.event_col:
+        record_late_rows(spark, cfg.monitor, batch, batch_id, cfg.event_col, cfg.allowed_delay)
     raw_cols = list(cfg.schema.names)
     rows = batch.select(*raw_cols).dropDuplicates(raw_cols).withColumn(
         cfg.partition_col, F.expr(cfg.partition_expr)

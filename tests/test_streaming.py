@@ -68,11 +68,13 @@ def test_fact_increment_two_batches_and_replay(spark, tmp_out):
         deltas=os.path.join(out, "deltas"), facts=os.path.join(out, "facts"), checkpoint=os.path.join(out, "c1"),
         partition_col="ship_month", partition_expr="CAST(date_format(l_shipdate, 'yyyyMM') AS INT)",
         fact_partition_col="year_month", fact_partition_expr="CAST(date_key / 100 AS INT)", to_facts=to_facts,
-        max_files_per_trigger=1,
+        max_files_per_trigger=1, monitor=os.path.join(out, "late"), event_col="l_shipdate",
     )
     want = sorted(map(tuple, wh.fact_order.collect()))
     first = run_fact_increment(spark, cfg)
     assert first.select("_batch").distinct().count() == 2  # one batch per arrival
+    monitor = spark.read.parquet(cfg.monitor).collect()
+    assert sorted(r["batch_id"] for r in monitor) == [0, 1] and all(r["late_rows"] >= 0 for r in monitor)
     assert sorted(map(tuple, first.select(*wh.fact_order.columns).collect())) == want
     again = run_fact_increment(spark, replace(cfg, checkpoint=os.path.join(out, "c2")))
     assert sorted(map(tuple, again.select(*wh.fact_order.columns).collect())) == want
