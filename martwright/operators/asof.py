@@ -13,6 +13,8 @@ handling remains on for whatever is left.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from martwright.operators.joins import (
     arithmetic_key,
     salted_join,
 )
+from martwright.session import stash
 
 
 def asof_join(
@@ -81,19 +84,10 @@ def versioned_key(
     def general():
         return asof_join(fact, dim, fact_key, fact_date, dim_key, surrogate, start_col, end_col, hot, salt_cols)
 
-    per_id = dim.groupBy(F.col(dim_key).alias("_vk_id")).agg(
-        F.count(F.lit(1)).alias("_vk_n"),
-        F.min(start_col).alias("_vk_s"),
-        F.max(end_col).alias("_vk_e"),
-        F.min(surrogate).alias("_vk_k"),
-    )
-    single = (F.col("_vk_n") == 1) & (F.col("_vk_s") == F.lit(open_start)) & (F.col("_vk_e") == F.lit(open_end))
-    complex_ids = per_id.where(~single | F.col("_vk_id").isNull()).select("_vk_id")
-    if complex_ids.count() > max_broadcast_rows:
-        return general()
-    offset = arithmetic_key(per_id.where(single), "_vk_id", "_vk_k")
-    if offset is None:
+    split = _history_split(dim, dim_key, surrogate, start_col, end_col, open_start, open_end, max_broadcast_rows)
+    if split is None:
         return general()
+    complex_ids, offset, history, n_history = split
     if present is None:
         present = (
             profile.all_present(fact_key, dim, dim_key)
@@ -103,17 +97,51 @@ def versioned_key(
     if not present:
         return general()
     lo, s_lo = offset
-    ids = F.broadcast(complex_ids)  # counted above
+    ids = F.broadcast(complex_ids)  # counted in _history_split
     in_range = F.col(fact_date).between(F.lit(open_start), F.lit(open_end))
     plain = (
         fact.join(ids, F.col(fact_key) == F.col("_vk_id"), "left_anti")
         .where(F.col(fact_key).isNotNull() & in_range)
         .withColumn(surrogate, (F.col(fact_key) - F.lit(lo) + F.lit(s_lo)).cast("bigint"))
     )
-    history = dim.join(ids, F.col(dim_key) == F.col("_vk_id"), "left_semi")
     with_history = fact.join(ids, F.col(fact_key) == F.col("_vk_id"), "left_semi")
-    if history.count() <= max_broadcast_rows:
+    if n_history <= max_broadcast_rows:
         versioned = asof_join(with_history, F.broadcast(history), fact_key, fact_date, dim_key, surrogate, start_col, end_col)
     else:
         versioned = asof_join(with_history, history, fact_key, fact_date, dim_key, surrogate, start_col, end_col, hot, salt_cols)
     return plain.unionByName(versioned)
+
+
+# Per dimension DataFrame (immutable): the split of its ids by kind of
+# history is the same for every fact and every micro-batch keyed against it.
+_HISTORY: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
+def _history_split(dim, dim_key, surrogate, start_col, end_col, open_start, open_end, max_rows):
+    """(ids with history, key offset of the others, their versions, version
+    count), or None when the split does not apply. Computed once per
+    dimension; the id set and the versions are stashed."""
+    memo = _HISTORY.setdefault(dim, {})
+    k = (dim_key, surrogate, start_col, end_col, open_start, open_end, max_rows)
+    if k in memo:
+        return memo[k]
+    per_id = dim.groupBy(F.col(dim_key).alias("_vk_id")).agg(
+        F.count(F.lit(1)).alias("_vk_n"),
+        F.min(start_col).alias("_vk_s"),
+        F.max(end_col).alias("_vk_e"),
+        F.min(surrogate).alias("_vk_k"),
+    )
+    per_id = stash(per_id, "version-history-per-id")  # dimension-sized, read several times
+    single = (F.col("_vk_n") == 1) & (F.col("_vk_s") == F.lit(open_start)) & (F.col("_vk_e") == F.lit(open_end))
+    complex_ids = per_id.where(~single | F.col("_vk_id").isNull()).select("_vk_id")
+    result = None
+    if complex_ids.count() <= max_rows:
+        offset = arithmetic_key(per_id.where(single), "_vk_id", "_vk_k")
+        if offset is not None:
+            history = stash(
+                dim.join(F.broadcast(complex_ids), F.col(dim_key) == F.col("_vk_id"), "left_semi"),
+                "version-history",
+            )
+            result = (complex_ids, offset, history, history.count())
+    memo[k] = result
+    return result
