@@ -203,3 +203,16 @@ def test_command_line_tables(spark, tmp_out):
     assert gates.count() == 11
     q1 = spark.read.option("header", True).csv(os.path.join(res["results"], "business_q01"))
     assert q1.count() > 0
+
+
+def test_republish_moves_pointer_without_duplicates(spark, tmp_out):
+    from martwright.sources.extracts import publish_snapshot, read_published
+
+    tables = ingest(spark, write_fixture(os.path.join(tmp_out, "in")))
+    base = os.path.join(tmp_out, "oltp")
+    first = publish_snapshot(tables, base)
+    second = publish_snapshot(tables, base)
+    assert first != second
+    current = read_published(spark, base)
+    assert current["order_lines"].count() == tables["order_lines"].count() == 5
+    assert {r[0] for r in spark.read.text(os.path.join(base, "_current")).collect()} == {second}
