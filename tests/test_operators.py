@@ -89,3 +89,14 @@ def test_keyed_scans_with_null_keys(spark):
     assert sorted(map(tuple, got.select("v", "pm").collect())) == sorted(
         map(tuple, want.select("v", "pm").collect())
     )
+
+
+def test_approximate_profile_close_to_exact(spark):
+    from martwright.plans.reports import profile
+
+    df = spark.range(20000).select((F.col("id") % 5000).alias("a"), F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("b"))
+    exact = {r["column_name"]: r for r in profile(df, "t", exact=True).collect()}
+    approx = {r["column_name"]: r for r in profile(df, "t", exact=False).collect()}
+    assert exact["a"]["distinct_values"] == 5000 and exact["b"]["nulls"] == approx["b"]["nulls"]
+    for c in ("a", "b"):
+        assert abs(approx[c]["distinct_values"] - exact[c]["distinct_values"]) <= 0.1 * exact[c]["distinct_values"]
