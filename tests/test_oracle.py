@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from martwright.plans.oracle import oracle_queries
+from martwright.plans.registry import all_queries
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
@@ -36,10 +38,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(oracle_queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
