@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from martwright.llm import mixing
 from martwright.llm.dac import op3_directly_addressable_codes
+from martwright.llm.fingerprints import op10_order_minhash
+from martwright.llm.jaccard import op5_ngram_jaccard_join
 from martwright.llm.packing import op7_packing
+from martwright.llm.sharding import op8_sharding
 
 QUERIES = {
+    "op2_mixing_sources": mixing.op2_mixing_sources,
     "op3_directly_addressable_codes": op3_directly_addressable_codes,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_packing": op7_packing,
+    "op8_sharding": op8_sharding,
+    "op10_order_minhash": op10_order_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL of those that SQL can express on whole tables.
+ORACLES: dict[str, str] = {
+    "op2_mixing_sources": mixing.ORACLE,
+}
