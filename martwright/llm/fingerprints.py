@@ -27,46 +27,61 @@ K, TUPLE, BINS = 2, 2, 64
 RANGE_ROWS = 4_000
 
 
-def fingerprints(texts: DataFrame, column: str, out: str) -> DataFrame:
-    """Adds the fingerprint of a string column (null: as empty)."""
-    w, n, s = f"_{out}_w", f"_{out}_n", f"_{out}_s"
-    bits, kmers, starts, pairs, chosen, heads = (f"_{out}_{x}" for x in ("bits", "kmers", "starts", "pairs", "chosen", "heads"))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is used:
+    the optimizer would copy a column used inside a lambda into the lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _span(count: Column) -> Column:
+    """0 .. count - 1."""
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def fingerprint(text: str | Column) -> Column:
+    """The fingerprint of a string column (null: as empty)."""
+    words = F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SEPARATORS), lambda x: x != ""), lambda x: F.xxhash64(x))
+    # a k-mer is its words' hashes together; a short text's missing ones are null
+    return _let(words, lambda w: _let(
+        F.when(F.size(w) >= K, F.size(w) - (K - 1)).otherwise(F.least(F.size(w), F.lit(1))),
+        lambda n: _let(
+            F.transform(_span(n), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(K)])),
+            lambda kmers: _let(F.length(F.bin(n)), lambda bits: _of_kmers(kmers, n, bits)))))
+
+
+def _of_kmers(kmers: Column, n: Column, bits: Column) -> Column:
+    high = lambda x: F.call_function("shiftleft", F.call_function("shiftright", x, bits), bits)
     bin_of = lambda x: F.shiftrightunsigned(x, 64 - (BINS - 1).bit_length())
-    span = lambda count: F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    shift = lambda way, x: F.call_function(way, x, F.col(bits))
-    mask = shift("shiftleft", F.lit(1).cast("long")) - 1
-    high = lambda x: shift("shiftleft", shift("shiftright", x))
-    place = lambda x: x.bitwiseAND(mask).cast("int")
-
-    words = F.transform(F.filter(F.split(F.coalesce(column, F.lit("")), WORD_SEPARATORS), lambda x: x != ""), lambda x: F.xxhash64(x))
-    df = texts.withColumn(w, words)
-    # a k-mer is its words' hashes together; the last ones of a short text are absent
-    df = df.withColumn(n, F.when(F.size(w) >= K, F.size(w) - (K - 1)).otherwise(F.least(F.size(w), F.lit(1))))
-    df = df.withColumn(bits, F.length(F.bin(F.col(n))))
-    kmer = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(K)])
-    df = df.withColumn(kmers, F.transform(span(F.col(n)), kmer))
-    # sorted by (k-mer, position): runs of equal k-mers give the occurrence numbers
-    df = df.withColumn(s, F.sort_array(F.transform(kmers, lambda h, i: high(h).bitwiseOR(i.cast("long")))))
-    df = df.withColumn(starts, F.filter(span(F.col(n)), lambda i: (i == 0) | (high(F.get(s, i)) != high(F.get(s, i - 1)))))
-    number = F.flatten(F.transform(starts, lambda a, r: F.sequence(F.lit(0), F.coalesce(F.get(starts, r + 1), F.col(n)) - a - 1)))
-    df = df.withColumn(f"{pairs}_no", number)
-    df = df.withColumn(pairs, F.sort_array(F.transform(s, lambda x, i: high(
-        F.xxhash64(F.get(kmers, place(x)), F.get(f"{pairs}_no", i))).bitwiseOR(x.bitwiseAND(mask)))))
-    # sorted by (bin, hash): the first TUPLE of every bin
-    df = df.withColumn(chosen, F.filter(pairs, lambda x, i: (i < TUPLE) | (bin_of(F.get(pairs, i - TUPLE)) != bin_of(x))))
-    df = df.withColumn(heads, F.filter(span(F.size(chosen)), lambda i: (i == 0) | (bin_of(F.get(chosen, i)) != bin_of(F.get(chosen, i - 1)))))
-
-    def code(a, r):
-        count = F.coalesce(F.get(heads, r + 1), F.size(chosen)) - a
-        in_order = F.sort_array(F.transform(F.slice(chosen, a + 1, count), place))
-        joined = F.xxhash64(F.transform(in_order, lambda p: F.get(kmers, p)))
-        return F.struct(bin_of(F.get(chosen, a)).alias("bin"), F.lpad(F.lower(F.hex(joined.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0").alias("code"))
-
-    filled = F.transform(heads, code)
-    df = df.withColumn(f"{out}_filled", F.map_from_entries(filled))
-    df = df.withColumn(out, F.concat_ws(",", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")), lambda b: F.coalesce(
-        F.element_at(f"{out}_filled", b), F.lit("-")))))
-    return df.select(*texts.columns, out)
+
+    def selected(mask: Column, ordered: Column) -> Column:
+        starts = F.filter(_span(n), lambda i: (i == 0) | (high(F.get(ordered, i)) != high(F.get(ordered, i - 1))))
+        # equal k-mers lie together, in text order: their number is the place in their run
+        numbers = _let(starts, lambda at: F.flatten(F.transform(
+            at, lambda a, r: F.sequence(F.lit(0), F.coalesce(F.get(at, r + 1), n) - a - 1))))
+        pairs = _let(numbers, lambda number: F.sort_array(F.transform(ordered, lambda x, i: high(
+            F.xxhash64(F.get(kmers, x.bitwiseAND(mask).cast("int")), F.get(number, i))).bitwiseOR(x.bitwiseAND(mask)))))
+        # by (bin, hash): the first TUPLE of every bin
+        return _let(pairs, lambda p: F.filter(p, lambda x, i: (i < TUPLE) | (bin_of(F.get(p, i - TUPLE)) != bin_of(x))))
+
+    def codes(mask: Column, chosen: Column, heads: Column) -> Column:
+        def code(a, r):
+            count = F.coalesce(F.get(heads, r + 1), F.size(chosen)) - a
+            in_order = F.sort_array(F.transform(F.slice(chosen, a + 1, count), lambda x: x.bitwiseAND(mask).cast("int")))
+            joined = F.xxhash64(F.transform(in_order, lambda p: F.get(kmers, p)))
+            return F.struct(bin_of(F.get(chosen, a)).alias("bin"), F.lpad(
+                F.lower(F.hex(joined.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0").alias("code"))
+
+        return _let(F.map_from_entries(F.transform(heads, code)), lambda filled: F.concat_ws(",", F.transform(
+            F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")),
+            lambda b: F.coalesce(F.element_at(filled, b), F.lit("-")))))
+
+    def of_chosen(mask: Column, chosen: Column) -> Column:
+        heads = F.filter(_span(F.size(chosen)), lambda i: (i == 0) | (bin_of(F.get(chosen, i)) != bin_of(F.get(chosen, i - 1))))
+        return _let(heads, lambda h: codes(mask, chosen, h))
+
+    return _let(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1, lambda mask: _let(
+        F.sort_array(F.transform(kmers, lambda h, i: high(h).bitwiseOR(i.cast("long")))),
+        lambda ordered: _let(selected(mask, ordered), lambda chosen: of_chosen(mask, chosen))))
 
 
 def likeness(a: str | Column, b: str | Column) -> Column:
@@ -119,7 +134,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     placed = (placed.withColumn("n_chars", F.char_length("text").cast("long"))
               .withColumn("_edited", F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - half), F.substring(F.coalesce("_next", F.lit("")), F.lit(1), half)))
               .drop("_next").withColumn("edited_sha256", F.sha2("_edited", 256)))
-    printed = fingerprints(fingerprints(placed, "text", "fingerprint"), "_edited", "edited_fingerprint").drop("_edited")
+    printed = (placed.withColumn("fingerprint", fingerprint("text"))
+               .withColumn("edited_fingerprint", fingerprint("_edited")).drop("_edited"))
     following = with_next(printed, "fingerprint", "_next_fingerprint", "_range", order).where("_halo = 0")
     return following.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
