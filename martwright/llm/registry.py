@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-from martwright.llm import mixing
+from martwright.llm import licenses, mixing
 from martwright.llm.dac import op3_directly_addressable_codes
 from martwright.llm.fingerprints import op10_order_minhash
 from martwright.llm.jaccard import op5_ngram_jaccard_join
 from martwright.llm.packing import op7_packing
+from martwright.llm.quality import op9_quality_rules
+from martwright.llm.secrets import op6_secret_scans
 from martwright.llm.sharding import op8_sharding
+from martwright.llm.toxicity import op1_toxicity_gru
 
 QUERIES = {
+    "op1_toxicity_gru": op1_toxicity_gru,
     "op2_mixing_sources": mixing.op2_mixing_sources,
     "op3_directly_addressable_codes": op3_directly_addressable_codes,
+    "op4_license_scans": licenses.op4_license_scans,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_secret_scans": op6_secret_scans,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
+    "op9_quality_rules": op9_quality_rules,
     "op10_order_minhash": op10_order_minhash,
 }
 
 #: DuckDB SQL of those that SQL can express on whole tables.
 ORACLES: dict[str, str] = {
     "op2_mixing_sources": mixing.ORACLE,
+    "op4_license_scans": licenses.ORACLE,
 }

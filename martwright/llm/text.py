@@ -42,6 +42,13 @@ def store(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars``, where there is such a column, made to follow the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut record batches into slices of about ``SLICE_BYTES`` of text (one
     row at least)."""
