@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.text import documents
+from martwright.llm.text import documents, store
 
 SEED = 17
 #: Default targets: shares in proportion to (characters of the source) ** 0.5.
@@ -20,6 +20,8 @@ SEED = 17
 MEAN = 16
 #: Values tabulated for a draw; beyond it lies less than 1e-25 of the mass.
 VALUES = 80
+#: So many sources (0.7 KB each) are sent to every task; beyond it the join is salted.
+SENT_SOURCES, SALTS = 10_000, 64
 
 
 def _uniform(*parts: Column) -> Column:
@@ -38,11 +40,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None) -> Da
     else:
         named = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
         target = F.coalesce(F.element_at(named, F.col("source")), F.lit(0.0))
-    mass = mass.withColumn("target", target)
-    totals = mass.agg(F.sum("mass").alias("all_mass"), F.sum("target").alias("all_target"))
-    # totals is one row
-    return mass.join(F.broadcast(totals), F.lit(True)).select(
-        "source", F.when(F.col("mass") > 0, F.col("target") / F.col("all_target") * F.col("all_mass") / F.col("mass"))
+    mass = store(mass.withColumn("target", target), "source-mass")
+    whole = mass.agg(F.sum("mass").alias("mass"), F.sum("target").alias("target")).first()
+    return mass.select("source", F.when(
+        F.col("mass") > 0, F.col("target") / F.lit(whole["target"]) * F.lit(whole["mass"]) / F.col("mass"))
         .otherwise(F.lit(1.0)).alias("rate"))
 
 
@@ -59,6 +60,18 @@ def _distribution(rate: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), F.lit(VALUES)), lambda k: k.cast("double")), start, step, lambda s: s["all"])
 
 
+def _with_rates(docs: DataFrame, rates: DataFrame) -> DataFrame:
+    """Each document with its source's row. A table of few sources is sent to
+    every task; a longer one is joined by (source, salt), so that no source,
+    however large, meets in one task."""
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    if rates.count() <= SENT_SOURCES:
+        return docs.join(F.broadcast(rates), same)
+    salted = rates.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int")
+    return docs.withColumn("_salt", salt).join(salted, same & (F.col("_salt") == F.col("_salt_of")))
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     """Every column of ``docs`` but clashing ones, plus ``copy`` (0 ...) and
     ``mix_key`` (long; rows lie in random order, ascending within partitions).
@@ -67,13 +80,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SE
     doc_id share the draw of an empty id; null texts weigh nothing. An empty
     table gives an empty result.
     """
-    kept = [c for c in docs.columns if c not in {"copy", "mix_key", "_rate", "_draws", "_table"}]
+    kept = [c for c in docs.columns if c not in {"copy", "mix_key", "_source", "_draws", "_table", "_salt", "_salt_of", "_repeats"}]
     rates = (source_rates(docs, weights).withColumn("_draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MEAN)).cast("int"))
              .withColumn("_table", _distribution(F.col("rate") / F.col("_draws")))
              .select(F.col("source").alias("_source"), "_draws", "_table"))
     draw = lambda j: F.size(F.filter("_table", lambda c: c <= _uniform(F.lit(seed), F.col("doc_id"), j)))
     repeats = F.aggregate(F.sequence(F.lit(0), F.col("_draws") - 1), F.lit(0), lambda n, j: n + draw(j))
-    drawn = (docs.select(*kept).join(rates, F.col("source").eqNullSafe(F.col("_source")))
+    drawn = (_with_rates(docs.select(*kept), rates)
              .withColumn("_repeats", repeats).where("_repeats > 0")
              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_repeats") - 1))))
     key = F.conv(F.substring(F.md5(F.concat_ws(
