@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency.
 
 Every text gets base signals. Its lines are normalised (ASCII lower case, runs of
-white space as one blank, digits as 0) and hashed, and for each host the distinct
-documents that hold a line are counted: equal texts are one document. A line in
+white space as one blank) and hashed, and for each host the distinct documents
+that hold a line are counted: equal texts are one document. A line in
 more documents of a host than the limit is boilerplate and is removed, except
 from the first document that has it, so that a group of near copies never
 vanishes whole. A document left with too few of its words is depleted and is
@@ -62,8 +62,7 @@ def repeated_words(index: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def normalised_lines(lines: pa.Array) -> pa.Array:
-    plain = pc.replace_substring_regex(pc.ascii_lower(lines), r"[ \t-\r]+", " ")
-    return pc.replace_substring_regex(pc.ascii_trim_whitespace(plain), r"[0-9]", "0")
+    return pc.ascii_trim_whitespace(pc.replace_substring_regex(pc.ascii_lower(lines), r"[ \t-\r]+", " "))
 
 
 def _lines_of(texts: pa.Array):
