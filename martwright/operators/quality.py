@@ -13,8 +13,7 @@ schema becomes a *validation job* that reports its violations as rows
   value is one row in the shuffle) meet the parent keys in one anti join.
 
 Everything is unioned into one DataFrame, so the whole report is one action.
-The same rule objects render the oracle SQL, so the two engines check the same
-rule list with independent evaluation.
+The oracle has a rule list of its own, written from the declared schema.
 """
 
 from __future__ import annotations
@@ -165,42 +164,6 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[TableRules]) ->
     return out
 
 
-def constraint_sql(rules: list[TableRules], relation: dict[str, str]) -> str:
-    """The same report as SQL; ``relation`` maps a table to its SQL relation."""
-    selects = []
-    for r in rules:
-        t = relation.get(r.table, r.table)
-        nn = list(dict.fromkeys([*r.primary_key, *r.not_null]))
-        for c in nn:
-            selects.append(
-                f"SELECT 'not_null:{r.table}({c})' AS rule, '{r.table}' AS table_name, "
-                f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {t}"
-            )
-        for c in r.non_negative:
-            selects.append(
-                f"SELECT 'non_negative:{r.table}({c})' AS rule, '{r.table}' AS table_name, "
-                f"CAST(COUNT(*) FILTER (WHERE {c} < 0) AS BIGINT) AS violations FROM {t}"
-            )
-        for kind, cols in ([("primary_key", r.primary_key)] if r.primary_key else []) + [
-            ("unique", u) for u in r.unique
-        ]:
-            selects.append(
-                f"SELECT '{kind}:{r.table}({_cols(cols)})' AS rule, '{r.table}' AS table_name, "
-                f"CAST(COUNT(*) AS BIGINT) AS violations "
-                f"FROM (SELECT {', '.join(cols)} FROM {t} GROUP BY {', '.join(cols)} HAVING COUNT(*) > 1) d"
-            )
-        for fk in r.foreign_keys:
-            p = relation.get(fk.parent, fk.parent)
-            not_null = " AND ".join(f"c.{c} IS NOT NULL" for c in fk.cols)
-            match = " AND ".join(f"p.{pc} = c.{c}" for c, pc in zip(fk.cols, fk.parent_cols))
-            selects.append(
-                f"SELECT 'foreign_key:{r.table}({_cols(fk.cols)})->{fk.parent}({_cols(fk.parent_cols)})' AS rule, "
-                f"'{r.table}' AS table_name, CAST(COUNT(*) AS BIGINT) AS violations FROM {t} c WHERE {not_null} "
-                f"AND NOT EXISTS (SELECT 1 FROM {p} p WHERE {match})"
-            )
-    return "\nUNION ALL\n".join(selects)
-
-
 # ---------------------------------------------------------------------------
 # Rules of the source schema. Keys, NOT NULL columns, CHECK
 # (>= 0) columns and references as declared by the reference's source DDL.
@@ -371,7 +334,11 @@ def stand_in_rules() -> list[TableRules]:
 # Warehouse-layer keys as declared on the star schema (then lost by CTAS in
 # the reference): dimension keys unique and natural keys unique, fact keys
 # resolving to the dimensions.
-def warehouse_rules(order_line_cols: tuple[str, ...], sale_line_cols: tuple[str, ...]) -> list[TableRules]:
+def warehouse_rules(
+    order_line_cols: tuple[str, ...],
+    sale_line_cols: tuple[str, ...],
+    sale_invoice_cols: tuple[str, ...] = ("invoice_id",),
+) -> list[TableRules]:
     dims = (
         _fk("date_key", "dim_date"),
         _fk("customer_key", "dim_customer"),
@@ -379,10 +346,39 @@ def warehouse_rules(order_line_cols: tuple[str, ...], sale_line_cols: tuple[str,
         _fk("product_key", "dim_product"),
     )
     return [
-        TableRules("dim_date", ("date_key",), ("full_date", "month_name"), unique=(("full_date",),)),
-        TableRules("dim_customer", ("customer_key",), ("customer_id", "customer_name", "effective_start_date", "effective_end_date", "is_current")),
+        TableRules(
+            "dim_date",
+            ("date_key",),
+            ("full_date", "month_name", "calendar_year", "fiscal_month", "fiscal_quarter", "fiscal_year"),
+            unique=(("full_date",),),
+        ),
+        TableRules(
+            "dim_customer",
+            ("customer_key",),
+            (
+                "customer_id", "customer_name", "customer_category", "city", "state_province", "country",
+                "effective_start_date", "effective_end_date", "is_current",
+            ),
+        ),
         TableRules("dim_employee", ("employee_key",), ("person_id", "employee_name"), unique=(("person_id",),)),
         TableRules("dim_product", ("product_key",), ("stock_item_id", "product_name"), unique=(("stock_item_id",),)),
-        TableRules("fact_order", order_line_cols, ("order_id", "ordered_quantity", "ordered_sales"), foreign_keys=dims),
-        TableRules("fact_sale", sale_line_cols, ("invoiced_quantity", "sales", "profit"), foreign_keys=dims),
+        TableRules(
+            "fact_order",
+            order_line_cols,
+            (
+                "order_id", "date_key", "customer_key", "employee_key", "product_key",
+                "ordered_quantity", "picked_quantity", "ordered_sales", "is_backordered",
+            ),
+            foreign_keys=dims,
+        ),
+        TableRules(
+            "fact_sale",
+            sale_line_cols,
+            # the invoice of the stand-in tables is (order, date)
+            tuple(dict.fromkeys((
+                *sale_invoice_cols, "date_key", "customer_key", "employee_key", "product_key",
+                "invoiced_quantity", "sales", "profit",
+            ))),
+            foreign_keys=dims,
+        ),
     ]

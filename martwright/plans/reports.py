@@ -40,7 +40,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def _warehouse_rules(wh: Warehouse):
     src = wh.sources
-    return warehouse_rules(src.order_line_id_cols, src.invoice_line_id_cols)
+    return warehouse_rules(src.order_line_id_cols, src.invoice_line_id_cols, src.invoice_id_cols)
 
 
 def constraint_report(wh: Warehouse) -> DataFrame:
@@ -92,7 +92,7 @@ def dq_report(wh: Warehouse) -> DataFrame:
     return quality_gates(
         order_lines=src.order_lines,
         invoice_lines=src.invoice_lines,
-        invoices=src.invoices_raw if src.invoices_raw is not None else src.invoices,
+        invoices=src.invoices,
         orders=src.orders,
         dims={
             "dim_date": wh.dim_date,

@@ -43,11 +43,11 @@ class CategoryChange:
 
 
 # Fixed values of the demonstration change on the driver tables (the stand-in
-# of "customer 1 becomes category 2 on a date"): category 5 (MACHINERY) is
-# merged into category 2 (BUILDING) on 1998-01-01, so every MACHINERY
-# customer -- customer 1 among them -- gets a second version.
+# of "customer 1 becomes category 2 on a date"): every tenth customer, customer
+# 1 among them, moves to category 2 (BUILDING) on 1998-01-01. Those already in
+# it are the case that must change nothing.
 DEFAULT_CHANGE = CategoryChange(
-    change_date=dt.date(1998, 1, 1), new_category_id=2, selector="customer_category_id = 5"
+    change_date=dt.date(1998, 1, 1), new_category_id=2, selector="customer_id % 10 = 1"
 )
 
 

@@ -8,14 +8,17 @@ fresh scratch folder of its own.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings every session of this project wants; sizes are for local test scales
-# and are overridden on a cluster by the submitter's own configuration.
+# Settings of a session that nobody configured. A value given by the submitter
+# (spark-submit, spark-defaults, a running session) always wins.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,18 +29,33 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+LOCAL_MASTER, LOCAL_SHUFFLE_PARTITIONS = "local[*]", 8
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = None,
     app_name: str = "martwright",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    """A session with the submitter's settings; what is missing is filled in.
+
+    Without any master this is a local run with few shuffle partitions. Values
+    passed here are the caller's own choice and are set; defaults never replace
+    a submitted value."""
+    SparkContext._ensure_initialized()  # so that submitted settings can be read
+    given = SparkConf()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not given.contains(k)}
+    if master or not given.contains("spark.master"):
+        conf["spark.master"] = master or LOCAL_MASTER
+        if not given.contains("spark.sql.shuffle.partitions") and conf["spark.master"].startswith("local"):
+            conf["spark.sql.shuffle.partitions"] = str(LOCAL_SHUFFLE_PARTITIONS)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
+    builder = SparkSession.builder
+    if not given.contains("spark.app.name"):
+        builder = builder.appName(app_name)
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -70,6 +88,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "(HDFS/S3/ABFS) for checkpoints before running on a cluster"
         )
     folder = tempfile.mkdtemp(prefix="martwright-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # a local run's own scratch
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 

@@ -40,9 +40,6 @@ class Sources:
     order_lines_wide: DataFrame
     # invoice line + invoice header + order date (null without an order)
     invoice_lines_wide: DataFrame
-    # the same before rows failing the invoice-after-order rule were dropped
-    invoice_lines_raw_wide: DataFrame | None = None
-    invoices_raw: DataFrame | None = None
     # names of the fact columns identifying one line / one invoice (the
     # invoice date appears in the facts as its date key)
     order_line_id_cols: tuple[str, ...] = ("order_line_id",)
@@ -54,8 +51,6 @@ class Sources:
         skip = {
             "order_lines_wide",
             "invoice_lines_wide",
-            "invoice_lines_raw_wide",
-            "invoices_raw",
             "order_line_id_cols",
             "invoice_line_id_cols",
             "invoice_id_cols",
@@ -78,7 +73,7 @@ def widen_order_lines(
     header = orders.select("order_id", "customer_id", "salesperson_person_id", "order_date")
     if order_backorders is not None:
         header = header.join(order_backorders.select("order_id", "backorder_order_id"), "order_id", "left")
-    return order_lines.join(header, "order_id")
+    return order_lines.join(header, "order_id", "left")
 
 
 def widen_invoice_lines(invoice_lines: DataFrame, invoices: DataFrame, orders: DataFrame) -> DataFrame:
@@ -87,7 +82,7 @@ def widen_invoice_lines(invoice_lines: DataFrame, invoices: DataFrame, orders: D
         "invoice_id", "customer_id", "order_id", "salesperson_person_id", "invoice_date"
     )
     order_dates = orders.select(F.col("order_id").alias("_oid"), "order_date")
-    lines = invoice_lines.join(header, "invoice_id")
+    lines = invoice_lines.join(header, "invoice_id", "left")
     return lines.join(order_dates, lines["order_id"] == order_dates["_oid"], "left").drop("_oid")
 
 
@@ -119,4 +114,4 @@ def parquet_materializer(path: str):
 
 # Staged frames that aggregate or join the line items; everything else is a
 # projection of a driver table or of the stored line join.
-DERIVED_SOURCES = ("stock_item_stock_groups", "order_backorders", "invoices", "invoices_raw")
+DERIVED_SOURCES = ("stock_item_stock_groups", "order_backorders", "invoices")
