@@ -244,10 +244,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     """At most ``rows`` labelled, not held out texts of each class."""
     known = (labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(F.col("doc_id").isNotNull()).where(~held_out()))
-    fit = docs.where(F.size(F.split("text", "[ \t-\r]+")) <= TRAIN_WORDS)
-    joined = fit.join(known, "doc_id").select("text", "toxic", F.xxhash64("doc_id", F.lit("train")).alias("order"))
-    taken = [r for c in (0, 1) for r in joined.where(F.col("toxic") == c).orderBy("order", "text").limit(rows).collect()]
-    return [r["text"] for r in taken], np.array([r["toxic"] for r in taken], dtype=np.int64)
+    # ids first, from the labels alone: the texts of a bounded set of ids need no join
+    label_of = {r["doc_id"]: r["toxic"] for c in (0, 1) for r in known.where(F.col("toxic") == c)
+                .orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id").limit(2 * rows).collect()}
+    fit = docs.where(F.col("doc_id").isin(list(label_of))).where(F.size(F.split("text", "[ \t-\r]+")) <= TRAIN_WORDS)
+    found = sorted(fit.select("doc_id", "text", F.xxhash64("doc_id", F.lit("train")).alias("order")).collect(), key=lambda r: (r["order"], r["text"]))
+    taken = [r for c in (0, 1) for r in [x for x in found if label_of[x["doc_id"]] == c][:rows]]
+    return [r["text"] for r in taken], np.array([label_of[r["doc_id"]] for r in taken], dtype=np.int64)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
