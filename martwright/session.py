@@ -48,8 +48,9 @@ def build_session(
     conf = {k: v for k, v in DEFAULT_CONF.items() if not given.contains(k)}
     if master or not given.contains("spark.master"):
         conf["spark.master"] = master or LOCAL_MASTER
-        if not given.contains("spark.sql.shuffle.partitions") and conf["spark.master"].startswith("local"):
-            conf["spark.sql.shuffle.partitions"] = str(LOCAL_SHUFFLE_PARTITIONS)
+    local = conf.get("spark.master", given.get("spark.master", "")).startswith("local")
+    if local and not given.contains("spark.sql.shuffle.partitions"):
+        conf["spark.sql.shuffle.partitions"] = str(LOCAL_SHUFFLE_PARTITIONS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

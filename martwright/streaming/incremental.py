@@ -2,19 +2,22 @@
 
 What the reference advises for high daily volumes -- incremental ingestion,
 partitioned storage, hourly batches, monitoring of retries and late data,
-same grains -- as a Structured Streaming job:
-
-* a file source picks up new extract files (``trigger(availableNow=True)``
-  processes everything available, then stops: one scheduled batch run);
-* ``foreachBatch`` de-duplicates each micro-batch on the row key and drops
-  keys already present in the target (left-anti join), so replaying a batch
-  after a failure -- or losing the checkpoint and replaying everything --
-  never duplicates a row;
-* rows are appended partitioned by a derived column (e.g. year-month), so
-  readers prune partitions;
-* per batch, rows whose event time is older than the latest event time seen
-  in earlier batches minus an allowed delay are counted as late and appended
-  to a small monitor table (one row per batch).
+same grains -- as a Structured Streaming job: a file source picks up new extract
+files (``trigger(availableNow=True)`` processes everything available, then
+stops: one scheduled batch run) and ``foreachBatch`` loads them.
+
+A *run* is the life of one checkpoint: its number is kept inside the checkpoint
+folder, one above all runs that the target knows. (run, batch) therefore never
+names two different batches, and a lost checkpoint starts a new run instead of
+reusing the stored batches' places.
+
+* Rows that the target already holds are recognised by a left-anti join and are
+  skipped, so replaying a batch, or everything, never doubles a row.
+* Rows are written by ranges of (partition, key), sized by AQE: a busy month is
+  split over tasks.
+* Per batch that brings something new, rows whose event time is older than the
+  latest event time of *earlier* batches minus an allowed delay are counted as
+  late. The monitor row is the batch's own partition: a retry rewrites it.
 """
 
 from __future__ import annotations
@@ -23,15 +26,13 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from martwright.session import stash
 
-# A batch touching at most this many target partitions lists them to prune
-# the target scan; beyond it the pruning is done by a semi join.
-MAX_LISTED_PARTITIONS = 10_000
+_RUN, _BATCH = "_run", "_batch"
 
 
 @dataclass(frozen=True)
@@ -51,11 +52,35 @@ class IncrementalLoad:
     transform: Callable[[DataFrame], DataFrame] | None = None
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def _existing(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None when there is no such folder; a folder
+    that cannot be read is an error, not an empty table. With a schema, a
+    folder without rows is an empty table."""
+    if not path_exists(spark, path):
         return None
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
+def _run_number(spark: SparkSession, checkpoint: str, known: list[str]) -> int:
+    """The number of this checkpoint's run: kept in the checkpoint folder, or
+    one above every run in the ``known`` tables."""
+    place = f"{checkpoint.rstrip('/')}/run-number"
+    if path_exists(spark, place):
+        return int(spark.read.text(place).first()[0])
+    highest = -1
+    for path in known:
+        table = _existing(spark, path)
+        if table is not None:
+            found = table.agg(F.max(_RUN)).first()[0]
+            highest = max(highest, -1 if found is None else int(found))
+    spark.createDataFrame([(str(highest + 1),)], "value string").coalesce(1).write.text(place)
+    return highest + 1
 
 
 def _null_safe_match(cols) -> F.Column:
@@ -66,56 +91,64 @@ def _null_safe_match(cols) -> F.Column:
     return cond
 
 
-def load_batch(spark: SparkSession, cfg: IncrementalLoad, batch: DataFrame, batch_id: int) -> None:
+def _without_known(rows: DataFrame, old: DataFrame | None, keys: list[str], partition_col: str | None) -> DataFrame:
+    """``rows`` whose keys ``old`` does not hold; only the partitions that the
+    rows touch are read of it (a semi join that prunes folders at run time)."""
+    if old is None:
+        return rows
+    if partition_col:
+        old = old.join(rows.select(partition_col).distinct(), partition_col, "left_semi")
+        keys = [*keys, partition_col]
+    return rows.alias("_new").join(old.select(*keys).alias("_old"), _null_safe_match(keys), "left_anti")
+
+
+def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], spread: str) -> None:
+    """Replace the written partitions; rows of one are spread over tasks."""
+    (
+        df.repartitionByRange(*partition_cols, spread)  # AQE sizes the ranges
+        .write.option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
+
+
+def load_batch(spark: SparkSession, cfg: IncrementalLoad, batch: DataFrame, run: int, batch_id: int) -> None:
     rows = cfg.transform(batch) if cfg.transform else batch
-    rows = rows.dropDuplicates(list(cfg.key_cols))
+    keys = list(cfg.key_cols)
+    rows = rows.dropDuplicates(keys)
     if cfg.partition_col:
         rows = rows.withColumn(cfg.partition_col, F.expr(cfg.partition_expr))
-    old = _existing(spark, cfg.target)
-    if old is not None:
-        keys = list(cfg.key_cols)
-        if cfg.partition_col:
-            # Only the partitions this batch touches can hold its keys: list
-            # them (one value per partition, e.g. a few months) and prune the
-            # target scan to those folders.
-            values = rows.select(cfg.partition_col).distinct()
-            touched = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-            if len(touched) <= MAX_LISTED_PARTITIONS:
-                old = old.where(F.col(cfg.partition_col).isin(touched))
-            else:  # too many to list: restrict by a semi join instead
-                old = old.join(values, cfg.partition_col, "left_semi")
-            keys.append(cfg.partition_col)
-        rows = rows.alias("_new").join(
-            old.select(*keys).alias("_old"), _null_safe_match(keys), "left_anti"
-        )
+    # computed once: it is counted, monitored and written
+    rows = stash(_without_known(rows, _existing(spark, cfg.target), keys, cfg.partition_col), "batch")
+    if rows.isEmpty():  # a replay, or a batch of known rows only
+        return
+    if cfg.event_col:
+        record_late_rows(spark, cfg.monitor, batch, run, batch_id, cfg.event_col, cfg.allowed_delay)
     if cfg.partition_col:
-        # contiguous ranges of the partition value per task: a few files per
-        # partition per batch, and a busy partition is still split over tasks
         rows = rows.repartitionByRange(cfg.partition_col, cfg.key_cols[0])  # AQE sizes the ranges
         rows.write.mode("append").partitionBy(cfg.partition_col).parquet(cfg.target)
     else:
         rows.write.mode("append").parquet(cfg.target)
 
-    if cfg.event_col:
-        record_late_rows(spark, cfg.monitor, batch, batch_id, cfg.event_col, cfg.allowed_delay)
-
 
 def record_late_rows(
     spark: SparkSession,
     monitor: str,
     batch: DataFrame,
+    run: int,
     batch_id: int,
     event_col: str,
     allowed_delay: dt.timedelta,
 ) -> None:
-    """Append one monitor row for the batch: its rows, how many are older
-    than the latest event time of earlier batches minus ``allowed_delay``
-    (late), and its own latest event time."""
+    """The batch's monitor row: its rows, how many are older than the latest
+    event time of earlier batches minus ``allowed_delay`` (late), and its own
+    latest event time. A retry replaces the row and sees the same horizon."""
     seen = _existing(spark, monitor)
     horizon = None
     if seen is not None:
-        # latest event time of every batch recorded so far (one row each)
-        horizon = seen.agg(F.max("max_event_time")).first()[0]
+        earlier = seen.where((F.col(_RUN) < run) | ((F.col(_RUN) == run) & (F.col(_BATCH) < batch_id)))
+        horizon = earlier.agg(F.max("max_event_time")).first()[0]  # one row per batch
     event_type = batch.schema[event_col].dataType.simpleString()
     # the cutoff travels as text, so no time zone is involved
     cutoff = F.lit(str(horizon - allowed_delay) if horizon is not None else None).cast(event_type)
@@ -123,12 +156,13 @@ def record_late_rows(
         F.count(F.lit(1)).cast("bigint").alias("rows_in_batch"),
         F.count_if(F.col(event_col) < cutoff).cast("bigint").alias("late_rows"),
         F.max(event_col).alias("max_event_time"),
-    ).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
-    stats.write.mode("append").parquet(monitor)
+    ).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*", F.lit(run).alias(_RUN), F.lit(batch_id).cast("bigint").alias(_BATCH))
+    _overwrite_partitions(stats, monitor, [_RUN, _BATCH], "batch_id")
 
 
 def run_incremental(spark: SparkSession, cfg: IncrementalLoad) -> DataFrame:
     """Run all available input through the load; return the target table."""
+    run = _run_number(spark, cfg.checkpoint, [cfg.monitor])
     stream = (
         spark.readStream.schema(cfg.schema)
         .option("basePath", cfg.source_base)
@@ -136,7 +170,7 @@ def run_incremental(spark: SparkSession, cfg: IncrementalLoad) -> DataFrame:
         .parquet(cfg.source_glob)
     )
     query = (
-        stream.writeStream.foreachBatch(lambda df, bid: load_batch(spark, cfg, df, bid))
+        stream.writeStream.foreachBatch(lambda df, bid: load_batch(spark, cfg, df, run, bid))
         .option("checkpointLocation", cfg.checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -149,14 +183,19 @@ def run_incremental(spark: SparkSession, cfg: IncrementalLoad) -> DataFrame:
 class FactIncrement:
     """Incremental load at fact grain.
 
-    Per micro-batch N: the batch's raw rows that no *other* batch holds yet
-    (full-row key; only the touched ``partition_col`` partitions are read)
-    are written to ``deltas`` as partition (partition value, batch N); the
-    facts derived from exactly those rows are written to ``facts`` as
-    partition (fact partition value, batch N). Both writes overwrite their
-    batch's partitions (dynamic partition overwrite), so a replayed batch
-    rewrites the same data, and a replay after a lost checkpoint finds every
-    earlier row in the other batches: no row is lost or doubled."""
+    For batch (run, n), everything is written to partitions of its own and
+    replaced by a retry:
+
+    * ``deltas``: the batch's raw rows that no committed other batch holds (full-row
+      comparison, so a replay adds nothing);
+    * ``facts``: the facts of these rows and of the rows that were pending;
+    * ``pending``: rows that are ``not_ready`` (their order header is not there
+      yet), for the next batch to try again;
+    * ``commits``: written last. What an interrupted batch left is not read
+      by anyone and does not count as held.
+
+    The fact table is the latest version of each line (``line_key``), so a
+    corrected line replaces the old one instead of doubling it."""
 
     source_glob: str
     source_base: str
@@ -169,58 +208,101 @@ class FactIncrement:
     fact_partition_col: str
     fact_partition_expr: str  # SQL over the fact columns
     to_facts: Callable[[DataFrame], DataFrame]
+    # the line's identity in the raw rows and in the facts; without one every
+    # distinct row is a line of its own
+    line_key: tuple[str, ...] = ()
+    fact_line_key: tuple[str, ...] = ()
+    # the raw rows that cannot give facts yet (e.g. no order header); None: all can
+    not_ready: Callable[[DataFrame], DataFrame] | None = None
     max_files_per_trigger: int = 1
     monitor: str | None = None  # late-row monitor table (needs event_col)
     event_col: str | None = None
     allowed_delay: dt.timedelta = dt.timedelta(days=1)
 
+    @property
+    def pending(self) -> str:
+        return f"{self.deltas.rstrip('/')}-pending"
 
-_BATCH = "_batch"
+    @property
+    def pending_schema(self) -> StructType:
+        return StructType([*self.schema.fields, StructField(_RUN, IntegerType()), StructField(_BATCH, LongType())])
 
-
-def _overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
-    (
-        df.repartitionByRange(*cols)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy(*cols)
-        .parquet(path)
-    )
+    @property
+    def commits(self) -> str:
+        return f"{self.deltas.rstrip('/')}-commits"
 
 
-def fact_batch(spark: SparkSession, cfg: FactIncrement, batch: DataFrame, batch_id: int) -> None:
-    if cfg.monitor and cfg.event_col:
-        record_late_rows(spark, cfg.monitor, batch, batch_id, cfg.event_col, cfg.allowed_delay)
-    raw_cols = list(cfg.schema.names)
-    rows = batch.select(*raw_cols).dropDuplicates(raw_cols).withColumn(
-        cfg.partition_col, F.expr(cfg.partition_expr)
-    )
-    old = _existing(spark, cfg.deltas)
-    if old is not None:
-        values = rows.select(cfg.partition_col).distinct()
-        touched = [r[0] for r in values.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        others = old.where(F.col(_BATCH) != batch_id)
-        if len(touched) <= MAX_LISTED_PARTITIONS:
-            others = others.where(F.col(cfg.partition_col).isin(touched))
-        else:
-            others = others.join(values, cfg.partition_col, "left_semi")
-        keys = raw_cols + [cfg.partition_col]
-        rows = rows.alias("_new").join(others.select(*keys).alias("_old"), _null_safe_match(keys), "left_anti")
-    rows = rows.withColumn(_BATCH, F.lit(batch_id))
-    if rows.limit(1).count() == 0:  # nothing new in this batch
+def _committed(spark: SparkSession, cfg: FactIncrement, path: str, run: int | None = None, batch_id: int | None = None) -> DataFrame | None:
+    """Rows of committed batches (other than the given one)."""
+    table = _existing(spark, path, cfg.pending_schema if path == cfg.pending else None)
+    commits = _existing(spark, cfg.commits)
+    if table is None or commits is None:
+        return None
+    if run is not None:
+        commits = commits.where((F.col(_RUN) != run) | (F.col(_BATCH) != batch_id))
+    return table.join(commits.select(_RUN, _BATCH), [_RUN, _BATCH], "left_semi")  # one row per batch
+
+
+def _latest(rows: DataFrame, key: list[str], tie: list[str]) -> DataFrame:
+    """The last version of each line: by run, batch, then the row's values."""
+    if not key:
+        return rows
+    order = Window.partitionBy(*key).orderBy(F.desc(_RUN), F.desc(_BATCH), *[F.desc(c) for c in tie])
+    return rows.withColumn("_version", F.row_number().over(order)).where("_version = 1").drop("_version")
+
+
+def read_facts(spark: SparkSession, cfg: FactIncrement) -> DataFrame:
+    """The fact table: the latest committed version of every line."""
+    facts = _committed(spark, cfg, cfg.facts)
+    if facts is None:
+        raise ValueError(f"nothing loaded at {cfg.facts}")
+    own = [c for c in facts.columns if c not in {_RUN, _BATCH, *cfg.fact_line_key}]
+    return _latest(facts, list(cfg.fact_line_key), own)
+
+
+def fact_batch(spark: SparkSession, cfg: FactIncrement, batch: DataFrame, run: int, batch_id: int) -> None:
+    raw = list(cfg.schema.names)
+    rows = batch.select(*raw).dropDuplicates(raw).withColumn(cfg.partition_col, F.expr(cfg.partition_expr))
+    held = _committed(spark, cfg, cfg.deltas, run, batch_id)
+    mark = [F.lit(run).alias(_RUN), F.lit(batch_id).cast("bigint").alias(_BATCH)]
+    added = stash(_without_known(rows, held, raw, cfg.partition_col), "batch")
+    waiting = None
+    before = _committed(spark, cfg, cfg.pending, run, batch_id)
+    if before is not None:  # the last committed batch holds all that still waits
+        commits = spark.read.parquet(cfg.commits).where((F.col(_RUN) != run) | (F.col(_BATCH) != batch_id))
+        last = commits.orderBy(F.desc(_RUN), F.desc(_BATCH)).first()
+        waiting = before.where((F.col(_RUN) == last[_RUN]) & (F.col(_BATCH) == last[_BATCH])).select(*raw)
+    if not added.isEmpty():
+        if cfg.monitor and cfg.event_col:
+            record_late_rows(spark, cfg.monitor, batch, run, batch_id, cfg.event_col, cfg.allowed_delay)
+        _overwrite_partitions(added.select("*", *mark), cfg.deltas, [cfg.partition_col, _RUN, _BATCH], raw[0])
+    elif waiting is None or waiting.isEmpty():  # a replay, or known rows only
         return
-    _overwrite_partitions(rows, cfg.deltas, cfg.partition_col, _BATCH)
-    # the facts of exactly the rows this batch added (read back: fixed data)
-    added = spark.read.parquet(cfg.deltas).where(F.col(_BATCH) == batch_id).select(*raw_cols)
-    facts = cfg.to_facts(added)
-    out = facts.withColumn(cfg.fact_partition_col, F.expr(cfg.fact_partition_expr)).withColumn(
-        _BATCH, F.lit(batch_id)
-    )
-    _overwrite_partitions(out, cfg.facts, cfg.fact_partition_col, _BATCH)
+    # of a line given twice in one batch the facts take one version
+    todo = added.select(*raw) if waiting is None else added.select(*raw).unionByName(waiting)
+    todo = stash(_latest(todo.select("*", *mark), list(cfg.line_key), [c for c in raw if c not in cfg.line_key]).select(*raw), "to-facts")
+    facts = cfg.to_facts(todo).withColumn(cfg.fact_partition_col, F.expr(cfg.fact_partition_expr))
+    facts = stash(facts, "facts")
+    if not facts.isEmpty():
+        _overwrite_partitions(facts.select("*", *mark), cfg.facts, [cfg.fact_partition_col, _RUN, _BATCH], facts.columns[0])
+    late = cfg.not_ready(todo) if cfg.not_ready else todo.limit(0)
+    late.select(*raw, *mark).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(_RUN, _BATCH).parquet(cfg.pending)
+    commit = spark.createDataFrame([(run, batch_id)], f"{_RUN} int, {_BATCH} bigint").withColumn("committed", F.current_timestamp())
+    commit.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(_RUN, _BATCH).parquet(cfg.commits)
+
+
+def pending_lines(spark: SparkSession, cfg: FactIncrement) -> DataFrame | None:
+    """Raw lines that still wait for their order header."""
+    table = _committed(spark, cfg, cfg.pending)
+    if table is None:
+        return None
+    last = spark.read.parquet(cfg.commits).orderBy(F.desc(_RUN), F.desc(_BATCH)).first()
+    return table.where((F.col(_RUN) == last[_RUN]) & (F.col(_BATCH) == last[_BATCH])).select(*cfg.schema.names)
 
 
 def run_fact_increment(spark: SparkSession, cfg: FactIncrement) -> DataFrame:
     """Run all available input through the load; return the fact table."""
+    run = _run_number(spark, cfg.checkpoint, [cfg.deltas, cfg.commits])
     stream = (
         spark.readStream.schema(cfg.schema)
         .option("basePath", cfg.source_base)
@@ -228,10 +310,10 @@ def run_fact_increment(spark: SparkSession, cfg: FactIncrement) -> DataFrame:
         .parquet(cfg.source_glob)
     )
     query = (
-        stream.writeStream.foreachBatch(lambda df, bid: fact_batch(spark, cfg, df, bid))
+        stream.writeStream.foreachBatch(lambda df, bid: fact_batch(spark, cfg, df, run, bid))
         .option("checkpointLocation", cfg.checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(cfg.facts)
+    return read_facts(spark, cfg)
