@@ -2,10 +2,7 @@
 
 ``ROW_NUMBER() OVER (ORDER BY id)`` makes Spark move every row into a single
 partition. ``dense_key`` gives the same numbers (1..n in key order, or
-``start``..) with all work spread over the cluster:
-
-Inputs proven small by a count (at most ``SMALL_ROWS``) are numbered with a
-plain window instead; everything else:
+``start``..) with all work spread over the cluster, in the same way at every size:
 
 1. range-partition by the order columns and sort inside each partition
    (the sampled range bounds split any hot key value range over partitions);
@@ -27,15 +24,11 @@ from pyspark.sql import functions as F
 from martwright.session import ensure_checkpoint_dir, stash
 
 
-def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-# Inputs with at most this many rows (checked by a count) are numbered by
-# a plain window in one task; bigger inputs take the distributed path.
-SMALL_ROWS = 1_000_000
+def range_sorted(df: DataFrame, cols, num_partitions: int | None) -> DataFrame:
+    """Rows in ranges of ``cols``, sorted inside; AQE sizes the ranges from the
+    data unless a number is given."""
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    return ranged.sortWithinPartitions(*cols)
 
 
 def dense_key(
@@ -44,11 +37,14 @@ def dense_key(
     key_col: str,
     start: int = 1,
     num_partitions: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = 0,
 ) -> DataFrame:
     """Add ``key_col`` (BIGINT) numbering rows densely from ``start`` in
     ``order_cols`` order (ascending, nulls first as in Spark's default).
 
+    ``small_rows`` lets a caller that knows its input to be tiny (a few fixed
+    values) ask for a plain window up to that many counted rows.
+
     The order columns must identify a row (a natural key); then the numbers
     do not depend on how rows are partitioned."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -61,12 +57,7 @@ def dense_key(
     if small_rows and base.count() <= small_rows:
         w = Window.orderBy(*order_cols)
         return base.withColumn(key_col, (F.row_number().over(w) + (start - 1)).cast("bigint"))
-    n = _partition_count(df, num_partitions)
-    ranged = (
-        base.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .checkpoint(eager=True)
-    )
+    ranged = range_sorted(base, order_cols, num_partitions).checkpoint(eager=True)
     tagged = ranged.withColumn("_dk_pid", F.spark_partition_id()).withColumn(
         "_dk_mid", F.monotonically_increasing_id()
     )

@@ -11,9 +11,6 @@ operators split each key over the range partitions instead:
 3. fix the piece boundaries with a small table holding one row per
    (partition, key) piece: a key spans at most the number of partitions, so
    the boundary window per key is bounded by the partition count.
-
-Inputs proven small by a count (at most ``SMALL_ROWS`` rows in total) use
-the plain window directly: no task can receive more than that.
 """
 
 from __future__ import annotations
@@ -21,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.operators.keys import SMALL_ROWS
+from martwright.operators.keys import range_sorted
 from martwright.session import ensure_checkpoint_dir
 
 _PID = "_sq_pid"
@@ -30,13 +27,7 @@ _POS = "_sq_pos"
 
 def _pieces(df: DataFrame, key_col: str, order_cols: list[str | Column], num_partitions: int | None) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [key_col, *order_cols]
-    ranged = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .checkpoint(eager=True)
-    )
+    ranged = range_sorted(df, [key_col, *order_cols], num_partitions).checkpoint(eager=True)
     return ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _POS, F.monotonically_increasing_id()
     )
@@ -59,7 +50,7 @@ def next_in_key(
     value_col: str,
     out_col: str,
     num_partitions: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = 0,
 ) -> DataFrame:
     """Add ``out_col`` = ``value_col`` of the next row of the same key in
     ``order_cols`` order (SQL ``LEAD(value) OVER (PARTITION BY key ORDER BY ...)``)."""
@@ -90,7 +81,7 @@ def prior_max_in_key(
     value_col: str,
     out_col: str,
     num_partitions: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = 0,
 ) -> DataFrame:
     """Add ``out_col`` = max of ``value_col`` over all earlier rows of the same
     key in ``order_cols`` order (null for the first row of a key)."""
