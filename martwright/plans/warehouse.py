@@ -24,7 +24,7 @@ from martwright.operators.dimensions import (
 )
 from martwright.operators.facts import fact_order, fact_sale
 from martwright.operators.scd2 import apply_scd2
-from martwright.session import scratch_path, stash
+from martwright.session import path_state, scratch_path, stash
 from martwright.sources.model import DERIVED_SOURCES, Sources, parquet_materializer, store_sources
 from martwright.sources.staging import stage_driver_tables
 
@@ -144,15 +144,18 @@ def build_warehouse(src: Sources, change: CategoryChange | None = DEFAULT_CHANGE
     )
 
 
-# One built warehouse per (application, input folder): the dimensions are
-# numbered once and reused by every question of the same session.
-_CACHE: dict[tuple[str, str], Warehouse] = {}
+# One built warehouse per (application, input folder and state of its files):
+# the dimensions are numbered once and reused by every question of a session;
+# new or changed input is built anew.
+_CACHE: dict[tuple, Warehouse] = {}
+INPUT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Stage, store the source snapshot, build and store the warehouse once
     per session and input folder (under the shared checkpoint folder)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    state = tuple(path_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in INPUT_TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state)
     wh = _CACHE.get(key)
     if wh is None:
         run = scratch_path(spark, "run")

@@ -108,3 +108,17 @@ def stash(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path).select(*df.columns)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def path_state(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(name, length, modification time) of the files at ``path``."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(place))

@@ -20,8 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from martwright.session import path_exists
 from martwright.sources.model import Sources, widen_invoice_lines, widen_order_lines
 
 
@@ -97,10 +97,10 @@ MANIFEST: tuple[ExtractSpec, ...] = (
         ("ExtendedPrice", "extended_price", MONEY))),
 )
 
+NULL_TEXT = "NULL"
 CSV_OPTIONS = {
     "sep": ";",
     "header": "true",
-    "nullValue": "NULL",
     "quote": '"',
     "escape": '"',
     "mode": "FAILFAST",
@@ -112,19 +112,22 @@ def _join(root: str, rel: str) -> str:
     return f"{root.rstrip('/')}/{rel}"
 
 
-def read_extract(spark: SparkSession, path: str) -> DataFrame:
-    """All-string DataFrame of one extract file."""
-    return spark.read.options(**CSV_OPTIONS).csv(path)
+def read_extract(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All-string DataFrame of one extract file: ``NULL`` is null, an empty
+    field is an empty string.
+
+    ``multi_line`` reads line breaks inside quotes; a file is then one task.
+    Turn it off for large files known to have none, so that they are split."""
+    raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
+    # the reader gives null for an empty field; the text NULL is still there
+    return raw.select(*[
+        F.when(F.col(f"`{c}`") == NULL_TEXT, F.lit(None)).otherwise(F.coalesce(f"`{c}`", F.lit(""))).alias(c)
+        for c in raw.columns
+    ])
 
 
 def missing_inputs(spark: SparkSession, root: str, manifest=MANIFEST) -> list[str]:
-    missing = []
-    for rel in sorted({s.file for s in manifest}):
-        try:
-            read_extract(spark, _join(root, rel))
-        except AnalysisException:
-            missing.append(rel)
-    return missing
+    return [rel for rel in sorted({s.file for s in manifest}) if not path_exists(spark, _join(root, rel))]
 
 
 def check_inputs(spark: SparkSession, root: str, manifest=MANIFEST) -> None:
@@ -135,7 +138,9 @@ def check_inputs(spark: SparkSession, root: str, manifest=MANIFEST) -> None:
 
 def typed_table(raw: DataFrame, spec: ExtractSpec) -> DataFrame:
     df = raw.where(F.expr(spec.where)) if spec.where else raw
-    return df.select(*[F.col(f"`{h}`").cast(t).alias(name) for h, name, t in spec.columns])
+    # an empty field is a value of text only
+    value = lambda h, t: F.col(f"`{h}`") if t == "string" else F.nullif(F.col(f"`{h}`"), F.lit(""))
+    return df.select(*[value(h, t).cast(t).alias(name) for h, name, t in spec.columns])
 
 
 def ingest(spark: SparkSession, root: str, manifest=MANIFEST) -> dict[str, DataFrame]:
@@ -178,23 +183,49 @@ def sources_from_tables(t: dict[str, DataFrame]) -> Sources:
     )
 
 
-def publish_snapshot(tables: dict[str, DataFrame], base: str, run_id: str | None = None) -> str:
-    """Write all tables to ``base/run-<id>/<table>`` (overwrite), then point
-    ``base/_current`` at the run. Returns the run folder."""
-    spark = next(iter(tables.values())).sparkSession
-    run_id = run_id or uuid.uuid4().hex[:12]
-    run_dir = _join(base, f"run-{run_id}")
+def write_run(tables: dict[str, DataFrame], base: str, run_id: str | None = None) -> str:
+    """Write all tables to ``base/run-<id>/<table>``; returns the run folder.
+    Nobody reads it until ``point_at`` makes it the current one."""
+    run_dir = _join(base, f"run-{run_id or uuid.uuid4().hex[:12]}")
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(_join(run_dir, name))
-    spark.createDataFrame([(run_dir,)], "path string").coalesce(1).write.mode("overwrite").text(
-        _join(base, "_current")
-    )
+    return run_dir
+
+
+def read_run(spark: SparkSession, run_dir: str, names) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(_join(run_dir, name)) for name in names}
+
+
+def point_at(spark: SparkSession, base: str, run_dir: str) -> None:
+    """Make a run the current one: the pointer is a file, replaced by one
+    rename, so a reader always finds the old run or the new."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    new = _join(base, f"_next-{uuid.uuid4().hex[:12]}")
+    spark.createDataFrame([(run_dir,)], "path string").coalesce(1).write.text(new)
+    place = hadoop.Path(new)
+    fs = place.getFileSystem(conf)
+    part = next(f.getPath() for f in fs.listStatus(place) if f.getPath().getName().startswith("part-"))
+    fs.mkdirs(hadoop.Path(_join(base, "_current")))
+    pointer = fs.makeQualified(hadoop.Path(_join(base, "_current/run.txt")))
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(place.toUri(), conf).rename(part, pointer, how)
+    fs.delete(place, True)
+
+
+def publish_snapshot(tables: dict[str, DataFrame], base: str, run_id: str | None = None) -> str:
+    """Write a run and make it the current one. Returns the run folder."""
+    run_dir = write_run(tables, base, run_id)
+    point_at(next(iter(tables.values())).sparkSession, base, run_dir)
     return run_dir
 
 
 def read_published(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     run_dir = spark.read.text(_join(base, "_current")).first()[0]
-    return {spec.table: spark.read.parquet(_join(run_dir, spec.table)) for spec in MANIFEST}
+    return read_run(spark, run_dir, [spec.table for spec in MANIFEST])
 
 
 def write_extract(df: DataFrame, path: str) -> None:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from martwright.session import stash
+from martwright.session import path_exists, stash
 
 _RUN, _BATCH = "_run", "_batch"
 
@@ -52,12 +52,6 @@ class IncrementalLoad:
     transform: Callable[[DataFrame], DataFrame] | None = None
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def _existing(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The table at ``path``, or None when there is no such folder; a folder
     that cannot be read is an error, not an empty table. With a schema, a

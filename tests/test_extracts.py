@@ -216,3 +216,14 @@ def test_republish_moves_pointer_without_duplicates(spark, tmp_out):
     current = read_published(spark, base)
     assert current["order_lines"].count() == tables["order_lines"].count() == 5
     assert {r[0] for r in spark.read.text(os.path.join(base, "_current")).collect()} == {second}
+
+
+def test_empty_fields_and_quoted_line_breaks(spark, tmp_out):
+    from martwright.sources.extracts import MANIFEST, read_extract, typed_table
+
+    spec = next(s for s in MANIFEST if s.table == "people")
+    path = os.path.join(tmp_out, "people.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('PersonID;FullName;IsSalesperson\n1;;1\n2;"two\nlines";0\n3;NULL;NULL\n4;"";1\n')
+    got = sorted(tuple(r) for r in typed_table(read_extract(spark, path), spec).collect())
+    assert got == [(1, "", True), (2, "two\nlines", False), (3, None, None), (4, "", True)]
