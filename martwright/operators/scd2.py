@@ -85,3 +85,20 @@ def apply_scd2(
     )
     new_versions = dense_key(new_rows, [id_col], key_col, start=int(max_key) + 1)
     return kept.unionByName(new_versions.select(*kept.columns))
+
+
+def apply_type1(
+    dim: DataFrame,
+    snapshot: DataFrame,
+    overwritten: list[str],
+    id_col: str = "customer_id",
+) -> DataFrame:
+    """Type-1 change: the ``overwritten`` attributes of every version of an id
+    take the snapshot's values (nulls included); history, dates and keys stay.
+    Ids that the snapshot does not name keep their values."""
+    new = snapshot.select(id_col, *[F.col(c).alias(f"_new_{c}") for c in overwritten], F.lit(True).alias("_named"))
+    joined = dim.join(new, id_col, "left")
+    return joined.select(*[
+        F.when(F.col("_named"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in overwritten else F.col(c)
+        for c in dim.columns
+    ])

@@ -224,6 +224,9 @@ REPORTS: dict[str, QueryFn] = {
     "overlap_check": lambda s, d: r.overlap_check(warehouse_for(s, d)),
     "overlap_check_unexpired": lambda s, d: r.overlap_check_unexpired(warehouse_for(s, d)),
     "dq_report": lambda s, d: r.dq_report(warehouse_for(s, d)),
+    "dq_report_broken": lambda s, d: r.dq_report_broken(warehouse_for(s, d)),
+    "constraint_report_broken": lambda s, d: r.constraint_report_broken(warehouse_for(s, d)),
+    "dim_customer_type1": lambda s, d: r.dim_customer_type1(warehouse_for(s, d)),
     "row_counts": lambda s, d: r.row_counts(warehouse_for(s, d)),
     "table_profile": lambda s, d: r.table_profile(warehouse_for(s, d), exact=True),
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.operators.gates import overlapping_versions, quality_gates
+from martwright.operators.scd2 import apply_type1
 from martwright.operators.quality import check_constraints, stand_in_rules, warehouse_rules
 from martwright.plans.warehouse import Warehouse
 
@@ -87,10 +88,42 @@ def overlap_check_unexpired(wh: Warehouse) -> DataFrame:
     return overlapping_versions(unexpired_copy(wh))
 
 
-def dq_report(wh: Warehouse) -> DataFrame:
+def broken_copy(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Order lines and order facts with faults that the checks must find: lines
+    of unknown orders with negative quantities, facts without a product key."""
+    lines = wh.sources.order_lines
+    orphans = lines.where("line_number = 1 AND order_id % 7 = 0").withColumn(
+        "order_id", -F.col("order_id") - 1).withColumn("quantity", -F.col("quantity"))
+    facts = wh.fact_order.withColumn("product_key", F.when(
+        ~((F.col("line_number") == 2) & (F.col("order_id") % 7 == 0)), F.col("product_key")))
+    return lines.unionByName(orphans.select(*lines.columns)), facts
+
+
+def dq_report_broken(wh: Warehouse) -> DataFrame:
+    lines, facts = broken_copy(wh)
+    return dq_report(wh, order_lines=lines, fact_order=facts)
+
+
+def constraint_report_broken(wh: Warehouse) -> DataFrame:
+    lines, facts = broken_copy(wh)
+    tables = dict(wh.sources.tables()) | wh.tables() | {"order_lines": lines, "fact_order": facts}
+    rules = [r for r in stand_in_rules() + _warehouse_rules(wh) if r.table in {"order_lines", "fact_order"}]
+    return check_constraints(tables, rules)
+
+
+def dim_customer_type1(wh: Warehouse) -> DataFrame:
+    """Every tenth customer is renamed and leaves its buying group, on all of
+    its versions."""
+    named = wh.sources.customers.where("customer_id % 10 = 1").select(
+        "customer_id", F.concat(F.upper("customer_name"), F.lit(" Ltd")).alias("customer_name"),
+        F.lit(None).cast("string").alias("buying_group"))
+    return apply_type1(wh.dim_customer, named, ["customer_name", "buying_group"])
+
+
+def dq_report(wh: Warehouse, order_lines: DataFrame | None = None, fact_order: DataFrame | None = None) -> DataFrame:
     src = wh.sources
     return quality_gates(
-        order_lines=src.order_lines,
+        order_lines=src.order_lines if order_lines is None else order_lines,
         invoice_lines=src.invoice_lines,
         invoices=src.invoices,
         orders=src.orders,
@@ -100,7 +133,7 @@ def dq_report(wh: Warehouse) -> DataFrame:
             "dim_employee": wh.dim_employee,
             "dim_product": wh.dim_product,
         },
-        fact_order=wh.fact_order,
+        fact_order=wh.fact_order if fact_order is None else fact_order,
         fact_sale=wh.fact_sale,
         order_line_cols=src.order_line_id_cols,
         sale_line_cols=src.invoice_line_id_cols,

@@ -237,3 +237,35 @@ def test_versioned_key_matches_version_join(spark):
     missing = facts.unionByName(spark.createDataFrame([(7, 30, D(2000, 1, 1))], facts.schema))
     got = versioned_key(missing, *args[1:])  # id 30 unknown: proof fails, join drops it
     assert rows(got) == rows(asof_join(missing, dim, "customer_id", "d", "customer_id", "customer_key"))
+
+
+def test_planted_faults_are_reported(spark):
+    from conftest import SF_SMALL
+    from martwright.plans import reports as r
+    from martwright.plans.warehouse import warehouse_for
+
+    wh = warehouse_for(spark, SF_SMALL)
+    gates = {x["rule"]: x["violations"] for x in r.dq_report_broken(wh).collect()}
+    assert all(gates[k] > 0 for k in (g.GATE_ORDER_ROWS, g.GATE_KEYS_RESOLVE, g.GATE_VALID_VALUES, g.GATE_INVOICE_DATES))
+    rules = {x["rule"]: x["violations"] for x in r.constraint_report_broken(wh).collect()}
+    assert rules["foreign_key:order_lines(order_id)->orders(order_id)"] > 0
+    assert rules["not_null:fact_order(product_key)"] > 0 and rules["non_negative:order_lines(quantity)"] > 0
+
+
+def test_orphan_lines_reach_the_checks(spark, tmp_out):
+    import os
+
+    from conftest import SF_SMALL
+    from martwright.plans import reports as r
+    from martwright.plans.warehouse import INPUT_TABLES, warehouse_for
+
+    for t in INPUT_TABLES:
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        if t == "lineitem":
+            df = df.unionByName(df.limit(50).withColumn("l_orderkey", F.lit(-5).cast("long")))
+        df.write.parquet(os.path.join(tmp_out, f"{t}.parquet"))
+    wh = warehouse_for(spark, tmp_out)
+    lines = spark.read.parquet(os.path.join(tmp_out, "lineitem.parquet")).count()
+    assert wh.sources.order_lines.count() == lines and wh.fact_order.count() == lines - 50
+    gates = {x["rule"]: x["violations"] for x in r.dq_report(wh).collect()}
+    assert gates[g.GATE_ORDER_ROWS] == 50
