@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from martwright.llm.text import WORD_SEPARATORS, documents
 
 K, TUPLE, BINS = 2, 2, 64
-#: Rows of one range of doc_id, ordered by one task.
-RANGE_ROWS = 4_000
+#: Rows of one range of doc_id, ordered by one task, and most ranges (their
+#: cuts are held by every task; beyond that ranges grow and are sorted with spill).
+RANGE_ROWS, MAX_RANGES = 4_000, 10_000
 
 
 def _let(value: Column, body) -> Column:
@@ -109,7 +110,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     facts = base.agg(F.count("*").alias("rows"), F.min("doc_id").alias("least"), F.count(F.when(F.col("doc_id").isNull(), 1)).alias("nulls")).first()
-    ranges = max(1, facts["rows"] // RANGE_ROWS)
+    ranges = min(MAX_RANGES, max(1, facts["rows"] // RANGE_ROWS))
     shares = [k / ranges for k in range(1, ranges)]
     cuts = sorted(set(base.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] or [])) if shares else []
     # the cuts are ids that exist: the first row of a range is known without a look at its texts
