@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martwright.llm import licenses, mixing
+from martwright.llm import licenses, mixing, oracles
 from martwright.llm.dac import op3_directly_addressable_codes
 from martwright.llm.fingerprints import op10_order_minhash
 from martwright.llm.jaccard import op5_ngram_jaccard_join
@@ -29,4 +29,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_mixing_sources": mixing.ORACLE,
     "op4_license_scans": licenses.ORACLE,
+    "op5_ngram_jaccard_join": oracles.JACCARD,
+    "op9_quality_rules": oracles.QUALITY,
 }

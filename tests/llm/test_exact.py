@@ -335,3 +335,12 @@ def test_toxicity_gradients():
         up[name][at] += step
         down[name][at] -= step
         assert abs((loss(up) - loss(down)) / (2 * step) - g[name][at]) < 0.02 * abs(g[name][at]) + 1e-5, name
+
+
+@pytest.mark.parametrize("name", ["op5_ngram_jaccard_join", "op9_quality_rules"])
+def test_whole_table_queries_equal_their_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    want = con.execute(registry.ORACLES[name]).df().sort_values("doc_id")
+    got = frame(registry.QUERIES[name](spark, SF_SMALL))
+    assert got.values.tolist() == want[got.columns].values.tolist()
