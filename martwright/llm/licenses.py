@@ -2,7 +2,9 @@
 passage to licence templates, then inheritance from the nearest directory.
 
 1. Document frequencies of the templates' words are counted over all documents.
-2. Texts are cut into passages: lines, and overlapping windows of long lines. A
+2. Texts are cut into passages: lines, overlapping windows of long lines, and the
+   same windows over the whole text where they cross a line break, so that wrapped
+   notices are compared whole. A
    passage can reach the threshold only if it has one of the *cue* words: by
    Cauchy-Schwarz the others alone stay below it against every template. Such
    passages' term counts are joined with the templates' weights; the best cosine
@@ -93,6 +95,27 @@ def template_weights(frequencies: tuple[int, dict[str, int]], templates: dict[st
     return rows, idf, sorted(needed)
 
 
+def _window_starts(words: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - (PASSAGE - STEP) - 1), F.lit(STEP))
+
+
+def _passage(kind: int, line: Column, start: Column, words: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), line.alias("line"), start.alias("start"), words.alias("words"))
+
+
+def line_passages(lines: str) -> Column:
+    """Each line, cut into overlapping windows if it is long."""
+    return F.flatten(F.transform(lines, lambda words, i: F.transform(
+        _window_starts(words), lambda s: _passage(0, i, s, F.slice(words, s + 1, F.lit(PASSAGE))))))
+
+
+def crossing_passages(words: str, line_of: str) -> Column:
+    """Windows over the whole text that cross a line break; each has the line it starts on."""
+    starts = F.filter(_window_starts(F.col(words)), lambda s: F.get(line_of, s) < F.get(
+        line_of, F.least(s + PASSAGE, F.size(line_of)) - 1))
+    return F.transform(starts, lambda s: _passage(1, F.get(line_of, s), s, F.slice(words, s + 1, F.lit(PASSAGE))))
+
+
 def licence_notices(docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(row, line, licence, cosine): the best passage of each row of ``docs``
     (columns ``row`` and ``text``) that reaches the threshold; ties go to the
@@ -103,21 +126,21 @@ def licence_notices(docs: DataFrame, templates: dict[str, list[str]] | None = No
     rows, idf, cues = template_weights(document_frequencies(docs, vocabulary), templates, threshold)
     weights = spark.createDataFrame(rows, "template string, name string, word string, weight double")
     idfs = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
-    lines = docs.select("row", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     cue = F.array(*[F.lit(w) for w in cues])
-    words = lines.select("row", "line", _word_array("content").alias("words")).where(F.arrays_overlap("words", cue))
-    words = words.withColumn("words", F.filter("words", lambda w: w != ""))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - (PASSAGE - STEP) - 1), F.lit(STEP))
-    passages = (words.withColumn("start", F.explode(starts))
-                .withColumn("words", F.slice("words", F.col("start") + 1, F.lit(PASSAGE))))
-    terms = (passages.where(F.arrays_overlap("words", cue)).select("row", "line", "start", F.explode("words").alias("word"))
-             .groupBy("row", "line", "start", "word").agg(F.count("*").alias("tf"))
+    texts = (docs.where(F.arrays_overlap(_word_array("text"), cue)).withColumn("contents", F.split("text", "\n"))
+             .select("row", F.transform("contents", lambda content: F.filter(_word_array(content), lambda w: w != "")).alias("lines")))
+    texts = texts.select("row", "lines", F.flatten("lines").alias("words"),
+                         F.flatten(F.transform("lines", lambda words, i: F.transform(words, lambda _: i))).alias("line_of"))
+    passages = texts.select("row", F.inline(F.concat(line_passages("lines"), crossing_passages("words", "line_of"))))
+    place = ["row", "kind", "line", "start"]
+    terms = (passages.where(F.arrays_overlap("words", cue)).select(*place, F.explode("words").alias("word"))
+             .groupBy(*place, "word").agg(F.count("*").alias("tf"))
              .join(F.broadcast(idfs), "word", "left")  # the templates' words: a fixed table
              .withColumn("weight_in", F.col("tf") * F.coalesce("idf", F.lit(OTHER))))
-    norms = terms.groupBy("row", "line", "start").agg(F.sqrt(F.sum(F.col("weight_in") * F.col("weight_in"))).alias("norm"))
+    norms = terms.groupBy(*place).agg(F.sqrt(F.sum(F.col("weight_in") * F.col("weight_in"))).alias("norm"))
     dots = (terms.join(F.broadcast(weights), "word")
-            .groupBy("row", "line", "start", "template", "name").agg(F.sum(F.col("weight_in") * F.col("weight")).alias("dot")))
-    scored = (dots.join(norms, ["row", "line", "start"])
+            .groupBy(*place, "template", "name").agg(F.sum(F.col("weight_in") * F.col("weight")).alias("dot")))
+    scored = (dots.join(norms, place)
               .withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("cosine") >= threshold))
     best = scored.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "line", F.col("name").alias("licence"))).alias("b"))
     return best.select("row", "b.line", "b.licence", (-F.col("b.minus")).alias("cosine"))

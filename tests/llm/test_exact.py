@@ -228,6 +228,21 @@ def test_licences_equal_their_oracle(spark):
     assert got.values.tolist() == want[got.columns].values.tolist()
 
 
+@pytest.mark.parametrize("prefix", ["", "# ", " * ", "// ", "-- "])
+def test_wrapped_licence_notices_are_compared_whole(spark, prefix):
+    rows = [(i, f"plain prose of document number n{i}\nwith another row of text below", "x/y") for i in range(300)]
+    named = {"MIT": 1, "BSD-3-Clause": 1, "GPL-3.0": 1}
+    for n, (licence, k) in enumerate(named.items()):
+        words = licenses.TEMPLATES[licence][k].split()
+        wrapped = "\n".join(prefix + " ".join(words[i:i + 6]) for i in range(0, len(words), 6))
+        rows += [(1000 + n, f"{wrapped}\n{prefix}\nimport os\nprint(os.name)", f"tree/{licence}"), (2000 + n, "print(1)", f"tree/{licence}/src")]
+    got = {r["doc_id"]: r for r in licenses.scan_licences(spark.createDataFrame(rows, "doc_id long, text string, directory string")).collect()}
+    for n, licence in enumerate(named):
+        assert got[1000 + n]["own_licence"] == licence
+        assert got[2000 + n]["licence"] == licence and got[2000 + n]["licence_from"] == f"tree/{licence}"
+    assert all(got[i]["licence"] is None for i in range(300))
+
+
 def test_sharding(spark, table):
     rows = [(i, t) for i, t in enumerate(table.text.tolist() + ["hot text"] * 150)]
     got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
