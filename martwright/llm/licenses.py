@@ -4,7 +4,8 @@ passage to licence templates, then inheritance from the nearest directory.
 1. Document frequencies of the templates' words are counted over all documents.
 2. Texts are cut into passages: lines, overlapping windows of long lines, and the
    same windows over the whole text where they cross a line break, so that wrapped
-   notices are compared whole. A
+   notices are compared whole. Windows of each template's own length around cue words
+   score a short notice without its neighbours, however common its words are. A
    passage can reach the threshold only if it has one of the *cue* words: by
    Cauchy-Schwarz the others alone stay below it against every template. Such
    passages' term counts are joined with the templates' weights; the best cosine
@@ -50,6 +51,8 @@ TEMPLATES: dict[str, list[str]] = {
 THRESHOLD = 0.75
 #: Words of a passage, and how far one starts after another, in lines longer than that.
 PASSAGE, STEP = 40, 20
+#: Windows of a template's length start this part of it after another (at least one word).
+FITTED_STEPS = 5
 #: A notice in the first lines of a file holds for its directory.
 HEADER_LINES = 3
 #: Weight of a word that no template has.
@@ -116,6 +119,19 @@ def crossing_passages(words: str, line_of: str) -> Column:
     return F.transform(starts, lambda s: _passage(1, F.get(line_of, s), s, F.slice(words, s + 1, F.lit(PASSAGE))))
 
 
+def fitted_passages(words: str, line_of: str, cue: Column, lengths: list[int]) -> Column:
+    """Windows of the templates' lengths that hold a cue word, over the whole text."""
+    at = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(cue, w), i)), lambda i: i.isNotNull())
+
+    def of_length(length: int) -> Column:
+        step = max(1, length // FITTED_STEPS)
+        first = lambda i: F.ceil(F.greatest(F.lit(0), i - length + 1) / step).cast("int")
+        starts = F.array_distinct(F.flatten(F.transform(at, lambda i: F.sequence(first(i), F.floor(i / step).cast("int")))))
+        return F.transform(starts, lambda k: _passage(1 + length, F.get(line_of, k * step), k * step, F.slice(words, k * step + 1, F.lit(length))))
+
+    return F.concat(*[of_length(length) for length in lengths])
+
+
 def licence_notices(docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(row, line, licence, cosine): the best passage of each row of ``docs``
     (columns ``row`` and ``text``) that reaches the threshold; ties go to the
@@ -123,6 +139,7 @@ def licence_notices(docs: DataFrame, templates: dict[str, list[str]] | None = No
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
     vocabulary = sorted({w for texts in templates.values() for t in texts for w in _words(t)})
+    lengths = sorted({len(_words(t)) for texts in templates.values() for t in texts})
     rows, idf, cues = template_weights(document_frequencies(docs, vocabulary), templates, threshold)
     weights = spark.createDataFrame(rows, "template string, name string, word string, weight double")
     idfs = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
@@ -131,7 +148,8 @@ def licence_notices(docs: DataFrame, templates: dict[str, list[str]] | None = No
              .select("row", F.transform("contents", lambda content: F.filter(_word_array(content), lambda w: w != "")).alias("lines")))
     texts = texts.select("row", "lines", F.flatten("lines").alias("words"),
                          F.flatten(F.transform("lines", lambda words, i: F.transform(words, lambda _: i))).alias("line_of"))
-    passages = texts.select("row", F.inline(F.concat(line_passages("lines"), crossing_passages("words", "line_of"))))
+    passages = texts.select("row", F.inline(F.concat(
+        line_passages("lines"), crossing_passages("words", "line_of"), fitted_passages("words", "line_of", cue, lengths))))
     place = ["row", "kind", "line", "start"]
     terms = (passages.where(F.arrays_overlap("words", cue)).select(*place, F.explode("words").alias("word"))
              .groupBy(*place, "word").agg(F.count("*").alias("tf"))

@@ -243,6 +243,16 @@ def test_wrapped_licence_notices_are_compared_whole(spark, prefix):
     assert all(got[i]["licence"] is None for i in range(300))
 
 
+def test_common_short_notices_are_found_within_long_lines(spark):
+    def line(i):
+        own = [f"w{i}x{k}" for k in range(55)]
+        return " ".join(own[:i % 50] + ["Released under the MIT License."] + own[i % 50:])
+
+    rows = [(i, line(i) if i % 3 == 0 else f"prose of number n{i}", "x/y") for i in range(300)]
+    got = {r["doc_id"]: r for r in licenses.scan_licences(spark.createDataFrame(rows, "doc_id long, text string, directory string")).collect()}
+    assert all(got[i]["own_licence"] == ("MIT" if i % 3 == 0 else None) for i in range(300))
+
+
 def test_sharding(spark, table):
     rows = [(i, t) for i, t in enumerate(table.text.tolist() + ["hot text"] * 150)]
     got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
