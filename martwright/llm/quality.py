@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from martwright.llm.text import canonical, documents, store, text_slices, with_length, word_hashes, words_of
 
-#: A line in more documents of its host than both limits is removed.
+#: A line in more documents of its host than LINE_DOCUMENTS is removed, however large
+#: the host. LINE_SHARE is a second limit of the SQL alone.
 LINE_DOCUMENTS, LINE_SHARE = 20, 0.10
 #: A document is depleted when less than this share of its words is left.
 LEFT_SHARE = 0.30
@@ -97,20 +98,17 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[c.split()[0] for c in _SIGNALS.split(", ")])
 
 
-def _frequent_lines(signals: DataFrame, line_documents: int, line_share: float) -> DataFrame:
-    """(host, line, first_doc) of lines above both limits of their host."""
+def _frequent_lines(signals: DataFrame, line_documents: int) -> DataFrame:
+    """(host, line, first_doc) of lines in more documents of their host than the limit."""
     held = signals.select("host", "content", "doc_id", F.explode(F.array_distinct("lines")).alias("line")).where("line IS NOT NULL")
     # distinct contents first: copies of one text, however many, count once
-    counted = (held.groupBy("host", "line", "content").agg(F.min("doc_id").alias("doc_id"))
-               .groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"))
-               .where(F.col("docs") > line_documents))
-    hosts = signals.groupBy("host", "content").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("host_docs"))
-    return (counted.join(hosts.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")))
-            .where(F.col("docs") > line_share * F.col("host_docs")).select("host", "line", "first_doc"))
+    return (held.groupBy("host", "line", "content").agg(F.min("doc_id").alias("doc_id"))
+            .groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"))
+            .where(F.col("docs") > line_documents).select("host", "line", "first_doc"))
 
 
 def quality_signals(docs: DataFrame, host: str = "source", line_documents: int = LINE_DOCUMENTS,
-                    line_share: float = LINE_SHARE, left_share: float = LEFT_SHARE) -> DataFrame:
+                    left_share: float = LEFT_SHARE) -> DataFrame:
     """One row per document: doc_id, row_key, the base signals, ``removed_at``
     (line numbers from 0), n_removed_words, base_failed, kept.
 
@@ -122,7 +120,7 @@ def quality_signals(docs: DataFrame, host: str = "source", line_documents: int =
     base = canonical(docs, F.col(host).cast("string").alias("host")).withColumn("doc_id", F.col("doc_id").cast("long"))
     keyed = base.withColumn("row_key", F.xxhash64("doc_id", "text", "host")).withColumn("content", F.xxhash64("text"))
     signals = store(keyed.select("doc_id", "row_key", "host", "content", "text").mapInArrow(_scan, _SIGNALS), "signals")
-    frequent = _frequent_lines(signals, line_documents, line_share).withColumnRenamed("host", "_host").withColumnRenamed("line", "_line")
+    frequent = _frequent_lines(signals, line_documents).withColumnRenamed("host", "_host").withColumnRenamed("line", "_line")
     removed = (signals.select("row_key", "doc_id", "host", F.explode(F.array_distinct("lines")).alias("line"))
                .join(frequent, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
                .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))

@@ -201,6 +201,17 @@ def test_frequent_lines_are_removed_and_depleted_documents_rejected(spark):
     assert all(300 + i in kept for i in range(50)) and kept[401].startswith(shared)
 
 
+def test_the_size_of_a_host_does_not_save_a_line(spark):
+    own = lambda h, i: " ".join(f"{h}{i}w{k}" for k in range(60))
+    rows = [(n * 10_000 + i, f"subscribe to our letter\n{own(h, i)}" if i < 40 else own(h, i), h)
+            for n, (h, size) in enumerate([("small", 60), ("large", 3000)]) for i in range(size)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in quality.filter_quality(docs).collect()}
+    assert len(kept) == 3060
+    for n, h in enumerate(["small", "large"]):  # the same 40 documents: all but the first lose it
+        assert [i for i in range(40) if kept[n * 10_000 + i] != own(h, i)] == [0]
+
+
 def test_mixing_equals_its_oracle(spark, monkeypatch):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
