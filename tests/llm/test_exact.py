@@ -136,6 +136,23 @@ def test_jaccard(spark, table, monkeypatch, shingles_in_a_tile):
     assert got.component_id.tolist() == components
 
 
+def test_a_long_run_is_streamed(monkeypatch):
+    monkeypatch.setattr(jaccard, "RUN", 4)
+    read = []
+
+    def rows(count):
+        for i in range(count):
+            read.append(i)
+            yield 7, 100 + i // 2, i, b"\0" * 8
+
+    edges = jaccard.run_edges(rows(1000), 80)
+    assert next(edges) == (0, 1) and len(read) == 5  # not the whole run
+    assert list(edges) == [(i, i + 1) for i in range(1, 999)]
+    runs = [(k, n, 10 * k + n, b"\0" * 8) for k, size in enumerate([3, 4, 5, 1]) for n in range(20, 20 + size)]
+    whole = [[(n, c, 0) for j, n, c, _ in runs if j == k] for k in range(4)]
+    assert list(jaccard.run_edges(runs, 80)) == [e for run in whole for e in jaccard.run_forest(run, 80)]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (None, 3), (300, 299), (299, 300)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
