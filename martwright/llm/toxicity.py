@@ -9,7 +9,8 @@ window's. Training knows labels of documents only: a document's logit is the
 log-sum of its windows' (some window must be toxic, or none may be).
 
 Training rows are a bounded sample (TRAIN_ROWS of each class, the least hashes
-first) of labelled rows that are not held out; all else covers all rows.
+first) of labelled rows that are not held out, up to TRAIN_WORDS words long while
+a class has such; all else covers all rows.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 16, 8, 8
 #: The bound of the training sample: rows of each class, words of a row.
 TRAIN_ROWS, TRAIN_WORDS = 600, 1_500
 UPDATES, WINDOWS_PER_UPDATE, RATE = 160, 400, 0.01
+#: Windows of an excerpt.
+EXCERPTS = 10
 #: Windows run at once.
 BLOCK = 2_048
 FOLDS = 5
@@ -240,17 +243,44 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == 0
 
 
+def excerpt() -> F.Column:
+    """Word windows spread evenly over a long text, of TRAIN_WORDS words in all."""
+    words, each = F.split("text", "[ \t-\r]+"), TRAIN_WORDS // EXCERPTS
+    start = lambda i: F.floor((F.size(words) - each) * i / (EXCERPTS - 1)).cast("int")
+    return F.array_join(F.concat(*[F.slice(words, start(i) + 1, F.lit(each)) for i in range(EXCERPTS)]), " ")
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
-    """At most ``rows`` labelled, not held out texts of each class."""
+    """At most ``rows`` labelled, not held out texts of each class: the first by
+    hash of those up to TRAIN_WORDS words. A class that has longer ones only
+    gives excerpts of these; it is empty only if ``docs`` has none of its rows."""
     known = (labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(F.col("doc_id").isNotNull()).where(~held_out()))
+    order = F.xxhash64("doc_id", F.lit("train"))
+    fit = docs.where(F.size(F.split("text", "[ \t-\r]+")) <= TRAIN_WORDS)
+
+    def first_ids(labelled: DataFrame, c: int, n: int) -> list[int]:
+        return [r["doc_id"] for r in labelled.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(n).collect()]
+
+    def texts(source: DataFrame, ids: list[int]) -> list:
+        found = source.where(F.col("doc_id").isin(ids)).select("doc_id", "text", order.alias("order")).collect()
+        return sorted(found, key=lambda r: (r["order"], r["text"]))
+
     # ids first, from the labels alone: the texts of a bounded set of ids need no join
-    label_of = {r["doc_id"]: r["toxic"] for c in (0, 1) for r in known.where(F.col("toxic") == c)
-                .orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id").limit(2 * rows).collect()}
-    fit = docs.where(F.col("doc_id").isin(list(label_of))).where(F.size(F.split("text", "[ \t-\r]+")) <= TRAIN_WORDS)
-    found = sorted(fit.select("doc_id", "text", F.xxhash64("doc_id", F.lit("train")).alias("order")).collect(), key=lambda r: (r["order"], r["text"]))
-    taken = [r for c in (0, 1) for r in [x for x in found if label_of[x["doc_id"]] == c][:rows]]
-    return [r["text"] for r in taken], np.array([label_of[r["doc_id"]] for r in taken], dtype=np.int64)
+    ids = {c: first_ids(known, c, 2 * rows) for c in (0, 1)}
+    found = texts(fit, ids[0] + ids[1])
+    taken: dict[int, list] = {}
+    for c in (0, 1):
+        held = set(ids[c])
+        taken[c] = [r for r in found if r["doc_id"] in held]
+        if len(taken[c]) < rows and len(ids[c]) == 2 * rows:  # there are labels further on
+            taken[c] = texts(fit, first_ids(known.join(fit.select("doc_id").distinct(), "doc_id"), c, rows))
+        if not taken[c] and ids[c]:
+            there = first_ids(known.join(docs.select("doc_id").distinct(), "doc_id"), c, rows)
+            taken[c] = texts(docs.withColumn("text", excerpt()), there)
+        taken[c] = taken[c][:rows]
+    return ([r["text"] for c in (0, 1) for r in taken[c]],
+            np.array([c for c in (0, 1) for _ in taken[c]], dtype=np.int64))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -362,6 +362,21 @@ def test_toxicity_held_out(spark):
     assert auc > 0.9 and (known.predicted == known.toxic).mean() > 0.9
 
 
+def test_long_documents_do_not_empty_the_training_sample(spark):
+    long = lambda word: " ".join([word, "plain"] * (toxicity.TRAIN_WORDS + 500))
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    order = {r["doc_id"]: k for k, r in enumerate(labels.orderBy(toxicity.F.xxhash64("doc_id", toxicity.F.lit("train")), "doc_id").collect())}
+    toxic = sorted((i for i in ids if i % 2), key=order.get)
+    for short in (set(toxic[20:]), set()):  # the first 20 by hash are long; all are
+        rows = [(i, ("vile words" if i in short else long("vile")) if i % 2 else "fine words") for i in ids]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        texts, y = toxicity.training_sample(docs, labels, 5)
+        assert y.tolist() == [0] * 5 + [1] * 5 and all("vile" in t for t in texts[5:])
+        assert all(len(t.split()) <= toxicity.TRAIN_WORDS for t in texts)
+        assert not short or texts[5:] == ["vile words"] * 5
+
+
 def test_toxicity_gradients():
     p = {k: v.astype(np.float64) for k, v in toxicity.new_parameters().items()}
     index, distinct, bounds = toxicity.words_of(pa.array(["a bad word here " * 20, "fine words only " * 15]))
