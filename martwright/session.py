@@ -13,6 +13,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -94,6 +95,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per context.
+
+    The driver zips its own source files and hands them to Spark, which serves
+    them to every executor (``addPyFile``). A package that was itself submitted
+    as a zip is there already."""
+    sc = spark.sparkContext
+    source = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_martwright_shipped", False) or not os.path.isdir(source):
+        return
+    folder = tempfile.mkdtemp(prefix="martwright-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "martwright.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, folders, names in os.walk(source):
+            folders[:] = sorted(f for f in folders if f != "__pycache__")
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(at, name)
+                z.write(path, os.path.join("martwright", os.path.relpath(path, source)))
+    sc.addPyFile(archive)
+    sc._martwright_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
