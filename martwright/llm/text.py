@@ -15,22 +15,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.session import scratch_path
+from martwright.session import scratch_path, ship_package
 
 #: Text bytes handled at once inside a Python task; bounds its memory, not its results.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: The words of a text, as a Spark SQL regular expression.
 WORD_SEPARATORS = r"[ \t-\r]+"
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def canonical(docs: DataFrame, *extra: str) -> DataFrame:
     """Only the columns an operator reads, with null texts as empty ones, so
     that further input columns can never clash with those it makes."""
+    ship_package(docs.sparkSession)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *extra)
 
 
