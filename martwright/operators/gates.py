@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.operators.joins import KeyProfile, join_checked
+from martwright.operators.overlaps import overlap_pairs
 from martwright.operators.sequence import prior_max_in_key
 
 # Gate labels written by the reference (the last two are
@@ -193,7 +194,8 @@ def quality_gates(
             ),
         )
     )
-    gates.append(_gate(GATE_NO_OVERLAP, _count(overlapping_versions(dim_customer), "violations")))
+    pairs = overlap_pairs(dim_customer, "customer_id", "customer_key")
+    gates.append(_gate(GATE_NO_OVERLAP, pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("violations"))))
 
     changed = changed_customer_ids(dim_customer_initial, changed_snapshot)
     versions = dim_customer.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_v"))

@@ -37,14 +37,10 @@ def dense_key(
     key_col: str,
     start: int = 1,
     num_partitions: int | None = None,
-    small_rows: int = 0,
 ) -> DataFrame:
     """Add ``key_col`` (BIGINT) numbering rows densely from ``start`` in
     ``order_cols`` order (ascending, nulls first as in Spark's default).
 
-    ``small_rows`` lets a caller that knows its input to be tiny (a few fixed
-    values) ask for a plain window up to that many counted rows.
-
     The order columns must identify a row (a natural key); then the numbers
     do not depend on how rows are partitioned."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -54,9 +50,6 @@ def dense_key(
     # files, and the planner knows their size. (The range-partitioned copy
     # below is an RDD checkpoint instead: its partition layout must survive.)
     base = stash(df, "dense-key-input")
-    if small_rows and base.count() <= small_rows:
-        w = Window.orderBy(*order_cols)
-        return base.withColumn(key_col, (F.row_number().over(w) + (start - 1)).cast("bigint"))
     ranged = range_sorted(base, order_cols, num_partitions).checkpoint(eager=True)
     tagged = ranged.withColumn("_dk_pid", F.spark_partition_id()).withColumn(
         "_dk_mid", F.monotonically_increasing_id()

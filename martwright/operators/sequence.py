@@ -50,13 +50,9 @@ def next_in_key(
     value_col: str,
     out_col: str,
     num_partitions: int | None = None,
-    small_rows: int = 0,
 ) -> DataFrame:
     """Add ``out_col`` = ``value_col`` of the next row of the same key in
     ``order_cols`` order (SQL ``LEAD(value) OVER (PARTITION BY key ORDER BY ...)``)."""
-    if small_rows and df.count() <= small_rows:
-        w = Window.partitionBy(key_col).orderBy(*order_cols)
-        return df.withColumn(out_col, F.lead(value_col).over(w))
     tagged = _pieces(df, key_col, order_cols, num_partitions)
     piece = Window.partitionBy(_PID, key_col).orderBy(_POS)
     inner = tagged.withColumn("_sq_next", F.lead(value_col).over(piece)).withColumn(
@@ -74,6 +70,19 @@ def next_in_key(
     return out.drop(_PID, _POS, "_sq_next", "_sq_last", "_sq_carry")
 
 
+def _prior_in_key(df, key_col, order_cols, num_partitions, inner, total, over_totals, combine, out_col) -> DataFrame:
+    """``out_col`` of each row from all earlier rows of its key: ``inner`` over
+    those of its own piece, ``over_totals`` over the ``total`` of each earlier
+    piece, and ``combine`` of the two."""
+    tagged = _pieces(df, key_col, order_cols, num_partitions)
+    before = Window.partitionBy(_PID, key_col).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key_col).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    carry = tagged.groupBy(_PID, key_col).agg(total.alias("_sq_total")).select(
+        _PID, key_col, over_totals(F.col("_sq_total")).over(earlier).alias("_sq_carry"))
+    out = _attach(tagged.withColumn("_sq_inner", inner.over(before)), carry, key_col)
+    return out.withColumn(out_col, combine(F.col("_sq_inner"), F.col("_sq_carry"))).drop(_PID, _POS, "_sq_inner", "_sq_carry")
+
+
 def prior_max_in_key(
     df: DataFrame,
     key_col: str,
@@ -81,27 +90,37 @@ def prior_max_in_key(
     value_col: str,
     out_col: str,
     num_partitions: int | None = None,
-    small_rows: int = 0,
 ) -> DataFrame:
     """Add ``out_col`` = max of ``value_col`` over all earlier rows of the same
     key in ``order_cols`` order (null for the first row of a key)."""
-    if small_rows and df.count() <= small_rows:
-        w = Window.partitionBy(key_col).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out_col, F.max(value_col).over(w))
-    tagged = _pieces(df, key_col, order_cols, num_partitions)
-    piece = Window.partitionBy(_PID, key_col).orderBy(_POS)
-    inner = tagged.withColumn(
-        "_sq_inner", F.max(value_col).over(piece.rowsBetween(Window.unboundedPreceding, -1))
-    )
-    piece_max = tagged.groupBy(_PID, key_col).agg(F.max(value_col).alias("_sq_piece_max"))
-    carry = piece_max.select(
-        _PID,
-        key_col,
-        F.max("_sq_piece_max")
-        .over(Window.partitionBy(key_col).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_sq_carry"),
-    )
-    out = _attach(inner, carry, key_col).withColumn(
-        out_col, F.greatest(F.col("_sq_inner"), F.col("_sq_carry"))
-    )
-    return out.drop(_PID, _POS, "_sq_inner", "_sq_carry")
+    return _prior_in_key(df, key_col, order_cols, num_partitions, F.max(value_col), F.max(value_col), F.max, F.greatest, out_col)
+
+
+def prior_sum_in_key(
+    df: DataFrame,
+    key_col: str,
+    order_cols: list[str | Column],
+    value_col: str,
+    out_col: str,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``out_col`` = sum of ``value_col`` over all earlier rows of the same
+    key in ``order_cols`` order (0 for the first row of a key)."""
+    add = lambda inner, carry: F.coalesce(inner, F.lit(0)) + F.coalesce(carry, F.lit(0))
+    return _prior_in_key(df, key_col, order_cols, num_partitions, F.sum(value_col), F.sum(value_col), F.sum, add, out_col)
+
+
+def prior_value_in_key(
+    df: DataFrame,
+    key_col: str,
+    order_cols: list[str | Column],
+    value_col: str,
+    out_col: str,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``out_col`` = the last non-null ``value_col`` (any type) of the
+    earlier rows of the same key in ``order_cols`` order (null before the first)."""
+    latest = F.max_by(value_col, F.when(F.col(value_col).isNotNull(), F.col(_POS)))
+    return _prior_in_key(
+        df, key_col, order_cols, num_partitions, F.last(value_col, ignorenulls=True), latest,
+        lambda totals: F.last(totals, ignorenulls=True), F.coalesce, out_col)

@@ -21,7 +21,7 @@ def _hot(spark, n=3000):
 
 def test_dense_key_matches_row_number(spark):
     df = spark.range(5000).select(((F.col("id") * 48271) % 100003).alias("nat"))
-    got = dense_key(df, ["nat"], "k", start=5, num_partitions=7, small_rows=0)
+    got = dense_key(df, ["nat"], "k", start=5, num_partitions=7)
     want = df.withColumn("k", F.row_number().over(Window.orderBy("nat")) + 4)
     assert sorted(map(tuple, got.select("nat", "k").collect())) == sorted(
         map(tuple, want.select("nat", F.col("k").cast("bigint")).collect())
@@ -30,13 +30,13 @@ def test_dense_key_matches_row_number(spark):
 
 def test_dense_key_hot_values(spark):
     df = _hot(spark)
-    got = dense_key(df, ["k", "t", "v"], "key", num_partitions=6, small_rows=0).select("key").collect()
+    got = dense_key(df, ["k", "t", "v"], "key", num_partitions=6).select("key").collect()
     assert sorted(r[0] for r in got) == list(range(1, 3001))
 
 
 def test_next_in_key_matches_lead(spark):
     df = _hot(spark)
-    got = next_in_key(df, "k", ["t", "v"], "v", "nxt", num_partitions=5, small_rows=0)
+    got = next_in_key(df, "k", ["t", "v"], "v", "nxt", num_partitions=5)
     w = Window.partitionBy("k").orderBy("t", "v")
     want = df.withColumn("nxt", F.lead("v").over(w))
     assert sorted(map(tuple, got.select("k", "t", "v", "nxt").collect())) == sorted(
@@ -46,7 +46,7 @@ def test_next_in_key_matches_lead(spark):
 
 def test_prior_max_matches_window(spark):
     df = _hot(spark)
-    got = prior_max_in_key(df, "k", ["t", "v"], "v", "pm", num_partitions=5, small_rows=0)
+    got = prior_max_in_key(df, "k", ["t", "v"], "v", "pm", num_partitions=5)
     w = Window.partitionBy("k").orderBy("t", "v").rowsBetween(Window.unboundedPreceding, -1)
     want = df.withColumn("pm", F.max("v").over(w))
     assert sorted(map(tuple, got.select("k", "t", "v", "pm").collect())) == sorted(
@@ -71,7 +71,7 @@ def test_fiscal_calendar(spark):
 
 def test_small_path_equals_distributed_path(spark):
     df = _hot(spark, 900)
-    a = dense_key(df, ["k", "t", "v"], "key", small_rows=0).select("v", "key")
+    a = dense_key(df, ["k", "t", "v"], "key").select("v", "key")
     b = dense_key(df, ["k", "t", "v"], "key").select("v", "key")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
@@ -79,12 +79,12 @@ def test_small_path_equals_distributed_path(spark):
 def test_keyed_scans_with_null_keys(spark):
     df = _hot(spark, 1200).withColumn("k", F.when(F.col("k") == 7, F.lit(None)).otherwise(F.col("k")))
     w = Window.partitionBy("k").orderBy("t", "v")
-    got = next_in_key(df, "k", ["t", "v"], "v", "nxt", num_partitions=5, small_rows=0)
+    got = next_in_key(df, "k", ["t", "v"], "v", "nxt", num_partitions=5)
     want = df.withColumn("nxt", F.lead("v").over(w))
     assert sorted(map(tuple, got.select("v", "nxt").collect())) == sorted(
         map(tuple, want.select("v", "nxt").collect())
     )
-    got = prior_max_in_key(df, "k", ["t", "v"], "v", "pm", num_partitions=5, small_rows=0)
+    got = prior_max_in_key(df, "k", ["t", "v"], "v", "pm", num_partitions=5)
     want = df.withColumn("pm", F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     assert sorted(map(tuple, got.select("v", "pm").collect())) == sorted(
         map(tuple, want.select("v", "pm").collect())
