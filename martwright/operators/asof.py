@@ -25,6 +25,8 @@ from martwright.operators.joins import (
     arithmetic_key,
     salted_join,
 )
+from martwright.operators.overlaps import overlap_pairs
+from martwright.operators.sequence import prior_value_in_key
 from martwright.session import stash
 
 
@@ -53,6 +55,40 @@ def asof_join(
     return joined.drop("_v_id", "_v_start", "_v_end")
 
 
+def asof_scan(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    fact_date: str,
+    dim_key: str,
+    surrogate: str,
+    start_col: str = "effective_start_date",
+    end_col: str = "effective_end_date",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """The rows of ``asof_join`` by one ordered scan, for versions that do not
+    overlap (``overlaps.overlap_pairs`` gives none).
+
+    Facts and version starts are laid in one order of (key, date), starts first;
+    each fact takes the last version begun before it, carried over range pieces
+    (``prior_value_in_key``), and stays if that version has not ended. There is no
+    broadcast, no residual range condition, and a key with any number of facts or
+    versions is spread over tasks. Facts without a key, a date or a version go,
+    as in an inner join."""
+    same = dict(fact.dtypes)[fact_key], dict(fact.dtypes)[fact_date]
+    facts = fact.where(F.col(fact_key).isNotNull() & F.col(fact_date).isNotNull()).select(
+        F.col(fact_key).alias("_as_id"), F.col(fact_date).alias("_as_at"), F.lit(1).alias("_as_kind"),
+        F.struct(*fact.columns).alias("_as_row"))
+    version = F.struct(F.col(surrogate).alias("key"), F.col(end_col).alias("last"))
+    starts = dim.where(F.col(dim_key).isNotNull() & (F.col(start_col) <= F.col(end_col))).select(
+        F.col(dim_key).cast(same[0]).alias("_as_id"), F.col(start_col).cast(same[1]).alias("_as_at"), F.lit(0).alias("_as_kind"),
+        version.alias("_as_version"))
+    line = facts.unionByName(starts, allowMissingColumns=True)
+    scanned = prior_value_in_key(line, "_as_id", ["_as_at", "_as_kind"], "_as_version", "_as_found", num_partitions)
+    valid = (F.col("_as_kind") == 1) & (F.col("_as_at") <= F.col("_as_found.last"))
+    return scanned.where(valid).select("_as_row.*", F.col("_as_found.key").alias(surrogate))
+
+
 def versioned_key(
     fact: DataFrame,
     dim: DataFrame,
@@ -78,10 +114,13 @@ def versioned_key(
     * the other ids (a counted, broadcast set) take the version join against
       their own versions only (broadcast when counted small).
 
-    Falls back to ``asof_join`` when a proof fails or the set is too big.
-    Same rows as the plain version join."""
+    Otherwise (a proof fails, the set is too big) the versions are carried along
+    the facts by ``asof_scan``; only versions that overlap need the plain join,
+    as a fact may then have several. Same rows as the plain version join."""
 
     def general():
+        if overlap_pairs(dim, dim_key, surrogate, start_col, end_col).limit(1).count() == 0:
+            return asof_scan(fact, dim, fact_key, fact_date, dim_key, surrogate, start_col, end_col)
         return asof_join(fact, dim, fact_key, fact_date, dim_key, surrogate, start_col, end_col, hot, salt_cols)
 
     split = _history_split(dim, dim_key, surrogate, start_col, end_col, open_start, open_end, max_broadcast_rows)
@@ -105,10 +144,9 @@ def versioned_key(
         .withColumn(surrogate, (F.col(fact_key) - F.lit(lo) + F.lit(s_lo)).cast("bigint"))
     )
     with_history = fact.join(ids, F.col(fact_key) == F.col("_vk_id"), "left_semi")
-    if n_history <= max_broadcast_rows:
-        versioned = asof_join(with_history, F.broadcast(history), fact_key, fact_date, dim_key, surrogate, start_col, end_col)
-    else:
-        versioned = asof_join(with_history, history, fact_key, fact_date, dim_key, surrogate, start_col, end_col, hot, salt_cols)
+    if n_history > max_broadcast_rows:
+        return general()
+    versioned = asof_join(with_history, F.broadcast(history), fact_key, fact_date, dim_key, surrogate, start_col, end_col)
     return plain.unionByName(versioned)
 
 

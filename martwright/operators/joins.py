@@ -13,13 +13,32 @@ from martwright.session import stash
 BROADCAST_ROWS = 1_000_000
 
 
+BROADCAST_BYTES = 64 << 20
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a DataFrame, by one aggregate: texts and binaries by
+    their length, other columns by the width of their type."""
+    fixed = 8 + sum(0 if f.dataType.typeName() in ("string", "binary") else 16 for f in df.schema.fields)
+    varying = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    width = sum(varying, F.lit(fixed))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    return row["n"], row["b"] or 0
+
+
 def join_checked(
-    big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
+    big: DataFrame,
+    small: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``big.join(small)`` with ``small`` broadcast only when a count proves it
-    holds at most ``max_rows`` rows; otherwise an ordinary (shuffle) join that
-    AQE may still convert at runtime."""
-    if small.count() <= max_rows:
+    """``big.join(small)`` with ``small`` broadcast only when it is measured to
+    hold at most ``max_rows`` rows and ``max_bytes`` bytes; otherwise an ordinary
+    (shuffle) join that AQE may still convert at runtime."""
+    rows, size = measured(small)
+    if rows <= max_rows and size <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
