@@ -21,10 +21,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.operators.dimensions import CUSTOMER_ATTRIBUTES, OPEN_END
+from martwright.operators.dimensions import CUSTOMER_ATTRIBUTES, OPEN_END, OPEN_START
 from martwright.operators.keys import dense_key
 from martwright.session import stash
 
@@ -87,6 +87,60 @@ def apply_scd2(
     return kept.unionByName(new_versions.select(*kept.columns))
 
 
+def history_from_snapshots(
+    snapshots: DataFrame,
+    tracked: tuple[str, ...] = ("customer_category",),
+    overwritten: tuple[str, ...] | None = None,
+    date_col: str = "snapshot_date",
+    key_col: str = "customer_key",
+    id_col: str = "customer_id",
+    attributes: list[str] = CUSTOMER_ATTRIBUTES,
+) -> DataFrame:
+    """A type-2 dimension from any number of dated snapshots (rows of
+    ``attributes`` with ``date_col``; in any order; a snapshot may name some ids
+    only, the others are unchanged by it).
+
+    Rows of an id are ordered by date; a row whose ``tracked`` attributes hash
+    like those of the row before it belongs to the same version (gaps and
+    islands), the first row of each island begins a version and the next
+    beginning ends it. The first version of an id holds from the beginning of
+    time. In the same pass the ``overwritten`` attributes (by default all that are
+    not tracked) of every version take the values of the id's latest snapshot
+    (type 1, nulls included).
+
+    Versions are numbered densely by (date of their snapshot, id): a later
+    snapshot never changes earlier keys, and giving snapshots again adds nothing.
+    Of several rows of one id and date the greatest by attribute values counts;
+    rows without an id or a date are left out. An id has a row per snapshot, so a
+    window over it is as long as the series at most."""
+    type1 = [c for c in attributes if c != id_col and c not in tracked] if overwritten is None else list(overwritten)
+    others = [c for c in attributes if c != id_col]
+    one = (
+        snapshots.where(F.col(id_col).isNotNull() & F.col(date_col).isNotNull())
+        .groupBy(id_col, F.col(date_col).cast("date").alias("_on"))
+        .agg(F.max(F.struct(*others)).alias("_as"))
+        .select(id_col, "_on", "_as.*")
+    )
+    # 128 bits of the tracked values, nulls apart from any value
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in tracked]
+    one = one.withColumn("_hash", F.struct(F.xxhash64(F.lit(1), *values).alias("a"), F.xxhash64(F.lit(2), *values).alias("b")))
+    by_date = Window.partitionBy(id_col).orderBy("_on")
+    whole = by_date.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    latest = [F.last(c).over(whole).alias(c) if c in type1 else F.col(c) for c in others]
+    begins = one.select(id_col, "_on", "_hash", *latest, F.lag("_hash").over(by_date).alias("_before")).where(
+        ~F.col("_before").eqNullSafe(F.col("_hash")))
+    ends = F.lead("_on").over(by_date)
+    versions = begins.select(
+        *attributes,
+        "_on",
+        F.when(F.row_number().over(by_date) == 1, F.lit(OPEN_START)).otherwise(F.col("_on")).alias("effective_start_date"),
+        F.coalesce(F.date_sub(ends, 1), F.lit(OPEN_END)).alias("effective_end_date"),
+        ends.isNull().alias("is_current"),
+    )
+    keyed = dense_key(versions, ["_on", id_col], key_col)
+    return keyed.select(key_col, *attributes, "effective_start_date", "effective_end_date", "is_current")
+
+
 def apply_type1(
     dim: DataFrame,
     snapshot: DataFrame,

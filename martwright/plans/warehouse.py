@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.operators.dimensions import (
+    OPEN_START,
     customer_snapshot,
     dim_customer_initial,
     dim_date,
@@ -23,7 +24,7 @@ from martwright.operators.dimensions import (
     dim_product,
 )
 from martwright.operators.facts import fact_order, fact_sale
-from martwright.operators.scd2 import apply_scd2
+from martwright.operators.scd2 import history_from_snapshots
 from martwright.session import path_state, scratch_path, stash
 from martwright.sources.model import DERIVED_SOURCES, Sources, parquet_materializer, store_sources
 from martwright.sources.staging import stage_driver_tables
@@ -107,9 +108,11 @@ def build_warehouse(src: Sources, change: CategoryChange | None = DEFAULT_CHANGE
         changes = changed_snapshot(src, change)
         # the finished dimension is written once to the shared checkpoint
         # folder; both facts and every question read it instead of
-        # recomputing the history rewrite (as parquet, so the planner sees
-        # its size)
-        customers = stash(apply_scd2(initial, changes, change.change_date), "dim_customer")
+        # recomputing the history (as parquet, so the planner sees its size).
+        # Attributes that are not tracked are overwritten in the same pass.
+        series = snapshot.withColumn("snapshot_date", F.lit(OPEN_START)).unionByName(
+            changes.withColumn("snapshot_date", F.lit(change.change_date)))
+        customers = stash(history_from_snapshots(series), "dim_customer")
     else:
         changes = snapshot.limit(0)
         customers = initial
