@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.session import path_exists
+from martwright.sources.records import read_records
 from martwright.sources.model import Sources, widen_invoice_lines, widen_order_lines
 
 
@@ -112,13 +113,18 @@ def _join(root: str, rel: str) -> str:
     return f"{root.rstrip('/')}/{rel}"
 
 
-def read_extract(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All-string DataFrame of one extract file: ``NULL`` is null, an empty
-    field is an empty string.
+def read_extract(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """All-string DataFrame of one extract (a file, or a folder of part files):
+    ``NULL`` is null, an empty field is an empty string.
 
-    ``multi_line`` reads line breaks inside quotes; a file is then one task.
-    Turn it off for large files known to have none, so that they are split."""
-    raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
+    By default a pass over the quotes finds out how the file can be cut
+    (``records.read_records``): it is read by many tasks, line breaks in quotes
+    included. ``multi_line`` skips that pass: False where it is known that no
+    quoted field has a line break, True to read each file in one task."""
+    if multi_line is None:
+        raw = read_records(spark, path, CSV_OPTIONS)
+    else:
+        raw = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
     # the reader gives null for an empty field; the text NULL is still there
     return raw.select(*[
         F.when(F.col(f"`{c}`") == NULL_TEXT, F.lit(None)).otherwise(F.coalesce(f"`{c}`", F.lit(""))).alias(c)
@@ -143,14 +149,18 @@ def typed_table(raw: DataFrame, spec: ExtractSpec) -> DataFrame:
     return df.select(*[value(h, t).cast(t).alias(name) for h, name, t in spec.columns])
 
 
-def ingest(spark: SparkSession, root: str, manifest=MANIFEST) -> dict[str, DataFrame]:
-    """Lazy typed tables by name; fails early on missing files/columns."""
+def ingest(
+    spark: SparkSession, root: str, manifest=MANIFEST, multi_line: dict[str, bool] | None = None
+) -> dict[str, DataFrame]:
+    """Typed tables by name; fails early on missing files/columns. ``multi_line``
+    says for single files (by name in the manifest) what ``read_extract`` would
+    otherwise find out."""
     check_inputs(spark, root, manifest)
     raw: dict[str, DataFrame] = {}
     out: dict[str, DataFrame] = {}
     for spec in manifest:
         if spec.file not in raw:
-            raw[spec.file] = read_extract(spark, _join(root, spec.file))
+            raw[spec.file] = read_extract(spark, _join(root, spec.file), (multi_line or {}).get(spec.file))
         out[spec.table] = typed_table(raw[spec.file], spec)
     return out
 
