@@ -48,7 +48,7 @@ class IncrementalLoad:
     partition_expr: str | None = None  # SQL expression deriving partition_col
     event_col: str | None = None
     allowed_delay: dt.timedelta = dt.timedelta(days=1)
-    max_files_per_trigger: int = 1
+    max_files_per_trigger: int | None = 1  # None: all that has arrived is one batch
     transform: Callable[[DataFrame], DataFrame] | None = None
 
 
@@ -154,15 +154,17 @@ def record_late_rows(
     _overwrite_partitions(stats, monitor, [_RUN, _BATCH], "batch_id")
 
 
+def _stream(spark: SparkSession, cfg: IncrementalLoad | FactIncrement) -> DataFrame:
+    reader = spark.readStream.schema(cfg.schema).option("basePath", cfg.source_base)
+    if cfg.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+    return reader.parquet(cfg.source_glob)
+
+
 def run_incremental(spark: SparkSession, cfg: IncrementalLoad) -> DataFrame:
     """Run all available input through the load; return the target table."""
     run = _run_number(spark, cfg.checkpoint, [cfg.monitor])
-    stream = (
-        spark.readStream.schema(cfg.schema)
-        .option("basePath", cfg.source_base)
-        .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-        .parquet(cfg.source_glob)
-    )
+    stream = _stream(spark, cfg)
     query = (
         stream.writeStream.foreachBatch(lambda df, bid: load_batch(spark, cfg, df, run, bid))
         .option("checkpointLocation", cfg.checkpoint)
@@ -208,7 +210,7 @@ class FactIncrement:
     fact_line_key: tuple[str, ...] = ()
     # the raw rows that cannot give facts yet (e.g. no order header); None: all can
     not_ready: Callable[[DataFrame], DataFrame] | None = None
-    max_files_per_trigger: int = 1
+    max_files_per_trigger: int | None = 1
     monitor: str | None = None  # late-row monitor table (needs event_col)
     event_col: str | None = None
     allowed_delay: dt.timedelta = dt.timedelta(days=1)
@@ -297,12 +299,7 @@ def pending_lines(spark: SparkSession, cfg: FactIncrement) -> DataFrame | None:
 def run_fact_increment(spark: SparkSession, cfg: FactIncrement) -> DataFrame:
     """Run all available input through the load; return the fact table."""
     run = _run_number(spark, cfg.checkpoint, [cfg.deltas, cfg.commits])
-    stream = (
-        spark.readStream.schema(cfg.schema)
-        .option("basePath", cfg.source_base)
-        .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-        .parquet(cfg.source_glob)
-    )
+    stream = _stream(spark, cfg)
     query = (
         stream.writeStream.foreachBatch(lambda df, bid: fact_batch(spark, cfg, df, run, bid))
         .option("checkpointLocation", cfg.checkpoint)
