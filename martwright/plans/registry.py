@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martwright.plans import questions as q
 from martwright.plans import reports as r
+from martwright.plans import series
 from martwright.plans.warehouse import warehouse_for
 from martwright.session import scratch_path
 from martwright.streaming.incremental import IncrementalLoad, run_incremental
@@ -133,15 +134,13 @@ def _incremental_line_load(spark, d):
 
 
 def _late_row_monitor(spark, d):
-    """Line items arrive in three files; the monitor counts, per batch, those
+    """Line items arrive in three folders; the monitor counts, per batch, those
     shipped before the latest ship date seen earlier less the allowed day. A
     replay after a lost checkpoint leaves the monitor as it is."""
     from dataclasses import replace
 
     lines = spark.read.parquet(f"{d.rstrip('/')}/lineitem.parquet")
     base = scratch_path(spark, "late-rows")
-    for k in range(3):  # one folder per arrival, in order
-        lines.where(F.col("l_orderkey") % 3 == k).coalesce(1).write.parquet(f"{base}/landing/part-{k}")
     cfg = IncrementalLoad(
         source_glob=f"{base}/landing/part-*/*.parquet",
         source_base=f"{base}/landing",
@@ -151,8 +150,11 @@ def _late_row_monitor(spark, d):
         checkpoint=f"{base}/checkpoint",
         key_cols=tuple(lines.columns),
         event_col="l_shipdate",
+        max_files_per_trigger=None,
     )
-    run_incremental(spark, cfg)
+    for k in range(3):  # an arrival is a folder of any number of files, and one batch
+        lines.where(F.col("l_orderkey") % 3 == k).write.parquet(f"{base}/landing/part-{k}")
+        run_incremental(spark, cfg)
     run_incremental(spark, replace(cfg, checkpoint=f"{base}/checkpoint-replay"))
     return spark.read.parquet(cfg.monitor).select("batch_id", "rows_in_batch", "late_rows", "max_event_time")
 
@@ -227,6 +229,13 @@ REPORTS: dict[str, QueryFn] = {
     "dq_report_broken": lambda s, d: r.dq_report_broken(warehouse_for(s, d)),
     "constraint_report_broken": lambda s, d: r.constraint_report_broken(warehouse_for(s, d)),
     "dim_customer_type1": lambda s, d: r.dim_customer_type1(warehouse_for(s, d)),
+    "dim_customer_series": lambda s, d: series.dim_customer_series(warehouse_for(s, d)),
+    "asof_scan_lines": lambda s, d: series.asof_scan_lines(warehouse_for(s, d)),
+    "overlap_pairs": lambda s, d: series.overlap_pairs_of(warehouse_for(s, d).dim_customer),
+    "overlap_pairs_unexpired": lambda s, d: series.overlap_pairs_unexpired(warehouse_for(s, d)),
+    "overlap_pairs_orders": lambda s, d: series.overlap_pairs_orders(warehouse_for(s, d)),
+    "watermarked_line_load": series.watermarked_line_load,
+    "extract_round_trip": lambda s, d: series.extract_round_trip(warehouse_for(s, d)),
     "row_counts": lambda s, d: r.row_counts(warehouse_for(s, d)),
     "table_profile": lambda s, d: r.table_profile(warehouse_for(s, d), exact=True),
 }

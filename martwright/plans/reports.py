@@ -9,26 +9,10 @@ from martwright.operators.gates import overlapping_versions, quality_gates
 from martwright.operators.scd2 import apply_type1
 from martwright.operators.quality import check_constraints, stand_in_rules, warehouse_rules
 from martwright.plans.warehouse import Warehouse
+from martwright.sources.extracts import MANIFEST
 
-# Source tables in report order (the extract load order).
-SOURCE_ORDER = (
-    "countries",
-    "state_provinces",
-    "cities",
-    "people",
-    "customer_categories",
-    "buying_groups",
-    "colors",
-    "stock_groups",
-    "stock_items",
-    "stock_item_stock_groups",
-    "customers",
-    "orders",
-    "order_backorders",
-    "order_lines",
-    "invoices",
-    "invoice_lines",
-)
+# Source tables in report order: the extract load order.
+SOURCE_ORDER = tuple(spec.table for spec in MANIFEST)
 WAREHOUSE_ORDER = ("dim_date", "dim_customer", "dim_employee", "dim_product", "fact_order", "fact_sale")
 
 
