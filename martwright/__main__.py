@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("pipeline", help="run over the source extracts")
     p.add_argument("--extracts", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--run-id", default=None, help="of a broken run, to go on behind its last proven table")
     t = sub.add_parser("tables", help="run over the parquet driver tables")
     t.add_argument("--sf-dir", required=True)
     t.add_argument("--out", required=True)
@@ -41,7 +42,7 @@ def run(spark, args) -> dict:
     if args.command == "pipeline":
         from martwright.plans.pipeline import run_pipeline
 
-        result = run_pipeline(spark, args.extracts, args.out)
+        result = run_pipeline(spark, args.extracts, args.out, run_id=getattr(args, "run_id", None))
         return {"run_dir": result["run_dir"], "counts": result["counts"]}
     else:
         from martwright.plans.pipeline import question_frames, write_result
@@ -51,9 +52,9 @@ def run(spark, args) -> dict:
         wh = warehouse_for(spark, args.sf_dir)
         out = args.out.rstrip("/")
         for name, df in question_frames(wh).items():
-            write_result(df, f"{out}/results/{name}")
-        write_result(row_counts(wh), f"{out}/results/row_counts")
-        write_result(dq_report(wh), f"{out}/results/quality_gates")
+            write_result(df, f"{out}/results/{name}.csv")
+        write_result(row_counts(wh), f"{out}/results/row_counts.csv")
+        write_result(dq_report(wh), f"{out}/results/quality_gates.csv")
         return {"results": f"{out}/results"}
 
 

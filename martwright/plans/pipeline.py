@@ -5,27 +5,37 @@ facts -> stored warehouse -> question results -> row counts -> quality gates.
 
 Results are written before the gates are enforced (as in the reference), and
 the run log (row counts + gate lines) is written only when every gate passes.
+
+Every stored table is a stage with a proof (``stages.Stages``): a run that broke
+is started again under its ``run_id`` and goes on behind its last proven stage.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import uuid
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.gates import enforce, quality_gates
 from martwright.operators.quality import EXTRACT_RULES, check_constraints
 from martwright.plans import questions as q
 from martwright.plans.reports import row_counts
-from martwright.plans.warehouse import CategoryChange, Warehouse, build_warehouse, store_warehouse
-from martwright.sources.extracts import ingest, point_at, read_run, sources_from_tables, write_run
-from martwright.sources.model import store_sources
+from martwright.plans.stages import Stages
+from martwright.plans.warehouse import CategoryChange, Warehouse, build_warehouse
+from martwright.session import path_state, stash
+from martwright.sources.extracts import MANIFEST, ingest, point_at, sources_from_tables
 
 # The reference's demonstration change (customer 1 becomes
 # category 2 from 2015-01-01).
 REFERENCE_CHANGE = CategoryChange(change_date=dt.date(2015, 1, 1), new_category_id=2, selector="customer_id = 1")
 DEMO_CUSTOMER_ID = 1
+#: A result of so many rows is one file.
+ONE_FILE_ROWS = 100_000
+FACT_ORDER = ("date_key", "customer_key")
 
 
 def question_frames(wh: Warehouse, customer_id: int = DEMO_CUSTOMER_ID) -> dict[str, DataFrame]:
@@ -46,10 +56,28 @@ def question_frames(wh: Warehouse, customer_id: int = DEMO_CUSTOMER_ID) -> dict[
     }
 
 
-def write_result(df: DataFrame, path: str) -> None:
-    """Header + rows as CSV. Ordered results keep their order across part
-    files (range-partitioned sort), so no single-task coalesce is needed."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+def write_result(df: DataFrame, path: str, max_rows: int = ONE_FILE_ROWS) -> None:
+    """Header + rows as CSV, in the result's order: one file at ``path`` for a
+    result of up to ``max_rows`` rows, else a folder of part files in order (a
+    range-partitioned sort, nothing through one task)."""
+    spark = df.sparkSession
+    stored = stash(df.withColumn("_at", F.monotonically_increasing_id()), "result")  # computed once; its order kept
+    ordered = stored.orderBy("_at").select(*df.columns)
+    if stored.count() > max_rows:
+        ordered.write.mode("overwrite").option("header", "true").csv(path)
+        return
+    parts = f"{path}-{uuid.uuid4().hex[:12]}"
+    first = Window.orderBy("_at")  # so few rows are one task's work
+    one = stored.withColumn("_n", F.row_number().over(first)).sortWithinPartitions("_n").select(*df.columns)
+    one.write.option("header", "true").csv(parts)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [f.getPath() for f in fs.listStatus(hadoop.Path(parts)) if f.getPath().getName().startswith("part-")]
+    if len(files) != 1:
+        raise OSError(f"{parts}: {len(files)} files")
+    fs.delete(hadoop.Path(path), True)
+    fs.rename(files[0], hadoop.Path(path))
+    fs.delete(hadoop.Path(parts), True)
 
 
 def warehouse_gates(wh: Warehouse) -> DataFrame:
@@ -74,16 +102,35 @@ def warehouse_gates(wh: Warehouse) -> DataFrame:
     )
 
 
+def _stored_warehouse(wh: Warehouse, stages: Stages) -> Warehouse:
+    """The six tables as stages; facts partitioned by year-month, in date ranges."""
+    month = lambda df: df.withColumn("year_month", (F.col("date_key") / 100).cast("int"))
+    stored = {}
+    for name, df in wh.tables().items():
+        if name.startswith("fact_"):
+            stored[name] = stages.table(name, lambda df=df: month(df), "year_month", FACT_ORDER).select(*df.columns)
+        else:
+            stored[name] = stages.table(name, lambda df=df: df)
+    return replace(wh, **stored)
+
+
 def run_pipeline(
     spark: SparkSession,
     extracts_root: str,
     out_base: str,
     change: CategoryChange = REFERENCE_CHANGE,
+    run_id: str | None = None,
 ) -> dict[str, object]:
+    """One run; with the ``run_id`` of a broken one its proven stages are read,
+    not built again, if the extracts are still the same files."""
     ingested = ingest(spark, extracts_root)
+    files = sorted({spec.file for spec in MANIFEST})
+    state = [(f, path_state(spark, f"{extracts_root.rstrip('/')}/{f}")) for f in files]
+    run_dir = f"{out_base.rstrip('/')}/runs/run-{run_id or uuid.uuid4().hex[:12]}"
+    inputs = hashlib.sha256(repr((state, change)).encode()).hexdigest()
+    stages = Stages(spark, run_dir, inputs)
     # written first, then checked: what is validated is what is published
-    run_dir = write_run(ingested, f"{out_base.rstrip('/')}/runs")
-    tables = read_run(spark, run_dir, ingested)
+    tables = {name: stages.table(name, lambda df=df: df) for name, df in ingested.items()}
     violations = check_constraints(tables, EXTRACT_RULES).where(F.col("violations") > 0)
     broken = violations.collect()  # one row per declared rule at most
     if broken:
@@ -91,12 +138,17 @@ def run_pipeline(
         raise ValueError(f"Source constraints violated, nothing published: {detail}")
     point_at(spark, f"{out_base.rstrip('/')}/oltp", run_dir)
     # the joined lines are stored once: the facts' profile and the facts read them
-    src = store_sources(sources_from_tables(tables), f"{run_dir}/staging", ("order_lines_wide", "invoice_lines_wide"))
-    wh = store_warehouse(build_warehouse(src, change), f"{run_dir}/olap")
+    src = sources_from_tables(tables)
+    src = replace(
+        src,
+        order_lines_wide=stages.table("order_lines_wide", lambda: src.order_lines_wide),
+        invoice_lines_wide=stages.table("invoice_lines_wide", lambda: src.invoice_lines_wide),
+    )
+    wh = _stored_warehouse(build_warehouse(src, change), stages)
 
     results_dir = f"{out_base.rstrip('/')}/results"
     for name, df in question_frames(wh).items():
-        write_result(df, f"{results_dir}/{name}")
+        write_result(df, f"{results_dir}/{name}.csv")
 
     # source and warehouse row counts: one union of one-row counts, one action
     counted = {r["table_name"]: r["row_count"] for r in row_counts(wh).collect()}
@@ -112,4 +164,4 @@ def run_pipeline(
     spark.createDataFrame([(line,) for line in log], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(f"{results_dir}/pipeline_log")
-    return {"run_dir": run_dir, "counts": counts, "gates": gates}
+    return {"run_dir": run_dir, "counts": counts, "gates": gates, "reused": stages.reused}

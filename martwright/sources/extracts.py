@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -203,7 +204,15 @@ def write_run(tables: dict[str, DataFrame], base: str, run_id: str | None = None
 
 
 def read_run(spark: SparkSession, run_dir: str, names) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(_join(run_dir, name)) for name in names}
+    """The tables of a run: where its manifest says, if it has one (a run stored
+    by stages), else in a folder of their names."""
+    out = {}
+    for name in names:
+        entry, place = _join(run_dir, f"_manifest/{name}"), _join(run_dir, name)
+        if path_exists(spark, entry):
+            place = json.loads(spark.read.text(entry).first()[0])["path"]
+        out[name] = spark.read.parquet(place)
+    return out
 
 
 def point_at(spark: SparkSession, base: str, run_dir: str) -> None:

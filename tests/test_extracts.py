@@ -5,6 +5,7 @@ import decimal
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from extract_fixture import FILES, write_fixture
@@ -152,7 +153,7 @@ def test_run_pipeline(spark, tmp_out):
     res = run_pipeline(spark, root, out)
     assert res["counts"]["fact_order"] == 5 and res["counts"]["fact_sale"] == 3
     assert len(res["gates"]) == 11
-    q1 = spark.read.option("header", True).csv(os.path.join(out, "results", "business_q01"))
+    q1 = spark.read.option("header", True).csv(os.path.join(out, "results", "business_q01.csv"))
     assert q1.columns[:2] == ["calendar_year", "month_name"]
     log = [r[0] for r in spark.read.text(os.path.join(out, "results", "pipeline_log")).collect()]
     assert any(line.startswith("PASS:") for line in log)
@@ -177,7 +178,7 @@ def test_command_line_pipeline(spark, tmp_out):
     out = os.path.join(tmp_out, "out")
     res = run(spark, argparse.Namespace(command="pipeline", extracts=root, out=out))
     assert res["counts"]["dim_customer"] == 4
-    q10 = spark.read.option("header", True).csv(os.path.join(out, "results", "business_q10")).collect()
+    q10 = spark.read.option("header", True).csv(os.path.join(out, "results", "business_q10.csv")).collect()
     assert [r["customer_category"] for r in q10] == ["Novelty Shop", "Wholesaler"]
 
 
@@ -199,9 +200,9 @@ def test_command_line_tables(spark, tmp_out):
 
     out = os.path.join(tmp_out, "tables-out")
     res = run(spark, argparse.Namespace(command="tables", sf_dir=SF_SMALL, out=out))
-    gates = spark.read.option("header", True).csv(os.path.join(res["results"], "quality_gates"))
+    gates = spark.read.option("header", True).csv(os.path.join(res["results"], "quality_gates.csv"))
     assert gates.count() == 11
-    q1 = spark.read.option("header", True).csv(os.path.join(res["results"], "business_q01"))
+    q1 = spark.read.option("header", True).csv(os.path.join(res["results"], "business_q01.csv"))
     assert q1.count() > 0
 
 
@@ -227,3 +228,73 @@ def test_empty_fields_and_quoted_line_breaks(spark, tmp_out):
         f.write('PersonID;FullName;IsSalesperson\n1;;1\n2;"two\nlines";0\n3;NULL;NULL\n4;"";1\n')
     got = sorted(tuple(r) for r in typed_table(read_extract(spark, path), spec).collect())
     assert got == [(1, "", True), (2, "two\nlines", False), (3, None, None), (4, "", True)]
+
+
+def test_a_broken_run_goes_on_behind_its_last_proven_stage(spark, tmp_out, monkeypatch):
+    """Killed between stages, and once with a stored file lost: the next run takes
+    over what is proven, builds the rest and ends like an unbroken one."""
+    from martwright.plans import pipeline
+    from martwright.plans.stages import Stages
+
+    root = write_fixture(os.path.join(tmp_out, "in"))
+    whole = run_pipeline(spark, root, os.path.join(tmp_out, "whole"))
+    out = os.path.join(tmp_out, "out")
+    table = Stages.table
+
+    def dies_at(stage):
+        def run(self, name, *args, **kwargs):
+            if name == stage:
+                raise KeyboardInterrupt(stage)
+            return table(self, name, *args, **kwargs)
+
+        return run
+
+    seen = []
+    for stage in ("orders", "invoice_lines_wide", "dim_product", "fact_sale"):
+        monkeypatch.setattr(Stages, "table", dies_at(stage))
+        with pytest.raises(KeyboardInterrupt):
+            run_pipeline(spark, root, out, run_id="a")
+        seen.append(len(os.listdir(os.path.join(out, "runs", "run-a", "_manifest"))))
+    assert seen == sorted(set(seen))
+    monkeypatch.setattr(Stages, "table", table)
+    # a file of a proven stage is lost
+    stored = next(d for d in os.listdir(os.path.join(out, "runs", "run-a")) if d.startswith("order_lines-"))
+    folder = os.path.join(out, "runs", "run-a", stored)
+    part = next(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    os.rename(os.path.join(folder, part), os.path.join(folder, "_lost"))
+    res = run_pipeline(spark, root, out, run_id="a")
+    assert {"countries", "invoices", "dim_customer", "fact_order"} <= set(res["reused"]) and not {"order_lines", "fact_sale"} & set(res["reused"])
+    assert res["counts"] == whole["counts"] and res["gates"] == whole["gates"]
+    read = lambda base, q: open(os.path.join(tmp_out, base, "results", f"{q}.csv")).read()
+    assert all(read("out", f"business_q{k:02d}") == read("whole", f"business_q{k:02d}") for k in range(1, 11))
+    # other inputs: nothing is taken over
+    with open(os.path.join(root, "Sales/Sales.Orders.csv"), "a") as f:
+        f.write("\n")
+    assert pipeline.run_pipeline(spark, root, out, run_id="a")["reused"] == []
+
+
+def test_fingerprints_tell_rows_not_order(spark):
+    from martwright.plans.stages import fingerprint
+
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k", "CAST(NULL AS STRING) AS t")
+    assert fingerprint(df) == fingerprint(df.orderBy(F.rand()).repartition(7))
+    assert fingerprint(df) != fingerprint(df.unionByName(df.limit(1)))
+    assert fingerprint(df) != fingerprint(df.withColumn("k", F.when(F.col("id") == 5, F.lit(9)).otherwise(F.col("k"))))
+    assert fingerprint(df.limit(0))["rows"] == 0
+
+
+def test_results_are_one_ordered_file_or_ordered_parts(spark, tmp_out):
+    from martwright.plans.pipeline import write_result
+
+    df = spark.range(500).selectExpr("id * 7919 % 500 AS n", "'x;,\"' AS t").orderBy(F.desc("n"))
+    want = [str(n) for n in range(499, -1, -1)]
+    for k in range(2):  # again over the first
+        write_result(df, os.path.join(tmp_out, "one.csv"))
+    assert os.path.isfile(os.path.join(tmp_out, "one.csv")) and sorted(os.listdir(tmp_out)) in (["one.csv"], [".one.csv.crc", "one.csv"])
+    lines = open(os.path.join(tmp_out, "one.csv")).read().splitlines()
+    assert lines[0] == "n,t" and [x.split(",")[0] for x in lines[1:]] == want
+    write_result(df, os.path.join(tmp_out, "many.csv"), max_rows=10)
+    assert os.path.isdir(os.path.join(tmp_out, "many.csv"))
+    assert [r["n"] for r in spark.read.option("header", True).csv(os.path.join(tmp_out, "many.csv")).collect()] != []
+    write_result(df.limit(0), os.path.join(tmp_out, "none.csv"))
+    assert open(os.path.join(tmp_out, "none.csv")).read().strip() == "n,t"
