@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martwright.operators.distinct import column_sketches, distinct_values, estimated
 from martwright.operators.gates import overlapping_versions, quality_gates
 from martwright.operators.scd2 import apply_type1
 from martwright.operators.quality import check_constraints, stand_in_rules, warehouse_rules
@@ -147,42 +148,32 @@ def row_counts(wh: Warehouse) -> DataFrame:
 
 
 def profile(df: DataFrame, table_name: str, exact: bool = False, full: bool = False) -> DataFrame:
-    """One pass per table: rows, nulls and distinct values of every column
-    (``full=True`` adds the column type and its min / max as text).
-
-    ``exact=False`` uses HyperLogLog++ (``approx_count_distinct``), which keeps
-    the pass a plain aggregate at any scale; ``exact=True`` counts distinct
-    values exactly (Spark expands the rows once per column)."""
-    aggs = [F.count(F.lit(1)).cast("bigint").alias("_rows")]
-    for i, c in enumerate(df.columns):
-        aggs.append(F.count(F.col(c)).cast("bigint").alias(f"_nn{i}"))
-        distinct = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
-        aggs.append(distinct.cast("bigint").alias(f"_d{i}"))
-        if full:
-            aggs.append(F.min(F.col(c)).cast("string").alias(f"_lo{i}"))
-            aggs.append(F.max(F.col(c)).cast("string").alias(f"_hi{i}"))
-    row = df.agg(*aggs)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    entries = []
-    for i, c in enumerate(df.columns):
-        fields = [
-            F.lit(c).alias("column_name"),
-            (F.col("_rows") - F.col(f"_nn{i}")).alias("nulls"),
-            F.col(f"_d{i}").alias("distinct_values"),
-        ]
-        if full:
-            fields += [
-                F.lit(types[c]).alias("data_type"),
-                F.col(f"_lo{i}").alias("min_value"),
-                F.col(f"_hi{i}").alias("max_value"),
-            ]
-        entries.append(F.struct(*fields))
-    out_cols = ["_e.column_name", "row_count", "_e.nulls", "_e.distinct_values"]
-    if full:
-        out_cols += ["_e.data_type", "_e.min_value", "_e.max_value"]
-    return row.select(F.col("_rows").alias("row_count"), F.explode(F.array(*entries)).alias("_e")).select(
-        F.lit(table_name).alias("table_name"), *out_cols
-    )
+    """Rows, nulls and distinct values of every column (``full=True`` adds the
+    column type and its min / max as text).
+
+    ``exact=False`` takes HyperLogLog sketches in one pass (``distinct.column_sketches``,
+    which merge over parts); ``exact=True`` counts distinct values exactly, column
+    by column, without repeating rows (``distinct.distinct_values``)."""
+    columns = df.columns
+    if exact or full:
+        aggs = [F.count(F.lit(1)).cast("bigint").alias("_rows")]
+        for i, c in enumerate(columns):
+            value = F.col(f"`{c}`")
+            aggs.append(F.count(value).cast("bigint").alias(f"_nn{i}"))
+            if full:
+                aggs += [F.min(value).cast("string").alias(f"_lo{i}"), F.max(value).cast("string").alias(f"_hi{i}")]
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        entries = [F.struct(
+            F.lit(c).alias("column_name"), (F.col("_rows") - F.col(f"_nn{i}")).alias("nulls"),
+            *([F.lit(types[c]).alias("data_type"), F.col(f"_lo{i}").alias("min_value"), F.col(f"_hi{i}").alias("max_value")] if full else []))
+            for i, c in enumerate(columns)]
+        counted = df.agg(*aggs).select(F.col("_rows").alias("row_count"), F.explode(F.array(*entries)).alias("_e")).select("row_count", "_e.*")
+        distinct = distinct_values(df) if exact else estimated(column_sketches(df)).select("column_name", "distinct_values")
+        rows = counted.join(F.broadcast(distinct), "column_name")  # a row per column
+    else:
+        rows = estimated(column_sketches(df))
+    extra = ["data_type", "min_value", "max_value"] if full else []
+    return rows.select(F.lit(table_name).alias("table_name"), "column_name", "row_count", "nulls", "distinct_values", *extra)
 
 
 def table_profile(wh: Warehouse, exact: bool = True, full: bool = False) -> DataFrame:

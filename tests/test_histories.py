@@ -293,3 +293,29 @@ def test_workers_can_import_the_package_from_a_foreign_folder(tmp_out):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_out, env=env, capture_output=True, text=True, timeout=300)
     assert "FOUND ['martwright.functions', 'martwright.functions']" in out.stdout, out.stderr[-2000:]
+
+
+# distinct values
+
+
+def test_distinct_values_without_expand(spark):
+    from martwright.operators.distinct import column_sketches, dense_columns, distinct_values, estimated, merged_sketches
+    from martwright.plans.reports import profile
+
+    df = spark.range(20_000).selectExpr(
+        "id - 10000 AS dense", "id * 1000003 AS sparse", "CAST(id % 900 AS INT) AS few", "concat('t', id % 5000) AS text",
+        "IF(id % 2 = 0, date_add(DATE '2020-01-01', CAST(id % 700 AS INT)), NULL) AS day", "CAST(id % 77 AS DECIMAL(9,2)) AS money",
+        "id % 2 = 0 AS flag", "CAST(NULL AS INT) AS nothing")
+    assert dense_columns(df) == {"dense", "few", "day"}
+    exact = distinct_values(df)
+    assert "Expand" not in exact._jdf.queryExecution().executedPlan().toString()
+    want = {"dense": 20_000, "sparse": 20_000, "few": 900, "text": 5000, "day": 350, "money": 77, "flag": 2, "nothing": 0}
+    assert dict(rows(exact)) == want
+    assert {r["column_name"]: (r["row_count"], r["nulls"], r["distinct_values"]) for r in profile(df, "t", exact=True).collect()} == {
+        c: (20_000, 10_000 if c == "day" else 20_000 if c == "nothing" else 0, n) for c, n in want.items()}
+    assert {r["distinct_values"] for r in profile(df.limit(0), "t", exact=True).collect()} == {0}
+    # sketches of parts merge into those of the whole; three standard errors are 5 %
+    parts = [column_sketches(df.where(f"few % 3 = {k}")) for k in range(3)]
+    merged = {r["column_name"]: r for r in estimated(merged_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]))).collect()}
+    assert all(abs(merged[c]["distinct_values"] - n) <= 0.05 * n for c, n in want.items())
+    assert all(r["row_count"] == 20_000 for r in merged.values()) and merged["day"]["nulls"] == 10_000
