@@ -41,10 +41,9 @@ line AS (
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM doc)
   WHERE regexp_matches(line, '{_WORD}')),
 twice AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM line GROUP BY doc_id),
-host AS (SELECT source, count(DISTINCT text) AS docs FROM doc GROUP BY source),
 frequent AS (
-  SELECT source, norm, first FROM (SELECT source, norm, count(DISTINCT text) AS docs, min(doc_id) AS first FROM line GROUP BY source, norm) f
-  WHERE docs > {quality.LINE_DOCUMENTS} AND docs > {quality.LINE_SHARE} * (SELECT h.docs FROM host h WHERE h.source IS NOT DISTINCT FROM f.source)),
+  SELECT source, norm, first FROM (SELECT source, norm, count(DISTINCT text) AS docs, min(doc_id) AS first FROM line GROUP BY source, norm)
+  WHERE docs > {quality.LINE_DOCUMENTS}),
 removed AS (
   SELECT doc_id, sum(words) AS n FROM line JOIN frequent f ON f.source IS NOT DISTINCT FROM line.source AND f.norm = line.norm AND doc_id <> first GROUP BY doc_id),
 signal AS (

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.text import as_binary, canonical, documents, store, text_slices
+from martwright.llm.text import as_binary, canonical, documents, store, text_slices, tidy
 from martwright.llm.tokens import encoder, tokenizer_json
 
 WINDOW = 4096
@@ -58,7 +58,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int
                 as_binary(ids.astype("<u4"), np.concatenate(([0], np.cumsum(length))))],
                 names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    return canonical(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(cut, _PIECES)
+    return canonical(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(tidy(cut), _PIECES)
 
 
 def combinations(lengths: list[int], window: int, each: int = PAIRS_AND_TRIPLES) -> list[tuple[int, ...]]:

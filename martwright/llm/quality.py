@@ -19,11 +19,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.text import canonical, documents, store, text_slices, with_length, word_hashes, words_of
+from martwright.llm.bloom import split_rows
+from martwright.llm.text import canonical, documents, packed, store, text_slices, tidy, unpacked, word_hashes, words_of
 
-#: A line in more documents of its host than LINE_DOCUMENTS is removed, however large
-#: the host. LINE_SHARE is a second limit of the SQL alone.
-LINE_DOCUMENTS, LINE_SHARE = 20, 0.10
+#: A line in more documents of its host than this is removed, however large the host.
+LINE_DOCUMENTS = 20
 #: A document is depleted when less than this share of its words is left.
 LEFT_SHARE = 0.30
 SYMBOLS = r"[#*$%&|<>]"
@@ -119,7 +119,7 @@ def quality_signals(docs: DataFrame, host: str = "source", line_documents: int =
     """
     base = canonical(docs, F.col(host).cast("string").alias("host")).withColumn("doc_id", F.col("doc_id").cast("long"))
     keyed = base.withColumn("row_key", F.xxhash64("doc_id", "text", "host")).withColumn("content", F.xxhash64("text"))
-    signals = store(keyed.select("doc_id", "row_key", "host", "content", "text").mapInArrow(_scan, _SIGNALS), "signals")
+    signals = store(keyed.select("doc_id", "row_key", "host", "content", "text").mapInArrow(tidy(_scan), _SIGNALS), "signals")
     frequent = _frequent_lines(signals, line_documents).withColumnRenamed("host", "_host").withColumnRenamed("line", "_line")
     removed = (signals.select("row_key", "doc_id", "host", F.explode(F.array_distinct("lines")).alias("line"))
                .join(frequent, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
@@ -140,16 +140,27 @@ def quality_signals(docs: DataFrame, host: str = "source", line_documents: int =
 
 def filter_quality(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
     """The documents that are kept, in the columns of ``docs``, without their
-    frequent lines (``n_chars`` follows the text where there is such a column)."""
-    verdicts = (quality_signals(docs, host, **limits).where("kept").select("row_key", "removed_at").dropDuplicates(["row_key"])
-                .select(F.col("row_key").alias("_row_key"), F.col("removed_at").alias("_removed_at")))
-    text = F.coalesce("text", F.lit(""))
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_removed_at", i)), "\n")
-    keyed = docs.withColumn("text", text).withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "text", F.col(host).cast("string")))
-    kept = keyed.join(verdicts, F.col("_key") == F.col("_row_key")).withColumn(
-        "text", F.when(F.col("_removed_at").isNull(), F.col("text")).otherwise(left)).select(*docs.columns)
-    return with_length(kept)
+    frequent lines (``n_chars`` follows the text where there is such a column).
+
+    Null and empty texts fail and go; repeated rows stay or go together; a null
+    host is a host of its own; an empty table gives an empty result; no name of
+    another column clashes. Only rows that go or lose lines meet their verdict
+    by a join; the others are told by a filter of keys and are not shuffled.
+    """
+    verdicts = quality_signals(docs, host, **limits)
+    changed = store(verdicts.where("NOT kept OR removed_at IS NOT NULL").select(F.col("row_key").alias("key"), "kept", "removed_at")
+                    .dropDuplicates(["key"]), "quality-changed")
+    text = F.coalesce("_row.text", F.lit(""))
+    keyed = packed(docs).withColumn("_id", F.xxhash64(F.col("_row.doc_id").cast("long"), text, F.col(f"_row.`{host}`").cast("string")))
+    same, others = split_rows(keyed, "_id", changed.select("key"))
+    judged = others.join(changed, F.col("_id") == F.col("key"), "left").where(F.coalesce("kept", F.lit(True)))
+    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("removed_at", i)), "\n")
+    out = judged.select("_row", F.when(F.col("removed_at").isNull(), text).otherwise(left).alias("_text"))
+    if same is not None:
+        out = out.unionByName(same.select("_row", text.alias("_text")))
+    return unpacked(out, F.col("_text"))
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
-    return quality_signals(documents(spark, sf_dir)).drop("row_key", "removed_at")
+    signals = quality_signals(documents(spark, sf_dir)).drop("row_key", "removed_at")
+    return signals.select(*[c for c in signals.columns if c != "n_removed_words"], "n_removed_words")

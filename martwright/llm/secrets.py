@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.text import canonical, documents, store, text_slices, with_length
+from martwright.llm.bloom import split_rows
+from martwright.llm.text import canonical, documents, packed, store, text_slices, tidy, unpacked
 
 #: Fixed kinds and patterns, in the order in which spans of one start are listed.
 KINDS = ["assign", "access", "hex", "owned"]
@@ -106,7 +107,7 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: tuple[str,
     repo = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repository])
     base = (canonical(docs, repo.alias("repository"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"))
             .withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("row_key", F.xxhash64("doc_id", "text")))
-    scanned = store(base.select("doc_id", "row_key", "repository", "owner", "text").mapInArrow(_scan, _SCAN), "secrets")
+    scanned = store(base.select("doc_id", "row_key", "repository", "owner", "text").mapInArrow(tidy(_scan), _SCAN), "secrets")
     found = scanned.where(F.size("found") > 0).select("row_key", "repository", "owner", F.explode("found").alias("f"))
     # distinct holders first: a value copied into every row of an owner counts once
     holders = found.select(F.col("f.value").alias("value"), "repository", "owner").distinct()
@@ -125,22 +126,31 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: tuple[str,
 
 
 def mask_secrets(docs: DataFrame, **limits) -> DataFrame:
-    """All documents, in their own columns, every span replaced by ``<secret>``."""
-    hits = (scan_secrets(docs, **limits).where(F.size("hidden") > 0).dropDuplicates(["row_key"])
-            .select(F.col("row_key").alias("_row_key"), F.col("hidden").alias("_hidden")))
+    """All documents, in their own columns, every span replaced by ``<secret>``.
+
+    Null texts stay null; repeated rows are masked alike; an empty table gives an
+    empty result; no name of another column clashes. Rows without a span are
+    told by a filter of keys and are not shuffled.
+    """
+    hits = store(scan_secrets(docs, **limits).where(F.size("hidden") > 0).dropDuplicates(["row_key"])
+                 .select(F.col("row_key").alias("key"), "hidden"), "hidden")
     # spans by start: what lies between the last end and this start is kept; overlaps are one mask
+    text = F.col("_row.text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     masked = F.aggregate(
-        "_hidden", start,
+        "hidden", start,
         lambda a, s: F.struct(
             F.concat(a["out"], F.when(s["start"] >= a["at"], F.concat(
-                F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit("<secret>"))).otherwise(F.lit(""))).alias("out"),
+                F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("<secret>"))).otherwise(F.lit(""))).alias("out"),
             F.greatest(a["at"], s["stop"]).alias("at")),
-        lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.char_length("text"))))
-    keyed = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    joined = keyed.join(hits, F.col("_key") == F.col("_row_key"), "left").withColumn(
-        "text", F.when(F.col("_hidden").isNull(), F.col("text")).otherwise(masked))
-    return with_length(joined.select(*docs.columns))
+        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
+    keyed = packed(docs).withColumn("_id", F.xxhash64(F.col("_row.doc_id").cast("long"), F.coalesce(text, F.lit(""))))
+    same, others = split_rows(keyed, "_id", hits.select("key"))
+    out = others.join(hits, F.col("_id") == F.col("key"), "left").select(
+        "_row", F.when(F.col("hidden").isNull(), text).otherwise(masked).alias("_text"))
+    if same is not None:
+        out = out.unionByName(same.select("_row", text.alias("_text")))
+    return unpacked(out, F.col("_text"))
 
 
 def op6_secret_scans(spark, sf_dir: str) -> DataFrame:

@@ -7,12 +7,14 @@ A *word* is a maximal run of characters other than space and TAB..CR
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.session import scratch_path, ship_package
@@ -36,6 +38,17 @@ def canonical(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *extra)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The input's rows as one struct ``_row``: whatever its columns are called,
+    none can clash with those made beside it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def unpacked(rows: DataFrame, text: Column) -> DataFrame:
+    """The rows of ``packed`` with another text, in the input's columns."""
+    return with_length(rows.select(F.col("_row").withField("text", text).alias("_row")).select("_row.*"))
+
+
 def store(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back: the cut of the
     lineage survives lost executors."""
@@ -63,6 +76,28 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iter
                 yield batch.slice(a, b - a)
 
 
+def _give_back():
+    """Unused memory of this worker to the system: a worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task for ``mapInArrow`` that leaves no memory with its worker when it ends."""
+
+    @functools.wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(index of each word in the distinct words, the distinct words, word
     bounds of each text). Null texts have no words."""

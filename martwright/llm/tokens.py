@@ -22,6 +22,8 @@ _PLAIN = r"^[a-zß-öø-ÿ]+$"
 _TAILED = r"^(?P<core>[a-zß-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]+)$"
 #: Words in one library call; each ends with an id that marks a word's end.
 _JOIN = 50
+#: What a cached word takes besides its letters and ids: its string, dictionary entry, number and bound.
+_ENTRY_BYTES = 240
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -35,15 +37,15 @@ def tokenizer_json(path: str | None = None) -> str:
 
 
 class WordEncoder:
-    """Encodes Arrow string arrays; keeps the ids of up to ``cache_words``
-    distinct words (a memory bound: beyond it the cache starts anew)."""
+    """Encodes Arrow string arrays; keeps the ids of distinct words up to about
+    ``cache_bytes`` (a memory bound: beyond it the cache starts anew)."""
 
-    def __init__(self, json_text: str, cache_words: int = 1_000_000):
+    def __init__(self, json_text: str, cache_bytes: int = 32 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json_text)
-        self.cache_words = cache_words
+        self.cache_bytes = cache_bytes
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for piece, i in vocabulary.items():
@@ -52,6 +54,7 @@ class WordEncoder:
 
     def _reset(self):
         self.index: dict[str, int] = {}
+        self.held = 0
         self.flat = np.zeros(0, dtype=np.uint32)
         self.bounds = np.zeros(1, dtype=np.int64)
 
@@ -60,6 +63,7 @@ class WordEncoder:
 
     def _append(self, words: list[str], flat: np.ndarray, lengths: np.ndarray):
         first = len(self.index)
+        self.held += sum(map(len, words)) + _ENTRY_BYTES * len(words) + 4 * len(flat)
         self.index.update(zip(words, range(first, first + len(words))))
         self.flat = np.concatenate((self.flat, flat.astype(np.uint32)))
         self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(lengths)))
@@ -90,7 +94,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, bounds of each text); null is
         empty; ``end_id`` closes every text."""
-        if len(self.index) > self.cache_words:
+        if self.held > self.cache_bytes:
             self._reset()
         texts = pc.fill_null(texts, "")
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)

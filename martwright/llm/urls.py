@@ -19,11 +19,11 @@ by piece, with salted rows, so that a url of any frequency is spread.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martwright.llm.bloom import PIECE_BITS, SENT_BITS, Level, sent_words
 from martwright.llm.text import store
 
 #: Fixed values: (action, rule). A rule is a host and the start of a path.
@@ -37,10 +37,6 @@ RULES = [
 #: Labels of hosts whose pages make the query's list of keys.
 LISTED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
-#: Bits of one piece of a level, about; it bounds the row that holds a piece.
-PIECE_BITS = 1 << 20
-#: So many bits of a whole cascade (32 MB) are read as scalar subqueries; beyond it pieces are joined.
-SENT_BITS = 1 << 28
 #: Rows of one piece are dealt over so many tasks when pieces are joined.
 SALTS = 32
 #: False-positive rate of the levels after the first.
@@ -70,52 +66,6 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, action
 
 
-@dataclass
-class Level:
-    number: int
-    bits: int
-    hashes: int
-    pieces: int
-
-    @staticmethod
-    def sized(number: int, keys: int, rate: float, pieces: int) -> "Level":
-        each = max(1, -(-keys // pieces))
-        bits = max(64, math.ceil(each * math.log2(1 / rate) / math.log(2) * 1.05))
-        return Level(number, -(-bits // 64) * 64, max(1, round(math.log2(1 / rate))), pieces)
-
-    def piece(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(self.pieces)).cast("int")
-
-    def positions(self, key: Column) -> list[Column]:
-        """Bits of a key: two 31-bit hashes of (key, level), combined."""
-        low = F.lit((1 << 31) - 1).cast("long")
-        a = F.xxhash64(key, F.lit(2 * self.number)).bitwiseAND(low)
-        b = F.xxhash64(key, F.lit(2 * self.number + 1)).bitwiseAND(low)
-        return [F.pmod(a + b * F.lit(i), F.lit(self.bits)) for i in range(self.hashes)]
-
-    def words(self, keys: DataFrame) -> DataFrame:
-        """(piece, level, words) of the filter that holds ``keys`` (column key)."""
-        spark = keys.sparkSession
-        per_piece = self.bits // 64
-        at = keys.select(self.piece(F.col("key")).alias("piece"), F.explode(F.array(*self.positions(F.col("key")))).alias("at"))
-        marks = at.select("piece", F.shiftright("at", 6).cast("int").alias("word"),
-                          F.expr("shiftleft(1L, cast(at % 64 as int))").alias("mark"))
-        blank = spark.range(self.pieces * per_piece).select(
-            F.floor(F.col("id") / per_piece).cast("int").alias("piece"), F.pmod("id", F.lit(per_piece)).cast("int").alias("word"),
-            F.lit(0).cast("long").alias("mark"))
-        held = marks.unionByName(blank).groupBy("piece", "word").agg(F.bit_or("mark").alias("mark"))
-        # a piece's words: PIECE_BITS / 64 rows, about
-        return held.groupBy("piece").agg(F.sort_array(F.collect_list(F.struct("word", "mark"))).alias("held")).select(
-            "piece", F.lit(self.number).alias("level"), F.transform("held", lambda w: w["mark"]).alias("words"))
-
-    def holds(self, key: Column, words: Column) -> Column:
-        """Whether a filter of these words (of the key's piece) has all bits of the key."""
-        test = F.lit(True)
-        for at in reversed(self.positions(key)):
-            test = (F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), F.pmod(at, F.lit(64)).cast("int")) == 1) & test
-        return test
-
-
 class Cascade:
     """Levels and their stored words: (piece, level, words), one row per piece and level."""
 
@@ -126,11 +76,6 @@ class Cascade:
     def bits(self) -> int:
         return sum(level.bits * level.pieces for level in self.levels)
 
-    def _sent(self, i: int) -> Column:
-        """All pieces of a level as one value: bounded by ``sent_bits``."""
-        rows = self.words[i].agg(F.sort_array(F.collect_list(F.struct("piece", "words"))).alias("all"))
-        return rows.select(F.transform("all", lambda p: p["words"])).scalar()
-
     def _verdict(self, key: Column, words: list[Column]) -> Column:
         """Listed or not, by the first level that the key misses."""
         listed = F.lit(len(self.levels) % 2 == 1)
@@ -146,7 +91,8 @@ class Cascade:
         verdict = self._verdict(F.col("_key"), [F.col(f"_words_{level.number}") for level in self.levels])
         if self.bits <= self.sent_bits:
             # columns of their own, so that each subquery stands in the plan once
-            held = packed.select("*", *[F.get(self._sent(i), F.col("_piece")).alias(f"_words_{level.number}") for i, level in enumerate(self.levels)])
+            held = packed.select("*", *[F.get(sent_words(words), F.col("_piece")).alias(f"_words_{level.number}")
+                                            for level, words in zip(self.levels, self.words)])
             return held.select("_row.*", verdict.alias(name))
         spread = None
         for level, words in zip(self.levels, self.words):

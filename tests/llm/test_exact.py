@@ -41,7 +41,7 @@ ODD = ["", "a.b,c!? it's 'tis U.S.A. x86 3.14", "MORON!!! <|endoftext|> <|STARTO
 
 def test_encoder_equals_the_library(library, table):
     texts = ODD + table.text.tolist()
-    flat, bounds = tokens.WordEncoder(tokens.tokenizer_json(), cache_words=500).encode(pa.array(texts))
+    flat, bounds = tokens.WordEncoder(tokens.tokenizer_json(), cache_bytes=150_000).encode(pa.array(texts))
     for i, text in enumerate(texts):
         assert flat[bounds[i]:bounds[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
