@@ -1,8 +1,9 @@
 """Balanced label propagation: shards of equal row counts with few cut groups.
 
-Documents of equal text are linked. A group larger than a quarter of a shard is
-first split by a hash into parts that fit. Every part has a star of edges, kept
-as rows (document, part): no pair of documents is ever listed. In each round
+Documents of equal text are linked. A group larger than a quarter of a shard, or
+than ``PART_ROWS`` rows, is first split by a hash into parts that fit. Every part
+has a star of edges, kept as rows (document, part): no pair of documents is ever
+listed. In each round
 
 1. every part counts its members' shards (aggregated first, then ranked);
 2. members want their part's commonest shard;
@@ -23,8 +24,11 @@ from martwright.llm.text import documents, store
 
 SHARDS = 16
 ROUNDS = 4
-#: Rows of one bucket of the final order, ranked by one task; rows of a group's part at most.
-BUCKET_ROWS, PART_ROWS = 100_000, 1_000_000
+#: Rows of one bucket of the final order, ranked by one task, about.
+BUCKET_ROWS = 100_000
+#: A part of a group lies in one bucket, so it has this many rows at most: a larger
+#: group is cut into parts, which may go to different shards.
+PART_ROWS = 1_000_000
 LAW = "rows"
 
 
