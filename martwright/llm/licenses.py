@@ -196,11 +196,13 @@ def scan_licences(files: DataFrame, templates: dict[str, list[str]] | None = Non
 
 
 def document_files(docs: DataFrame) -> DataFrame:
-    """Documents as files: each source is a tree of languages and, in them,
-    folders of a thousand ids."""
-    directory = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
-                            F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("unknown")))
-    return docs.select("doc_id", "text", directory.alias("directory"))
+    """Documents as files of a tree: source, language, thousand and fifty of the
+    id. The id's remainder by seven tells the depth: some files lie in a source's
+    root, some in its languages' folders, most in the lowest ones."""
+    low = lambda n: F.coalesce(F.floor(F.col("doc_id") / n).cast("string"), F.lit("unknown"))
+    levels = F.array(F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), low(1000), low(50))
+    depth = F.least(F.coalesce(F.pmod("doc_id", F.lit(7)), F.lit(3)) + 1, F.lit(4)).cast("int")
+    return docs.select("doc_id", "text", F.array_join(F.slice(levels, F.lit(1), depth), "/").alias("directory"))
 
 
 def op4_license_scans(spark, sf_dir: str) -> DataFrame:
@@ -210,12 +212,13 @@ def op4_license_scans(spark, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     rows = ", ".join(f"('{licence}#{k}', '{licence}', '{w}', {c})" for licence, texts in TEMPLATES.items()
                      for k, t in enumerate(texts) for w, c in sorted(Counter(_words(t)).items()))
+    lengths = ", ".join(f"({n})" for n in sorted({len(_words(t)) for texts in TEMPLATES.values() for t in texts}))
     return f"""
 WITH template(template, name, word, tf) AS (VALUES {rows}),
 vocabulary AS (SELECT DISTINCT word FROM template),
 files AS (
-  SELECT doc_id, coalesce(text, '') AS text,
-    coalesce(source, 'unknown') || '/' || coalesce(lang, 'unknown') || '/' || coalesce((doc_id // 1000)::VARCHAR, 'unknown') AS directory
+  SELECT doc_id, coalesce(text, '') AS text, array_to_string([coalesce(source, 'unknown'), coalesce(lang, 'unknown'),
+    coalesce((doc_id // 1000)::VARCHAR, 'unknown'), coalesce((doc_id // 50)::VARCHAR, 'unknown')][1:least(coalesce(doc_id % 7, 3) + 1, 4)], '/') AS directory
   FROM documents),
 frequency AS (
   SELECT word, count(*) AS df FROM (
@@ -227,17 +230,36 @@ weight AS (
   SELECT template, name, t.word, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM template t JOIN idf USING (word)),
 line AS (
   SELECT doc_id, generate_subscripts(s, 1) - 1 AS line, unnest(s) AS content FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM files WHERE text <> '')),
-words AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(content), '{_BETWEEN}'), lambda w: w <> '') AS words FROM line),
+line_words AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(content), '{_BETWEEN}'), lambda w: w <> '') AS words FROM line),
+-- the words shared with a template bound the cosine by the root of their squared weights
+words AS (
+  SELECT * FROM line_words WHERE doc_id IN (
+    SELECT doc_id FROM (SELECT DISTINCT doc_id, unnest(words) AS word FROM line_words) JOIN weight USING (word)
+    GROUP BY doc_id, template HAVING sum(weight * weight) >= {0.999 * THRESHOLD ** 2})),
+whole AS (
+  SELECT doc_id, flatten(list(words ORDER BY line)) AS words, flatten(list(list_transform(words, lambda w: line) ORDER BY line)) AS line_of
+  FROM words GROUP BY doc_id),
+passage AS (
+  SELECT doc_id, 0 AS kind, line, start, words[start + 1:start + {PASSAGE}] AS held
+  FROM (SELECT doc_id, line, words, unnest(range(0, greatest(1, len(words) - {PASSAGE - STEP}), {STEP})) AS start FROM words)
+  UNION ALL
+  SELECT doc_id, 1, line_of[start + 1], start, words[start + 1:start + {PASSAGE}]
+  FROM (SELECT *, unnest(range(0, greatest(1, len(words) - {PASSAGE - STEP}), {STEP})) AS start FROM whole)
+  WHERE line_of[start + 1] < line_of[least(start + {PASSAGE}, len(words))]
+  UNION ALL
+  SELECT doc_id, 1 + length, line_of[start + 1], start, words[start + 1:start + length]
+  FROM (SELECT *, unnest(range(0, len(words), step)) AS start
+        FROM whole, (SELECT length, greatest(1, length // {FITTED_STEPS}) AS step FROM (VALUES {lengths}) AS l(length)))),
+-- a passage without any word of a template scores nothing
 term AS (
-  SELECT doc_id, line, start, word, count(*) AS tf FROM (
-    SELECT doc_id, line, start, unnest(words[start + 1:start + {PASSAGE}]) AS word
-    FROM (SELECT doc_id, line, words, unnest(range(0, greatest(1, len(words) - {PASSAGE - STEP}), {STEP})) AS start FROM words))
+  SELECT doc_id, kind, line, start, word, count(*) AS tf FROM (
+    SELECT doc_id, kind, line, start, unnest(held) AS word FROM passage WHERE list_has_any(held, (SELECT list(word) FROM vocabulary)))
   GROUP BY ALL),
 weighed AS (SELECT t.*, tf * coalesce(idf, {OTHER}) AS w FROM term t LEFT JOIN idf USING (word)),
 scored AS (
   SELECT doc_id, line, start, name, round(dot / norm, 6) AS cosine FROM
-    (SELECT doc_id, line, start, template, name, sum(w * weight) AS dot FROM weighed JOIN weight USING (word) GROUP BY ALL)
-    JOIN (SELECT doc_id, line, start, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL) USING (doc_id, line, start)
+    (SELECT doc_id, kind, line, start, template, name, sum(w * weight) AS dot FROM weighed JOIN weight USING (word) GROUP BY ALL)
+    JOIN (SELECT doc_id, kind, line, start, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL) USING (doc_id, kind, line, start)
   WHERE round(dot / norm, 6) >= {THRESHOLD}),
 best AS (SELECT doc_id, line, name AS licence, cosine FROM scored
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line, name) = 1),
