@@ -6,8 +6,8 @@ partition. ``dense_key`` gives the same numbers (1..n in key order, or
 
 1. range-partition by the order columns and sort inside each partition
    (the sampled range bounds split any hot key value range over partitions);
-2. checkpoint that result to the shared checkpoint folder, so partition
-   contents and order are fixed even if executors are lost and tasks rerun;
+2. store that result below the shared checkpoint folder, each row with its
+   partition and place, so both are fixed even if executors are lost;
 3. count rows per partition (a table with one row per partition), turn the
    counts into prefix offsets;
 4. key = start + offset(partition) + position inside the partition.
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.session import ensure_checkpoint_dir, stash
+from martwright.session import stash
 
 
 def range_sorted(df: DataFrame, cols, num_partitions: int | None) -> DataFrame:
@@ -43,16 +43,13 @@ def dense_key(
 
     The order columns must identify a row (a natural key); then the numbers
     do not depend on how rows are partitioned."""
-    ensure_checkpoint_dir(df.sparkSession)
-    # The input (typically a join of source tables) is computed once and
-    # kept as parquet in the shared checkpoint folder: the size check, the
-    # numbering and every later reader of the dimension start from these
-    # files, and the planner knows their size. (The range-partitioned copy
-    # below is an RDD checkpoint instead: its partition layout must survive.)
+    # The input (typically a join of source tables) is computed once and kept as
+    # parquet in the shared checkpoint folder: finding the ranges reads it twice.
     base = stash(df, "dense-key-input")
-    ranged = range_sorted(base, order_cols, num_partitions).checkpoint(eager=True)
-    tagged = ranged.withColumn("_dk_pid", F.spark_partition_id()).withColumn(
-        "_dk_mid", F.monotonically_increasing_id()
+    ranged = range_sorted(base, order_cols, num_partitions)
+    tagged = stash(
+        ranged.withColumn("_dk_pid", F.spark_partition_id()).withColumn("_dk_mid", F.monotonically_increasing_id()),
+        "dense-key-ranges",
     )
     stats = tagged.groupBy("_dk_pid").agg(
         F.count(F.lit(1)).alias("_dk_n"), F.min("_dk_mid").alias("_dk_first")

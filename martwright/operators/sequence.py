@@ -4,8 +4,8 @@
 holding a third of the table becomes a third of the job in one task. These
 operators split each key over the range partitions instead:
 
-1. range-partition by (key, order columns), sort inside partitions and
-   checkpoint (partition contents become fixed, safe against task reruns);
+1. range-partition by (key, order columns), sort inside partitions and store
+   each row with its partition and place (fixed, safe against task reruns);
 2. do the ordered work inside each (partition, key) piece with a window
    partitioned by (partition id, key) -- a hot key is spread over many pieces;
 3. fix the piece boundaries with a small table holding one row per
@@ -19,18 +19,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.keys import range_sorted
-from martwright.session import ensure_checkpoint_dir
+from martwright.session import stash
 
 _PID = "_sq_pid"
 _POS = "_sq_pos"
 
 
 def _pieces(df: DataFrame, key_col: str, order_cols: list[str | Column], num_partitions: int | None) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = range_sorted(df, [key_col, *order_cols], num_partitions).checkpoint(eager=True)
-    return ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
-        _POS, F.monotonically_increasing_id()
-    )
+    ranged = range_sorted(df, [key_col, *order_cols], num_partitions)
+    placed = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_POS, F.monotonically_increasing_id())
+    # place and order are stored with the rows: no rerun of a task can change them
+    return stash(placed, "pieces")
 
 
 def _attach(inner: DataFrame, carry: DataFrame, key_col: str) -> DataFrame:

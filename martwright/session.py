@@ -1,8 +1,7 @@
 """Spark session construction and the shared checkpoint folder.
 
-The library never invents a storage location on a cluster: lineage is cut
-with reliable ``checkpoint()`` into the folder named by ``spark.checkpoint.dir``.
-Only a local-mode session without that setting (tests, laptop runs) gets a
+The library never invents a storage location on a cluster: lineage is cut by
+tables written below the folder named by ``spark.checkpoint.dir``. Only a local-mode session without that setting (tests, laptop runs) gets a
 fresh scratch folder of its own.
 """
 
@@ -146,3 +145,41 @@ def path_state(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ..
     place = jvm.org.apache.hadoop.fs.Path(path)
     fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(place))
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make ``text`` the content of a small file, by one rename: a reader finds
+    the old content or the new."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    place = hadoop.Path(path)
+    fs = place.getFileSystem(conf)
+    fs.mkdirs(place.getParent())
+    new = hadoop.Path(place.getParent(), f".{place.getName()}-{uuid.uuid4().hex[:12]}")
+    stream = fs.create(new)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(new), fs.makeQualified(place), how)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None where there is none."""
+    if not path_exists(spark, path):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path).collect())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return [f.getPath().toString() for f in found or []]
