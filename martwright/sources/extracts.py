@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.session import path_exists
+from martwright.session import path_exists, replace_text
 from martwright.sources.records import read_records
 from martwright.sources.model import Sources, widen_invoice_lines, widen_order_lines
 
@@ -218,21 +218,7 @@ def read_run(spark: SparkSession, run_dir: str, names) -> dict[str, DataFrame]:
 def point_at(spark: SparkSession, base: str, run_dir: str) -> None:
     """Make a run the current one: the pointer is a file, replaced by one
     rename, so a reader always finds the old run or the new."""
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    new = _join(base, f"_next-{uuid.uuid4().hex[:12]}")
-    spark.createDataFrame([(run_dir,)], "path string").coalesce(1).write.text(new)
-    place = hadoop.Path(new)
-    fs = place.getFileSystem(conf)
-    part = next(f.getPath() for f in fs.listStatus(place) if f.getPath().getName().startswith("part-"))
-    fs.mkdirs(hadoop.Path(_join(base, "_current")))
-    pointer = fs.makeQualified(hadoop.Path(_join(base, "_current/run.txt")))
-    rename = getattr(hadoop, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    hadoop.FileContext.getFileContext(place.toUri(), conf).rename(part, pointer, how)
-    fs.delete(place, True)
+    replace_text(spark, _join(base, "_current/run.txt"), run_dir)
 
 
 def publish_snapshot(tables: dict[str, DataFrame], base: str, run_id: str | None = None) -> str:

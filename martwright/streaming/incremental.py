@@ -23,6 +23,8 @@ reusing the stored batches' places.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from martwright.session import path_exists, stash
+from martwright.session import delete_path, matching_paths, path_exists, read_text, replace_text, stash
 
 _RUN, _BATCH = "_run", "_batch"
 
@@ -68,8 +70,9 @@ def _run_number(spark: SparkSession, checkpoint: str, known: list[str]) -> int:
     if path_exists(spark, place):
         return int(spark.read.text(place).first()[0])
     highest = -1
+    marks = StructType([StructField(_RUN, IntegerType()), StructField(_BATCH, LongType())])
     for path in known:
-        table = _existing(spark, path)
+        table = _existing(spark, path, marks)  # a compacted folder may have no file left
         if table is not None:
             found = table.agg(F.max(_RUN)).first()[0]
             highest = max(highest, -1 if found is None else int(found))
@@ -191,7 +194,11 @@ class FactIncrement:
       by anyone and does not count as held.
 
     The fact table is the latest version of each line (``line_key``), so a
-    corrected line replaces the old one instead of doubling it."""
+    corrected line replaces the old one instead of doubling it.
+
+    ``compact`` merges committed batches into one base table each for deltas and
+    facts (of a line only its latest version), so that a read opens the base and
+    the few batches after it, however many there were."""
 
     source_glob: str
     source_base: str
@@ -214,6 +221,8 @@ class FactIncrement:
     monitor: str | None = None  # late-row monitor table (needs event_col)
     event_col: str | None = None
     allowed_delay: dt.timedelta = dt.timedelta(days=1)
+    # committed batches beyond the last compaction that a run leaves; None: never compact
+    compact_after: int | None = 32
 
     @property
     def pending(self) -> str:
@@ -227,16 +236,41 @@ class FactIncrement:
     def commits(self) -> str:
         return f"{self.deltas.rstrip('/')}-commits"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.deltas.rstrip('/')}-compacted/current.json"
+
+
+def _base(spark: SparkSession, cfg: FactIncrement) -> dict | None:
+    """What the last compaction covers: its tables, and its last run and batch."""
+    text = read_text(spark, cfg.manifest)
+    return json.loads(text) if text else None
+
+
+def _after(covered: dict | None) -> F.Column:
+    """Batches behind the covered ones; a filter on folders, so that others are not opened."""
+    if covered is None:
+        return F.lit(True)
+    return (F.col(_RUN) > covered["run"]) | ((F.col(_RUN) == covered["run"]) & (F.col(_BATCH) > covered["batch"]))
+
 
 def _committed(spark: SparkSession, cfg: FactIncrement, path: str, run: int | None = None, batch_id: int | None = None) -> DataFrame | None:
-    """Rows of committed batches (other than the given one)."""
-    table = _existing(spark, path, cfg.pending_schema if path == cfg.pending else None)
+    """Rows of committed batches (other than the given one): the compacted ones
+    from the base, the others from their folders."""
+    covered = _base(spark, cfg)
+    base = None
+    if covered and path in (cfg.deltas, cfg.facts):
+        base = spark.read.parquet(covered["deltas" if path == cfg.deltas else "facts"])
+    table = _existing(spark, path, cfg.pending_schema if path == cfg.pending else None if base is None else base.schema)
     commits = _existing(spark, cfg.commits)
     if table is None or commits is None:
-        return None
+        return base
     if run is not None:
         commits = commits.where((F.col(_RUN) != run) | (F.col(_BATCH) != batch_id))
-    return table.join(commits.select(_RUN, _BATCH), [_RUN, _BATCH], "left_semi")  # one row per batch
+    if base is not None:
+        table, commits = table.where(_after(covered)), commits.where(_after(covered))
+    rows = table.join(commits.select(_RUN, _BATCH), [_RUN, _BATCH], "left_semi")  # one row per batch
+    return rows if base is None else base.unionByName(rows)
 
 
 def _latest(rows: DataFrame, key: list[str], tie: list[str]) -> DataFrame:
@@ -296,6 +330,43 @@ def pending_lines(spark: SparkSession, cfg: FactIncrement) -> DataFrame | None:
     return table.where((F.col(_RUN) == last[_RUN]) & (F.col(_BATCH) == last[_BATCH])).select(*cfg.schema.names)
 
 
+def compact(spark: SparkSession, cfg: FactIncrement) -> None:
+    """Merge all committed batches into a new base and drop what it replaces.
+
+    The base is written beside the old one; one rename of the manifest makes it
+    the current one together with the number of its last batch; then the old base
+    and the covered batches' folders are deleted. Whatever step a crash leaves
+    undone, readers find each row once: by the manifest, which covers a batch
+    whole or not at all. A later call finishes the deletions."""
+    commits = _existing(spark, cfg.commits)
+    covered = _base(spark, cfg)
+    if commits is not None:
+        last = commits.where(_after(covered)).orderBy(F.desc(_RUN), F.desc(_BATCH)).first()
+        if last is not None:
+            new = {"run": int(last[_RUN]), "batch": int(last[_BATCH])}
+            for name, path, part in (("deltas", cfg.deltas, cfg.partition_col), ("facts", cfg.facts, cfg.fact_partition_col)):
+                rows = _committed(spark, cfg, path)
+                if name == "facts":
+                    own = [c for c in rows.columns if c not in {_RUN, _BATCH, *cfg.fact_line_key}]
+                    rows = _latest(rows, list(cfg.fact_line_key), own)
+                new[name] = f"{path.rstrip('/')}-base/{uuid.uuid4().hex[:12]}"
+                first = next(c for c in rows.columns if c not in (part, _RUN, _BATCH))
+                rows.withColumn(_RUN, F.col(_RUN).cast("int")).withColumn(_BATCH, F.col(_BATCH).cast("long")).repartitionByRange(
+                    part, first).write.partitionBy(part).parquet(new[name])
+            replace_text(spark, cfg.manifest, json.dumps(new))
+            covered = new
+    if covered is None:
+        return
+    for name, path in (("deltas", cfg.deltas), ("facts", cfg.facts)):
+        for old in matching_paths(spark, f"{path.rstrip('/')}-base/*"):
+            if old.rstrip("/").rsplit("/", 1)[1] != covered[name].rsplit("/", 1)[1]:
+                delete_path(spark, old)
+        for folder in matching_paths(spark, f"{path.rstrip('/')}/*/{_RUN}=*/{_BATCH}=*"):
+            run, batch = (int(x.split("=")[1]) for x in folder.rstrip("/").rsplit("/", 2)[1:])
+            if (run, batch) <= (covered["run"], covered["batch"]):
+                delete_path(spark, folder)
+
+
 def run_fact_increment(spark: SparkSession, cfg: FactIncrement) -> DataFrame:
     """Run all available input through the load; return the fact table."""
     run = _run_number(spark, cfg.checkpoint, [cfg.deltas, cfg.commits])
@@ -307,4 +378,8 @@ def run_fact_increment(spark: SparkSession, cfg: FactIncrement) -> DataFrame:
         .start()
     )
     query.awaitTermination()
+    if cfg.compact_after is not None:
+        commits = _existing(spark, cfg.commits)
+        if commits is not None and commits.where(_after(_base(spark, cfg))).count() > cfg.compact_after:
+            compact(spark, cfg)
     return read_facts(spark, cfg)

@@ -166,3 +166,58 @@ def test_monitor_is_the_same_after_a_replay(spark, tmp_out):
     assert want == [(0, 2, 0), (1, 2, 1), (2, 2, 1)]
     run_incremental(spark, replace(cfg, checkpoint=os.path.join(tmp_out, "c2")))
     assert sorted((r["batch_id"], r["rows_in_batch"], r["late_rows"]) for r in spark.read.parquet(cfg.monitor).collect()) == want
+
+
+def test_compaction_bounds_the_files_and_survives_any_crash(spark, tmp_out, monkeypatch):
+    """Many batches with corrected and repeated lines, compacted now and then and
+    killed between each two steps: always the facts of an uncompacted load."""
+    from martwright.streaming import incremental as inc
+
+    schema = "id long, v int, day int"
+    batches = [[(i, 0, 20200100 + i % 3) for i in range(30)]]
+    for b in range(1, 9):
+        batches.append([(i, b, 20200100 + i % 3) for i in range(b, 30, 7)] + [(100 + b, b, 20200101)] + batches[-1][:2])
+
+    def config(name, compact_after=None):
+        base = os.path.join(tmp_out, name)
+        return inc.FactIncrement(
+            source_glob=f"{base}/landing/b-*/*.parquet", source_base=f"{base}/landing", schema=spark.createDataFrame([], schema).schema,
+            deltas=f"{base}/deltas", facts=f"{base}/facts", checkpoint=f"{base}/checkpoint", partition_col="month", partition_expr="day % 100",
+            fact_partition_col="fact_month", fact_partition_expr="day % 100", to_facts=lambda raw: raw.select("id", "v", "day"),
+            line_key=("id",), fact_line_key=("id",), max_files_per_trigger=None, compact_after=compact_after)
+
+    def load(cfg, k):
+        spark.createDataFrame(batches[k], schema).coalesce(1).write.parquet(f"{os.path.dirname(cfg.deltas)}/landing/b-{k}")
+        return facts(inc.run_fact_increment(spark, cfg))
+
+    facts = lambda df: sorted(tuple(r) for r in df.select("id", "v", "day").collect())
+    plain, packed = config("plain"), config("packed")
+    steps = ["write", "replace_text", "delete_path", None, "replace_text", None, "delete_path", None]
+    for k in range(len(batches)):
+        want = load(plain, k)
+        newest = {}
+        for i, v, d in (row for b in batches[:k + 1] for row in b):
+            newest[i] = max(newest.get(i, (i, v, d)), (i, v, d))
+        assert load(packed, k) == want == sorted(newest.values())
+        step = steps[k % len(steps)]
+        if step == "write":
+            monkeypatch.setattr(inc, "_latest", _killed)
+        elif step:
+            monkeypatch.setattr(inc, step, _killed)
+        try:
+            inc.compact(spark, packed)
+        except KeyboardInterrupt:
+            pass
+        monkeypatch.undo()
+        assert facts(inc.read_facts(spark, packed)) == want  # whatever the crash left
+    inc.compact(spark, packed)
+    inc.compact(spark, packed)  # nothing left to do
+    opened = lambda cfg: sum("/facts" in f for f in inc.read_facts(spark, cfg).inputFiles())
+    assert opened(packed) <= 6 < 20 < opened(plain)
+    # all again, as after a lost checkpoint: nothing is added
+    again = inc.run_fact_increment(spark, replace(packed, checkpoint=os.path.join(tmp_out, "other"), compact_after=0))
+    assert facts(again) == want
+
+
+def _killed(*args, **kwargs):
+    raise KeyboardInterrupt
