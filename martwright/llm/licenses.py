@@ -196,12 +196,12 @@ def scan_licences(files: DataFrame, templates: dict[str, list[str]] | None = Non
 
 
 def document_files(docs: DataFrame) -> DataFrame:
-    """Documents as files of a tree: source, language, thousand and fifty of the
-    id. The id's remainder by seven tells the depth: some files lie in a source's
-    root, some in its languages' folders, most in the lowest ones."""
-    low = lambda n: F.coalesce(F.floor(F.col("doc_id") / n).cast("string"), F.lit("unknown"))
-    levels = F.array(F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), low(1000), low(50))
-    depth = F.least(F.coalesce(F.pmod("doc_id", F.lit(7)), F.lit(3)) + 1, F.lit(4)).cast("int")
+    """Documents as files of a tree: source, language, thousand of the id. The id's
+    remainder by seven tells the depth: some files lie in a source's root, some in
+    its languages' folders, most in the lowest ones."""
+    levels = F.array(F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
+                     F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("unknown")))
+    depth = F.least(F.coalesce(F.pmod("doc_id", F.lit(7)), F.lit(2)) + 1, F.lit(3)).cast("int")
     return docs.select("doc_id", "text", F.array_join(F.slice(levels, F.lit(1), depth), "/").alias("directory"))
 
 
@@ -218,7 +218,7 @@ WITH template(template, name, word, tf) AS (VALUES {rows}),
 vocabulary AS (SELECT DISTINCT word FROM template),
 files AS (
   SELECT doc_id, coalesce(text, '') AS text, array_to_string([coalesce(source, 'unknown'), coalesce(lang, 'unknown'),
-    coalesce((doc_id // 1000)::VARCHAR, 'unknown'), coalesce((doc_id // 50)::VARCHAR, 'unknown')][1:least(coalesce(doc_id % 7, 3) + 1, 4)], '/') AS directory
+    coalesce((doc_id // 1000)::VARCHAR, 'unknown')][1:least(coalesce(doc_id % 7, 2) + 1, 3)], '/') AS directory
   FROM documents),
 frequency AS (
   SELECT word, count(*) AS df FROM (
