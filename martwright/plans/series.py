@@ -166,6 +166,7 @@ def extract_round_trip(wh: Warehouse) -> DataFrame:
     tables = ingest(spark, root)
     out = None
     for name in SOURCE_ORDER:
-        part = profile(tables[name], name, exact=True, full=True)
+        # the profile reads a table once for each column: it is parsed and typed once
+        part = profile(stash(tables[name], f"extract-{name}"), name, exact=True, full=True)
         out = part if out is None else out.unionByName(part)
     return out

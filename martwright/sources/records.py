@@ -43,7 +43,8 @@ def quote_pieces(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
 
 
 def _whole_records(spark: SparkSession, files: list[str], pieces: DataFrame, quote: str) -> DataFrame:
-    """(file, piece, at, record): every record of the files, at the line where it begins."""
+    """(file, piece, at, head, record): every record of the files, at the line where
+    it begins; ``head`` marks the first of a file."""
     before = Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     begins = pieces.select("file", "piece", F.pmod(F.coalesce(F.sum("odd").over(before), F.lit(0)), F.lit(2)).alias("inside"))
     # a row for each split; AQE chooses the join from its measured size
@@ -51,9 +52,10 @@ def _whole_records(spark: SparkSession, files: list[str], pieces: DataFrame, quo
     upto = Window.partitionBy("file", "piece").orderBy("at")
     marked = lines.withColumn("after", F.pmod(F.col("inside") + F.sum("quotes").over(upto), F.lit(2))).withColumn(
         "starts", F.pmod(F.col("after") - F.col("quotes"), F.lit(2)) == 0)
-    marked = stash(marked.withColumn("began", F.last(F.when(F.col("starts"), F.col("at")), ignorenulls=True).over(upto)).select(
-        "file", "piece", "at", "line", "starts", "after", "began"), "csv-lines")
-    single = marked.where("starts AND after = 0").select("file", "piece", "at", F.col("line").alias("record"))
+    marked = marked.withColumn("began", F.last(F.when(F.col("starts"), F.col("at")), ignorenulls=True).over(upto)).withColumn(
+        "head", (F.col("piece") == 0) & (F.row_number().over(upto) == 1))
+    marked = stash(marked.select("file", "piece", "at", "line", "starts", "after", "began", "head"), "csv-lines")
+    single = marked.where("starts AND after = 0").select("file", "piece", "at", "head", F.col("line").alias("record"))
     parts = marked.where("NOT (starts AND after = 0)")
     # lines before the first beginning of a piece go on with a record of an earlier piece
     open_ = parts.groupBy("file", "piece").agg(F.max("began").alias("last_began"))
@@ -62,9 +64,10 @@ def _whole_records(spark: SparkSession, files: list[str], pieces: DataFrame, quo
                            F.last(F.when(F.col("last_began").isNotNull(), F.col("piece")), ignorenulls=True).over(earlier).alias("_piece"))
     owned = parts.join(carried, ["file", "piece"]).select(
         "file", F.coalesce(F.when(F.col("began").isNotNull(), F.col("piece")), F.col("_piece")).alias("owner"),
-        F.coalesce("began", "_began").alias("began"), "piece", "at", "line")
-    joined = owned.groupBy("file", "owner", "began").agg(F.sort_array(F.collect_list(F.struct("piece", "at", "line"))).alias("lines"))
-    whole = joined.select("file", F.col("owner").alias("piece"), F.col("began").alias("at"),
+        F.coalesce("began", "_began").alias("began"), "piece", "at", "line", "head")
+    joined = owned.groupBy("file", "owner", "began").agg(
+        F.sort_array(F.collect_list(F.struct("piece", "at", "line"))).alias("lines"), F.bool_or("head").alias("head"))
+    whole = joined.select("file", F.col("owner").alias("piece"), F.col("began").alias("at"), "head",
                           F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("record"))
     return single.unionByName(whole)
 
@@ -81,11 +84,12 @@ def read_records(spark: SparkSession, path: str, options: dict[str, str]) -> Dat
     columns = spark.read.options(**options, multiLine="true").csv(path).columns
     schema = StructType([StructField(c, StringType()) for c in columns])
     records = _whole_records(spark, broken, pieces.where(F.col("file").isin(broken)), quote)
-    heads = records.where("piece = 0").groupBy("file").agg(F.min("at").alias("_head"))
-    body = records.join(heads, "file").where("NOT (piece = 0 AND at = _head)")
-    trimmed = body.select(F.regexp_replace("record", "\r$", "").alias("record")).where("record <> ''")
+    trimmed = records.select("head", F.regexp_replace("record", "\r$", "").alias("record"))
+    # A cast of the reader's columns may be tried before this filter (a caller's filter is
+    # pushed below it), so a header or blank line is no record there either: it gives nulls.
+    is_row = ~F.col("head") & (F.col("record") != "")
     parser = {k: v for k, v in options.items() if k not in ("header", "inferSchema")}
-    rows = trimmed.select(F.from_csv("record", _ddl(columns), parser).alias("r")).select("r.*")
+    rows = trimmed.where(is_row).select(F.from_csv(F.when(is_row, F.col("record")), _ddl(columns), parser).alias("r")).select("r.*")
     clean = [r["file"] for r in pieces.groupBy("file").agg(F.max("broken").alias("b")).where("NOT b").collect()]
     if clean:
         rows = rows.unionByName(spark.read.options(**options, multiLine="false").schema(schema).csv(clean))

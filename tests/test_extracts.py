@@ -230,6 +230,20 @@ def test_empty_fields_and_quoted_line_breaks(spark, tmp_out):
     assert got == [(1, "", True), (2, "two\nlines", False), (3, None, None), (4, "", True)]
 
 
+def test_a_filter_on_a_cast_never_sees_header_or_blank_lines(spark, tmp_out):
+    from martwright.sources.extracts import MANIFEST, read_extract, typed_table
+
+    spec = next(s for s in MANIFEST if s.table == "people")
+    path = os.path.join(tmp_out, "people.csv")
+    for part, rows in (("a", '1;"two\nlines";1\n\n2;b;0\n'), ("b", '"3";c;NULL\n')):
+        os.makedirs(path, exist_ok=True)
+        with open(os.path.join(path, f"{part}.csv"), "w", encoding="utf-8") as f:
+            f.write("PersonID;FullName;IsSalesperson\n" + rows)
+    people = typed_table(read_extract(spark, path), spec)
+    for column, values in (("person_id", {1, 2, 3}), ("is_salesperson", {True, False})):
+        assert {r[0] for r in people.select(column).where(f"{column} IS NOT NULL").distinct().collect()} == values
+
+
 def test_proven_stages_are_taken_over(spark, tmp_out):
     """Of a run that broke, and lost a stored file, only what is proven is read again."""
     from martwright.plans.stages import Stages
