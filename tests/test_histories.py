@@ -319,3 +319,13 @@ def test_distinct_values_without_expand(spark):
     merged = {r["column_name"]: r for r in estimated(merged_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]))).collect()}
     assert all(abs(merged[c]["distinct_values"] - n) <= 0.05 * n for c, n in want.items())
     assert all(r["row_count"] == 20_000 for r in merged.values()) and merged["day"]["nulls"] == 10_000
+
+
+def test_dense_values_are_counted_without_a_sort(spark):
+    from martwright.operators.distinct import dense_columns, distinct_values
+
+    df = spark.createDataFrame([(n,) for n in (-129, -128, -64, -1, -1, 0, 0, 63, 64, 65, 127, None)], "n long")
+    assert dense_columns(df) == {"n"}
+    counted = distinct_values(df)
+    assert counted.collect()[0]["distinct_values"] == 9
+    assert "SortAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
