@@ -329,3 +329,15 @@ def test_dense_values_are_counted_without_a_sort(spark):
     counted = distinct_values(df)
     assert counted.collect()[0]["distinct_values"] == 9
     assert "SortAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_carried_values_join_no_rows(spark):
+    from martwright.operators.sequence import prior_value_in_key
+
+    rows = [(k, at, f"v{at}" if at % 5 == 1 else None) for k in (None, 1, 2) for at in range(40)]
+    df = spark.createDataFrame(rows, "k int, at int, v string")
+    out = prior_value_in_key(df, "k", ["at"], "v", "found", num_partitions=7)
+    assert out.columns == ["k", "at", "v", "found"]
+    got = {(r["k"], r["at"]): r["found"] for r in out.collect()}
+    assert got == {(k, at): f"v{(at - 2) // 5 * 5 + 1}" if at > 1 else None for k, at, _ in rows}
+    assert "LeftOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
