@@ -221,3 +221,37 @@ def test_compaction_bounds_the_files_and_survives_any_crash(spark, tmp_out, monk
 
 def _killed(*args, **kwargs):
     raise KeyboardInterrupt
+
+
+def _loaded_twice(spark, tmp_out, monkeypatch, **more):
+    """The frames stored by a load and its replay, by name, and the target."""
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from martwright.streaming import incremental
+
+    schema = StructType([StructField("k", IntegerType()), StructField("v", StringType())])
+    cfg = incremental.IncrementalLoad(
+        source_glob="", source_base="", schema=schema, target=f"{tmp_out}/t", monitor=f"{tmp_out}/m", checkpoint=f"{tmp_out}/c", **more)
+    plans, real = [], incremental.stash
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(incremental, "stash", seen)
+    batch = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "c")], schema)
+    incremental.load_batch(spark, cfg, batch, 0, 0)
+    incremental.load_batch(spark, cfg, batch.unionByName(spark.createDataFrame([(3, "d"), (3, "d")], schema)), 1, 0)
+    return plans, sorted((tuple(r) for r in spark.read.parquet(cfg.target).select("k", "v").collect()), key=repr)
+
+
+def test_known_rows_go_before_duplicates(spark, tmp_out, monkeypatch):
+    plans, rows = _loaded_twice(spark, tmp_out, monkeypatch, key_cols=("k", "v"))
+    assert rows == [(1, "a"), (2, None), (3, "d"), (None, "c")]
+    joined = plans[1][plans[1].index("Join LeftAnti"):]
+    assert "Aggregate" in plans[1][:plans[1].index("Join LeftAnti")] and "Aggregate" not in joined
+
+
+def test_a_key_of_several_partitions_is_loaded_once(spark, tmp_out, monkeypatch):
+    plans, rows = _loaded_twice(spark, tmp_out, monkeypatch, key_cols=("k",), partition_col="p", partition_expr="length(coalesce(v, ''))")
+    assert rows == [(1, "a"), (2, None), (3, "d"), (None, "c")]
