@@ -255,3 +255,14 @@ def test_known_rows_go_before_duplicates(spark, tmp_out, monkeypatch):
 def test_a_key_of_several_partitions_is_loaded_once(spark, tmp_out, monkeypatch):
     plans, rows = _loaded_twice(spark, tmp_out, monkeypatch, key_cols=("k",), partition_col="p", partition_expr="length(coalesce(v, ''))")
     assert rows == [(1, "a"), (2, None), (3, "d"), (None, "c")]
+
+
+def test_lines_of_an_increment_are_stored_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from martwright.plans.registry import all_queries
+    from martwright.streaming import incremental
+
+    names, real = [], incremental.stash
+    monkeypatch.setattr(incremental, "stash", lambda df, name: names.append(name) or real(df, name))
+    all_queries()["incremental_fact_order"](spark, SF_SMALL)
+    assert "batch" in names and "to-facts" not in names
