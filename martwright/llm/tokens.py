@@ -15,15 +15,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from martwright.llm.text import gather, words_of
+from martwright.llm.text import gather, mixed, words_of
 
 #: Lower-case letters of one normal form; others go through the library word by word.
 _PLAIN = r"^[a-zß-öø-ÿ]+$"
 _TAILED = r"^(?P<core>[a-zß-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]+)$"
 #: Words in one library call; each ends with an id that marks a word's end.
 _JOIN = 50
-#: What a cached word takes besides its letters and ids: its string, dictionary entry, number and bound.
-_ENTRY_BYTES = 240
+#: Odd base of the words' hashes (modulo 2^64).
+_BASE = 0x9E3779B97F4A7C15
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -36,9 +36,26 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
+def string_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit polynomial hash of each string's bytes, from sums of powers over all of them."""
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64)
+    bounds = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+    bounds -= bounds[0]
+
+    def powers(base: int) -> np.ndarray:
+        return np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(data), base, np.uint64))))
+
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * powers(_BASE)[:-1], dtype=np.uint64)))
+    return mixed((sums[bounds[1:]] - sums[bounds[:-1]]) * powers(pow(_BASE, -1, 1 << 64))[bounds[:-1]])
+
+
 class WordEncoder:
     """Encodes Arrow string arrays; keeps the ids of distinct words up to about
-    ``cache_bytes`` (a memory bound: beyond it the cache starts anew)."""
+    ``cache_bytes`` (a memory bound: beyond it, words not seen again are dropped).
+    The words are held in Arrow and found by sorted hashes, a slice at once, without
+    a Python object for each; a word is found only if it equals the held one."""
 
     def __init__(self, json_text: str, cache_bytes: int = 32 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,49 +70,86 @@ class WordEncoder:
         self._reset()
 
     def _reset(self):
-        self.index: dict[str, int] = {}
-        self.held = 0
+        self.words = pa.array([], pa.string())
         self.flat = np.zeros(0, dtype=np.uint32)
         self.bounds = np.zeros(1, dtype=np.int64)
+        self.hashes = np.zeros(0, dtype=np.uint64)  # ascending
+        self.places = np.zeros(0, dtype=np.int32)  # of the words with these hashes
+        self.again = np.zeros(0, dtype=bool)  # words found since the last trim
+
+    @property
+    def held(self) -> int:
+        return sum(x.nbytes for x in (self.words, self.flat, self.bounds, self.hashes, self.places, self.again))
+
+    def _trim(self):
+        """Drops the words that no later slice held; all, where the others fill half the cache."""
+        keep = self.again
+        if self.held * int(keep.sum()) * 2 > self.cache_bytes * len(keep):
+            return self._reset()
+        self.words = self.words.filter(pa.array(keep))
+        self.flat, self.bounds = gather(self.flat, self.bounds, np.flatnonzero(keep))
+        stays = keep[self.places]
+        self.hashes, self.places = self.hashes[stays], (np.cumsum(keep, dtype=np.int32) - 1)[self.places[stays]]
+        self.again = np.zeros(len(self.words), dtype=bool)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _append(self, words: list[str], flat: np.ndarray, lengths: np.ndarray):
-        first = len(self.index)
-        self.held += sum(map(len, words)) + _ENTRY_BYTES * len(words) + 4 * len(flat)
-        self.index.update(zip(words, range(first, first + len(words))))
-        self.flat = np.concatenate((self.flat, flat.astype(np.uint32)))
-        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(lengths)))
-
-    def _learn(self, words: pa.Array):
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of words of plain letters one after another, number for each)."""
+        cuts = np.append(np.arange(0, len(words), _JOIN), len(words)).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(cuts, words), " ").to_pylist()
+        flat = np.concatenate([np.array(x, dtype=np.uint32) for x in self._encode(joined)])
+        stops = np.flatnonzero(self.ends[flat]) + 1
+        if len(stops) != len(words) or stops[-1] != len(flat):
+            raise ValueError("the tokenizer does not mark the end of each word")
+        return flat, np.diff(stops, prepend=0)
+
+    def _learn(self, words: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """Adds words to the cache; their places there."""
         plain = pc.match_substring_regex(words, _PLAIN)
-        letters = words.filter(plain).to_pylist()
-        if letters:
-            joined = [" ".join(letters[i:i + _JOIN]) for i in range(0, len(letters), _JOIN)]
-            flat = np.concatenate([np.array(x, dtype=np.uint32) for x in self._encode(joined)])
-            stops = np.flatnonzero(self.ends[flat]) + 1
-            if len(stops) != len(letters) or (len(flat) and stops[-1] != len(flat)):
-                raise ValueError("the tokenizer does not mark the end of each word")
-            self._append(letters, flat, np.diff(stops, prepend=0))
-        others = words.filter(pc.invert(plain)).to_pylist()
-        if others:
-            ids = self._encode(others)
-            self._append(others, np.array([i for x in ids for i in x], dtype=np.uint32), np.array([len(x) for x in ids]))
+        letters, others = words.filter(plain), words.filter(pc.invert(plain))
+        ids, lengths = [], []
+        if len(letters):
+            flat, each = self._ids(letters)
+            ids.append(flat)
+            lengths.append(each)
+        if len(others):
+            found = self._encode(others.to_pylist())
+            ids.append(np.array([i for x in found for i in x], dtype=np.uint32))
+            lengths.append(np.array([len(x) for x in found]))
+        first, mask = len(self.words), plain.to_numpy(zero_copy_only=False)
+        places = np.empty(len(words), dtype=np.int32)
+        places[np.concatenate((np.flatnonzero(mask), np.flatnonzero(~mask)))] = np.arange(first, first + len(words))
+        self.words = pa.concat_arrays([self.words, letters, others])
+        self.flat = np.concatenate((self.flat, *ids))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(lengths), dtype=np.int64)))
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.places = np.insert(self.places, at, places[order])
+        self.again = np.append(self.again, np.zeros(len(words), dtype=bool))
+        return places
 
     def _lookup(self, words: pa.Array) -> np.ndarray:
-        listed = words.to_pylist()
-        found = np.fromiter((self.index.get(w, -1) for w in listed), dtype=np.int64, count=len(listed))
-        if len(missing := np.flatnonzero(found < 0)):
-            self._learn(words.take(pa.array(missing)))
-            found[missing] = [self.index[listed[i]] for i in missing]
-        return found
+        """The places of distinct words in the cache; new ones are learned."""
+        words = words.cast(pa.string())
+        hashes = string_hashes(words)
+        out = np.zeros(len(words), dtype=np.int64)
+        new = np.ones(len(words), dtype=bool)
+        if len(self.hashes):
+            out[:] = self.places[np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)]
+            new = pc.not_equal(words, self.words.take(pa.array(out))).to_numpy(zero_copy_only=False)
+            self.again[out[~new]] = True
+        if new.any():
+            out[new] = self._learn(words.filter(pa.array(new)), hashes[new])
+        return out
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, bounds of each text); null is
         empty; ``end_id`` closes every text."""
         if self.held > self.cache_bytes:
-            self._reset()
+            self._trim()
         texts = pc.fill_null(texts, "")
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         easy = pc.if_else(pa.array(special), "", texts) if special.any() else texts
