@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.text import canonical, documents, store, text_slices
+from martwright.llm.text import canonical, documents, store, text_slices, tidy
 from martwright.llm.tokens import encoder, tokenizer_json
 
 END_ID = 2
@@ -154,7 +154,7 @@ def write_codes(docs: DataFrame, tokenizer_path: str | None = None, end_id: int
     ordered = (canonical(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
     # the codes are close to incompressible, and a compressed page could not be addressed
-    return store(ordered.mapInArrow(encode, _SEGMENTS), "dac", compression="none")
+    return store(ordered.mapInArrow(tidy(encode), _SEGMENTS), "dac", compression="none")
 
 
 def read_documents(segments: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def read_documents(segments: DataFrame) -> DataFrame:
     parts = segments.groupBy("part").agg(F.min("first_doc").alias("first_doc"), F.sum("n_tokens").alias("total"))
     order = Window.orderBy(F.asc_nulls_first("first_doc")).rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("part", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("before"))
-    return (segments.select("part", "part_start", "data").mapInArrow(decode, _DOCUMENTS)
+    return (segments.select("part", "part_start", "data").mapInArrow(tidy(decode), _DOCUMENTS)
             .join(F.broadcast(starts), "part")
             .select("doc_id", (F.col("before") + F.col("part_offset")).alias("start"), "n_tokens", "ids_crc32"))
 
