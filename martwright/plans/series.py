@@ -16,7 +16,7 @@ from martwright.plans.reports import SOURCE_ORDER, profile
 from martwright.plans.warehouse import Warehouse
 from martwright.session import scratch_path, stash
 from martwright.sources.extracts import MANIFEST, ingest, write_extract
-from martwright.streaming.watermark import WatermarkedLoad, accepted_rows, run_watermarked
+from martwright.streaming.watermark import WatermarkedLoad, accepted_rows, partitions_for, run_watermarked
 
 # Fixed values of the demonstration series: dates of the two later snapshots.
 SECOND, THIRD = dt.date(1995, 6, 1), dt.date(1998, 1, 1)
@@ -86,12 +86,14 @@ def watermarked_line_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items in six arrivals, each loaded by a run of its own from the same
     checkpoint: what is more than the allowed delay behind the latest ship date of
     earlier arrivals is refused, what arrived before is recognised."""
-    lines = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    table = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    lines = spark.read.parquet(table)
     base = scratch_path(spark, "watermarked")
     dealt = stash(lines.withColumn("_arrival", F.expr(ARRIVAL)), "arrivals")
     cfg = WatermarkedLoad(
         source_glob=f"{base}/landing/arrival-*/*.parquet", source_base=f"{base}/landing", schema=lines.schema,
-        target=f"{base}/lines", checkpoint=f"{base}/checkpoint", event_col="l_shipdate", allowed_delay=ALLOWED_DELAY)
+        target=f"{base}/lines", checkpoint=f"{base}/checkpoint", event_col="l_shipdate", allowed_delay=ALLOWED_DELAY,
+        state_partitions=partitions_for(spark, table))
     for k in range(ARRIVALS):
         again = (F.col("_arrival") == k - 1) & (F.col("l_orderkey") % 10 == 3)
         dealt.where((F.col("_arrival") == k) | again).select(*lines.columns).write.parquet(f"{base}/landing/arrival-{k}")

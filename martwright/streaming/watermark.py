@@ -6,7 +6,9 @@ delay. A row behind it is late. A row ahead of it is held as a key in the state
 store until the watermark has passed its event time and the delay; as any copy of
 it that comes later is late by then, a copy is either late or found in the
 state. So the store keeps the keys of one delay, not of all history, and a load
-never reads its target. State is kept in RocksDB, on disk, and partitioned by key.
+never reads its target. State is kept in RocksDB, on disk, and partitioned by key;
+every batch opens and commits a store for each partition, however few rows it has, so
+their number follows the data (``state_partitions``).
 
 The accepted rows go to a file sink whose log makes each batch count once; the
 checkpoint holds offsets, watermark and state, so a run continues where an
@@ -23,6 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from martwright.session import path_state
+
+#: Bytes of stored rows (Parquet) for one partition of the state store.
+STATE_BYTES = 16 << 20
 _AT = "_event_time"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -38,6 +44,14 @@ class WatermarkedLoad:
     key_cols: tuple[str, ...] = ()  # a row's identity; empty: all columns
     allowed_delay: dt.timedelta = dt.timedelta(days=1)
     max_files_per_trigger: int | None = None  # None: what has arrived is one batch
+    state_partitions: int | None = None  # fixed by the first run of a checkpoint; None: the session's shuffle partitions
+
+
+def partitions_for(spark: SparkSession, path: str) -> int:
+    """State partitions for rows like those stored at ``path``: one for each
+    ``STATE_BYTES`` of them, and for each core at least."""
+    stored = sum(length for _, length, _ in path_state(spark, path))
+    return max(spark.sparkContext.defaultParallelism, -(-stored // STATE_BYTES))
 
 
 def accepted_stream(rows: DataFrame, cfg: WatermarkedLoad) -> DataFrame:
@@ -63,9 +77,12 @@ def run_watermarked(spark: SparkSession, cfg: WatermarkedLoad) -> list[dict]:
     source = spark.readStream.schema(cfg.schema).option("basePath", cfg.source_base)
     if cfg.max_files_per_trigger:
         source = source.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, _ROCKSDB)  # read when a query starts
+    settings = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}
+    if cfg.state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(cfg.state_partitions)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)  # read when a query starts
     try:
         query = (
             accepted_stream(source.parquet(cfg.source_glob), cfg)
@@ -75,7 +92,8 @@ def run_watermarked(spark: SparkSession, cfg: WatermarkedLoad) -> list[dict]:
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return [
         {
             "batch": p["batchId"],

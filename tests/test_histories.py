@@ -2,11 +2,13 @@
 loads and the shipped package, each against a plain version."""
 
 import datetime as dt
+import glob
 import os
 import random
 import subprocess
 import sys
 import textwrap
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import Window
@@ -19,6 +21,7 @@ from martwright.operators.scd2 import history_from_snapshots
 from martwright.operators.sequence import prior_sum_in_key, prior_value_in_key
 from martwright.sources.extracts import CSV_OPTIONS, read_extract
 from martwright.sources.records import quote_pieces, read_records
+from martwright.streaming import watermark
 from martwright.streaming.watermark import WatermarkedLoad, accepted_rows, late_rows, run_watermarked
 
 DAY = dt.date(2020, 1, 1)
@@ -265,6 +268,34 @@ def test_watermarked_load_restarts_and_refuses_late_rows(spark, tmp_out):
     assert set(rows(late_rows(spark, cfg))) == every - set(rows(accepted_rows(spark, cfg)))
 
 
+def test_state_partitions_follow_the_data_and_stay(spark, tmp_out):
+    rows_ = spark.range(100).selectExpr("id", "timestamp_ntz'2020-01-01' + make_dt_interval(CAST(id AS INT)) AS ts")
+    table = f"{tmp_out}/table"
+    rows_.coalesce(1).write.parquet(table)
+    cores = spark.sparkContext.defaultParallelism
+    assert watermark.partitions_for(spark, table) == cores
+    cfg = WatermarkedLoad(
+        source_glob=f"{tmp_out}/landing/arrival-*/*.parquet", source_base=f"{tmp_out}/landing", schema=rows_.schema,
+        target=f"{tmp_out}/rows", checkpoint=f"{tmp_out}/checkpoint", event_col="ts", state_partitions=3)
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")
+    before = [spark.conf.get(k, None) for k in settings]
+    for k, n in enumerate((3, 5)):  # the second run has another number: the checkpoint's holds
+        rows_.where(f"id % 2 = {k}").write.parquet(f"{tmp_out}/landing/arrival-{k}")
+        run_watermarked(spark, replace(cfg, state_partitions=n))
+        assert [spark.conf.get(k, None) for k in settings] == before
+    assert len(glob.glob(f"{tmp_out}/checkpoint/state/0/[0-9]*")) == 3
+    # the second arrival's rows but the last are a day and more behind the first's last
+    assert sorted(r["id"] for r in accepted_rows(spark, cfg).collect()) == [*range(0, 98, 2), 98, 99]
+
+
+def test_state_partitions_grow_with_the_table(spark, tmp_out, monkeypatch):
+    table = f"{tmp_out}/table"
+    spark.range(100).coalesce(1).write.parquet(table)
+    stored = sum(os.path.getsize(f) for f in glob.glob(f"{table}/*"))
+    monkeypatch.setattr(watermark, "STATE_BYTES", 10)
+    assert watermark.partitions_for(spark, table) == -(-stored // 10)
+
+
 # the package on the workers
 
 
