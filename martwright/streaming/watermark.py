@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martwright.session import path_state
+from martwright.session import partitions_by_size
 
 #: Bytes of stored rows (Parquet) for one partition of the state store.
 STATE_BYTES = 16 << 20
@@ -50,8 +50,7 @@ class WatermarkedLoad:
 def partitions_for(spark: SparkSession, path: str) -> int:
     """State partitions for rows like those stored at ``path``: one for each
     ``STATE_BYTES`` of them, and for each core at least."""
-    stored = sum(length for _, length, _ in path_state(spark, path))
-    return max(spark.sparkContext.defaultParallelism, -(-stored // STATE_BYTES))
+    return partitions_by_size(spark, path, STATE_BYTES)
 
 
 def accepted_stream(rows: DataFrame, cfg: WatermarkedLoad) -> DataFrame:

@@ -296,6 +296,17 @@ def test_state_partitions_grow_with_the_table(spark, tmp_out, monkeypatch):
     assert watermark.partitions_for(spark, table) == -(-stored // 10)
 
 
+def test_distinct_rows_are_dealt_before_they_are_held(spark):
+    from martwright.sources.staging import distinct_dealt
+
+    pairs = [(k % 7, None if k % 5 == 0 else k % 3) for k in range(200)] + [(None, None)] * 3
+    out = distinct_dealt(spark.createDataFrame(pairs, "a long, b long").coalesce(2), 6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one exchange, below both aggregates
+    assert plan.count("Exchange ") == 1 and "HashAggregate" not in plan[plan.index("Exchange "):]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(set(pairs), key=str)
+
+
 # the package on the workers
 
 
