@@ -169,6 +169,8 @@ def extract_round_trip(wh: Warehouse) -> DataFrame:
     out = None
     for name in SOURCE_ORDER:
         # the profile reads a table once for each column: it is parsed and typed once
-        part = profile(stash(tables[name], f"extract-{name}"), name, exact=True, full=True)
+        typed = stash(tables[name], f"extract-{name}")
+        # a plan for each table: one of all columns of all tables fills the driver's memory
+        part = stash(profile(typed, name, exact=True, full=True), f"profile-{name}")
         out = part if out is None else out.unionByName(part)
     return out

@@ -9,8 +9,9 @@ quotes add up over pieces. So:
    split) its parity, and whether any line alone has an odd number;
 2. a file in which every line has an even number holds no quoted line break and
    is read split by the ordinary reader;
-3. in other files a prefix sum over the pieces' parities (a row for each piece)
-   tells how each piece begins, a running sum inside a piece how each line does.
+3. the lines of other files are read again and stored, with a running sum of
+   quotes inside their piece; a prefix sum over the parities of these pieces (a row
+   for each piece) tells how each begins, and so how each line does.
    A line that begins and ends outside quotes is a record; only the others are put
    together, by the record that they belong to, in the piece where it begins.
 
@@ -42,20 +43,32 @@ def quote_pieces(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
         F.pmod(F.sum("quotes"), F.lit(2)).cast("int").alias("odd"), F.max(F.pmod("quotes", F.lit(2))).cast("boolean").alias("broken"))
 
 
-def _whole_records(spark: SparkSession, files: list[str], pieces: DataFrame, quote: str) -> DataFrame:
+def _whole_records(spark: SparkSession, files: list[str], quote: str) -> DataFrame:
     """(file, piece, at, head, record): every record of the files, at the line where
-    it begins; ``head`` marks the first of a file."""
-    before = Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    begins = pieces.select("file", "piece", F.pmod(F.coalesce(F.sum("odd").over(before), F.lit(0)), F.lit(2)).alias("inside"))
-    # a row for each split; AQE chooses the join from its measured size
-    lines = _lines(spark, files, quote).join(begins, ["file", "piece"])
+    it begins; ``head`` marks the first of a file.
+
+    The lines are read once and stored with what their piece alone tells of them: how
+    splits fall depends on all files of a scan and on the cores of the moment, so pieces
+    of another read need not be the same."""
     upto = Window.partitionBy("file", "piece").orderBy("at")
-    marked = lines.withColumn("after", F.pmod(F.col("inside") + F.sum("quotes").over(upto), F.lit(2))).withColumn(
-        "starts", F.pmod(F.col("after") - F.col("quotes"), F.lit(2)) == 0)
-    marked = marked.withColumn("began", F.last(F.when(F.col("starts"), F.col("at")), ignorenulls=True).over(upto)).withColumn(
+    held = _lines(spark, files, quote).withColumn("odd", F.pmod("quotes", F.lit(2))).withColumn(
+        "before", F.pmod(F.sum("odd").over(upto) - F.col("odd"), F.lit(2)))
+    # the last line of an even, an odd number of quotes before it: where a record began, whichever way the piece begins
+    last = lambda parity: F.last(F.when(F.col("before") == parity, F.col("at")), ignorenulls=True).over(upto)
+    held = held.withColumn("even_at", last(0)).withColumn("odd_at", last(1)).withColumn(
         "head", (F.col("piece") == 0) & (F.row_number().over(upto) == 1))
-    marked = stash(marked.select("file", "piece", "at", "line", "starts", "after", "began", "head"), "csv-lines")
-    single = marked.where("starts AND after = 0").select("file", "piece", "at", "head", F.col("line").alias("record"))
+    held = stash(held.select("file", "piece", "at", "line", "odd", "before", "even_at", "odd_at", "head"), "csv-lines")
+    pieces = held.groupBy("file", "piece").agg(F.pmod(F.sum("odd"), F.lit(2)).alias("odd"))
+    earlier_pieces = Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    # a row for each split; AQE chooses the joins from its measured size
+    begins = stash(pieces.select("file", "piece", F.pmod(F.coalesce(F.sum("odd").over(earlier_pieces), F.lit(0)), F.lit(2)).alias("inside")), "csv-begins")
+    marked = held.join(begins, ["file", "piece"]).select(
+        "file", "piece", "at", "line", "head", (F.col("before") == F.col("inside")).alias("starts"),
+        F.pmod(F.col("before") + F.col("odd") + F.col("inside"), F.lit(2)).alias("after"),
+        F.when(F.col("inside") == 0, F.col("even_at")).otherwise(F.col("odd_at")).alias("began"))
+    # a caller's filter may be pushed below this one and the join: a part of a record is no record there either
+    whole_line = F.expr("starts AND after = 0")
+    single = marked.where(whole_line).select("file", "piece", "at", "head", F.when(whole_line, F.col("line")).alias("record"))
     parts = marked.where("NOT (starts AND after = 0)")
     # lines before the first beginning of a piece go on with a record of an earlier piece
     open_ = parts.groupBy("file", "piece").agg(F.max("began").alias("last_began"))
@@ -83,7 +96,7 @@ def read_records(spark: SparkSession, path: str, options: dict[str, str]) -> Dat
         return spark.read.options(**options, multiLine="false").csv(path)
     columns = spark.read.options(**options, multiLine="true").csv(path).columns
     schema = StructType([StructField(c, StringType()) for c in columns])
-    records = _whole_records(spark, broken, pieces.where(F.col("file").isin(broken)), quote)
+    records = _whole_records(spark, broken, quote)
     trimmed = records.select("head", F.regexp_replace("record", "\r$", "").alias("record"))
     # A cast of the reader's columns may be tried before this filter (a caller's filter is
     # pushed below it), so a header or blank line is no record there either: it gives nulls.

@@ -209,6 +209,23 @@ def test_quoted_line_breaks_are_read_split(spark, tmp_out, small_splits):
     assert one.rdd.getNumPartitions() > 1
 
 
+def test_records_are_whole_however_splits_fall(spark, tmp_out):
+    """Splits follow the size of all files of a scan: those of a folder are not
+    those of the files in it that have line breaks in quotes."""
+    settings = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "9"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        write(f"{tmp_out}/files/one.csv", "Id;Text\n" + "".join(f"{i};\"two\nlines {i}\"\n" for i in range(300)))
+        write(f"{tmp_out}/files/two.csv", "Id;Text\n" + "".join(f"{i};plain\n" for i in range(1000, 4000)))
+        got = rows(read_extract(spark, f"{tmp_out}/files"))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == sorted([(str(i), f"two\nlines {i}") for i in range(300)] + [(str(i), "plain") for i in range(1000, 4000)], key=str)
+
+
 def test_files_without_line_breaks_are_split(spark, tmp_out, small_splits):
     write(f"{tmp_out}/a.csv", "Id;Text\n" + "".join(f"{i};\"t;{i}\"\n" for i in range(500)))
     df = read_extract(spark, f"{tmp_out}/a.csv")

@@ -30,3 +30,8 @@ def test_question_shapes(spark):
     q10 = qs["q10_asof_sales"](spark, SF_SMALL)
     plan = _executed_plan(q10)
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan  # fact filtered in place
+
+
+def test_profiles_of_all_extracts_are_no_single_plan(spark):
+    plan = _executed_plan(entry.queries()["extract_round_trip"](spark, SF_SMALL))
+    assert "Aggregate" not in plan and plan.count("Scan parquet") >= 16  # stored, table by table
